@@ -28,10 +28,10 @@ QUERIES = {
 ORACLES = {
     "op10_threshold_top_k": """
         WITH v AS (
-            SELECT CAST(vec_id AS BIGINT) AS vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+            SELECT CAST(vec_id AS BIGINT) AS vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS e
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-              AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+              AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
         ), s AS (
             SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
             FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
