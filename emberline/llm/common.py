@@ -12,6 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
 #: Bytes of text that one vectorised pass takes at a time; a longer document is a pass of its own.
@@ -159,9 +160,7 @@ def gram_hashes(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarra
 def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
     """mapInArrow with a function from one record batch to an iterable of dicts of columns."""
     fields = T._parse_datatype_string(schema)
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    target = to_arrow_schema(fields, timezone="UTC")
+    target = to_arrow_schema(fields)
 
     def run(batches):
         for batch in batches:

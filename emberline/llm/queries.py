@@ -5,23 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sharding, topk
+from . import line_rules, quality_ranker, secret_scan, sharding, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_automaton_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(table(spark, sf_dir, "documents"))
+
+
+def op3_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_ranker.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_label_propagation_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_line_labelling_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 100 == 0)
 
 
 QUERIES = {
+    "op2_automaton_secret_scan": op2_automaton_secret_scan,
+    "op3_pairwise_quality": op3_pairwise_quality,
     "op4_label_propagation_sharding": op4_label_propagation_sharding,
+    "op5_line_labelling_rules": op5_line_labelling_rules,
     "op10_threshold_top_k": op10_threshold_top_k,
 }
 
