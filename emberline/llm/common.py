@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
+from emberline.session import find_package
+
 #: Bytes of text that one vectorised pass takes at a time; a longer document is a pass of its own.
 CHUNK_BYTES = 1 << 20
 
@@ -167,6 +169,7 @@ def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
             for columns in function(batch):
                 yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if not isinstance(columns[f.name], pa.Array) else columns[f.name].cast(f.type) for f in target], schema=target)
 
+    find_package(df.sparkSession)
     return df.mapInArrow(run, fields)
 
 
@@ -180,7 +183,7 @@ def ranked(df: DataFrame, keys: list[str], order: list[Column], spread: Column,
     (keys, bucket), the counts are summed to offsets and only a bucket is ordered in one task. Rows
     stand in the order of (bucket, order), so `order` must end in a unique column.
     """
-    n = max(64, 8 * partitions(df))
+    n = max(16, 2 * partitions(df))
     bucket = F.pmod(spread, F.lit(n)).cast("int")
     weight = F.lit(0).cast("long") if weight is None else weight
     rows = df.withColumns({"_bucket": bucket, "_weight": weight})

@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_rules, quality_ranker, secret_scan, sharding, topk
+from . import jaccard_join, line_rules, packing, quality_ranker, secret_scan, sharding, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similarity_classes(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op2_automaton_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(spark, sf_dir, "documents"))
 
@@ -28,15 +32,21 @@ def op5_line_labelling_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 100 == 0)
 
 
 QUERIES = {
+    "op1_parity_sketch_join": op1_parity_sketch_join,
     "op2_automaton_secret_scan": op2_automaton_secret_scan,
     "op3_pairwise_quality": op3_pairwise_quality,
     "op4_label_propagation_sharding": op4_label_propagation_sharding,
     "op5_line_labelling_rules": op5_line_labelling_rules,
+    "op9_vector_best_fit": op9_vector_best_fit,
     "op10_threshold_top_k": op10_threshold_top_k,
 }
 

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from emberline.session import find_package
+
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k highest scores, ties to smaller ids, in this order."""
@@ -101,6 +103,7 @@ def top_k(vectors: DataFrame, id_column: str, vector_column: str, query_rows: Co
                 out.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": scores, "depth": depth}))
         return pd.concat(out) if out else pd.DataFrame({c: np.zeros(0, np.int64) for c in ("query_id", "vec_id", "score", "depth")})
 
+    find_package(vectors.sparkSession)
     found = candidates.groupBy("cb", "qb").cogroup(queries.groupBy("to_cb", "to_qb")).applyInPandas(meet, "query_id long, vec_id long, score long, depth long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
