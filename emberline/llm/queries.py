@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, line_rules, packing, quality_ranker, secret_scan, sharding, suffix_dedup, topk
+from . import html_wrapper, jaccard_join, line_rules, packing, quality_ranker, secret_scan, sharding, suffix_dedup, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op7_suffix_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(table(spark, sf_dir, "documents"), length=200)
 
 
+def op8_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ QUERIES = {
     "op4_label_propagation_sharding": op4_label_propagation_sharding,
     "op5_line_labelling_rules": op5_line_labelling_rules,
     "op7_suffix_sort_dedup": op7_suffix_sort_dedup,
+    "op8_wrapper_extraction": op8_wrapper_extraction,
     "op9_vector_best_fit": op9_vector_best_fit,
     "op10_threshold_top_k": op10_threshold_top_k,
 }
