@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from .common import arrow_map, ranked, written
 
-#: Words whose ids each worker remembers.
-REMEMBERED_WORDS = 400_000
+#: Words whose ids each worker remembers: those of the last so many new ones, and of as many before.
+REMEMBERED_WORDS = 250_000
 
 _PUNCTUATED = re.compile(rb"(.*[A-Za-z0-9])([!-/:-@\[-`{-~]+)", re.S)
 
@@ -36,25 +36,45 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a word
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
 
     def _encode(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        for w, e in zip(words, found, strict=True):
+        """Words of letters only are one pre-token each: many are encoded as one text and told apart by their ends."""
+        plain = [w for w in words if w.isalpha() or w.decode().isalpha()]
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(plain).decode()], add_special_tokens=False)[0].ids, "<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) == len(plain):
+            data, at = ids.tobytes(), 0
+            for w, to in zip(plain, (4 * cuts).tolist(), strict=True):
+                self.known[w] = data[at:to]
+                at = to
+            plain = set(plain)
+            words = [w for w in words if w not in plain]
+        for w, e in zip(words, self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False), strict=True):
             self.known[w] = np.array(e.ids, "<u4").tobytes()
 
+    def _remember(self, words: set[bytes]) -> set[bytes]:
+        """Takes over what was known before; returns the rest."""
+        again = words & self.before.keys()
+        for w in again:
+            self.known[w] = self.before[w]
+        return words - again
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         split = [(t or "").encode().split() for t in texts]
-        fresh = set(chain.from_iterable(split)).difference(self.known)
-        if fresh:
-            if len(self.known) + len(fresh) > REMEMBERED_WORDS:
-                self.known.clear()
-                fresh = set(chain.from_iterable(split))
-            # punctuation after a letter or digit is a token of its own: most of such words are known without it
-            parts = {w: m.groups() for w in fresh if b"<|" not in w and (m := _PUNCTUATED.fullmatch(w))}
-            self._encode(sorted((fresh - parts.keys() | {p for x in parts.values() for p in x}) - self.known.keys()))
-            for w, (stem, rest) in parts.items():
-                self.known[w] = self.known[stem] + self.known[rest]
+        if len(self.known) > REMEMBERED_WORDS:
+            self.known, self.before = {}, self.known
+        fresh = self._remember(set(chain.from_iterable(split)).difference(self.known))
+        # punctuation after a letter or digit is a token of its own: most of such words are known without it
+        parts = {w: m.groups() for w in fresh if not w[-1:].isalnum() and b"<|" not in w and (m := _PUNCTUATED.fullmatch(w))}
+        bare = self._remember({p for x in parts.values() for p in x}.difference(self.known))
+        self._encode(sorted((fresh - parts.keys()) | bare))
+        for w, (stem, rest) in parts.items():
+            self.known[w] = self.known[stem] + self.known[rest]
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
