@@ -49,7 +49,8 @@ def shard_by_links(rows: DataFrame, id_column: str, group_column: str, shards: i
         here = state.where("g is not null").groupBy("g", "shard").agg(F.count("*").alias("n"))
         pull = here.groupBy("g").agg(F.sum("n").alias("size"), F.max(F.struct("n", (-F.col("shard")).alias("low"))).alias("most"))
         pull = pull.where("size > 1").select("g", "size", (-F.col("most.low")).alias("to"))
-        moved = state.join(pull, "g", "left").select("id", "g", "h", "key", F.coalesce("to", "shard").cast("int").alias("shard"), F.coalesce("size", F.lit(1)).alias("size"))
+        # written, so that both sides of the join come straight from an exchange and a hot group can be split
+        moved = state.join(written(pull, "pull"), "g", "left").select("id", "g", "h", "key", F.coalesce("to", "shard").cast("int").alias("shard"), F.coalesce("size", F.lit(1)).alias("size"))
         # the quotas: in each shard the documents that cost least to move come first
         cost = F.when(F.col("size") > 1, F.xxhash64("g")).otherwise(F.lit(None).cast("long"))
         linked = (F.col("size") > 1).cast("int")
