@@ -20,15 +20,16 @@ def without_repeats(groups: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return groups.withWatermark("time", delay).dropDuplicatesWithinWatermark(["dataset_file", "group_id"])
 
 
-def session_counts(groups: DataFrame, gap: str, delay: str = "10 minutes") -> DataFrame:
-    """Runs of groups of a satellite without a gap: start, end, n, energy. A run closes once the watermark passes it."""
-    rows = groups if groups.isStreaming is False else groups.withWatermark("time", delay)
+def session_counts(groups: DataFrame, gap: str, delay: str | None = None) -> DataFrame:
+    """Runs of groups of a satellite without a gap: start, end, n, energy. A run of a stream
+    closes once its watermark passes it: the stream's own, or one made here with `delay`."""
+    rows = groups if delay is None else groups.withWatermark("time", delay)
     out = rows.groupBy("satellite", F.session_window("time", gap).alias("w")).agg(F.count("*").alias("n"), F.sum("energy").alias("energy"))
     return out.select("satellite", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n", "energy")
 
 
-def sliding_counts(groups: DataFrame, width: str = "1 hour", slide: str = "30 minutes", delay: str = "10 minutes") -> DataFrame:
-    rows = groups if groups.isStreaming is False else groups.withWatermark("time", delay)
+def sliding_counts(groups: DataFrame, width: str = "1 hour", slide: str = "30 minutes", delay: str | None = None) -> DataFrame:
+    rows = groups if delay is None else groups.withWatermark("time", delay)
     out = rows.groupBy("satellite", F.window("time", width, slide).alias("w")).agg(F.count("*").alias("n"))
     return out.select("satellite", F.col("w.start").alias("start"), "n")
 
