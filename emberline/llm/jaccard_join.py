@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from .common import arrow_map, chunks, gram_hashes, mix, partitions, prefix_hashes, span_hashes, word_bounds, written
 from .graph import components
 
-#: Bits of a segment's parity and of the short sketch (in 64-bit words).
-SEGMENT_BITS, SHORT_WORDS = 256, 8
+#: Bits of a segment's parity; bits of the sketch by which pairs are compared, for each possible difference.
+SEGMENT_BITS, COMPARED_BITS = 256, 16
 #: Members of a segment that are compared with all its others at a time.
 PAIR_BLOCK = 512
 
@@ -127,12 +127,14 @@ def _nodes(grams: np.ndarray, bounds: np.ndarray, salt: int) -> tuple[np.ndarray
     return out[0].astype(np.int64), out[1].astype(np.int64)
 
 
-def _short_sketch(grams: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    bit = mix(grams ^ np.uint64(0x1405789D3F84D5B5)) % np.uint64(64 * SHORT_WORDS)
-    n = len(bounds) - 1
-    sets = np.repeat(np.arange(n), np.diff(bounds))
-    odd = np.bincount(sets * 64 * SHORT_WORDS + bit.astype(np.int64), minlength=n * 64 * SHORT_WORDS) & 1
-    return np.packbits(odd.astype(np.uint8).reshape(n, -1), axis=1, bitorder="little").view("<i8").reshape(n, SHORT_WORDS)
+def _sketches(grams: np.ndarray, bounds: np.ndarray, words: np.ndarray) -> pa.ListArray:
+    """A parity sketch of words[i] 64-bit words of each set."""
+    sets = np.repeat(np.arange(len(words)), np.diff(bounds))
+    base = np.concatenate([[0], np.cumsum(words)])
+    bit = mix(grams ^ np.uint64(0x1405789D3F84D5B5)) % (64 * words[sets]).astype(np.uint64) if len(grams) else grams
+    odd = np.bincount(64 * base[sets] + bit.astype(np.int64), minlength=64 * base[-1]) & 1
+    values = np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+    return pa.ListArray.from_arrays(pa.array(base.astype(np.int32)), pa.array(values))
 
 
 def similarity_classes(documents: DataFrame, n: int = 3, percent: int = 90, salt: int = 0) -> DataFrame:
@@ -150,12 +152,17 @@ def similarity_classes(documents: DataFrame, n: int = 3, percent: int = 90, salt
         for part, data, offsets in chunks(batch, "text"):
             grams, bounds = shingle_sets(data, offsets, n)
             node, check = _nodes(grams, bounds, salt)
-            short = _short_sketch(grams, bounds)
-            yield {"doc_id": part.column("doc_id"), "node": node, "check": check, "size": np.diff(bounds), "short": pa.FixedSizeListArray.from_arrays(pa.array(short.ravel()), SHORT_WORDS).cast(pa.list_(pa.int64()))}
+            band, tops = rule.bands(np.diff(bounds))
+            words = lambda b: np.where(np.diff(bounds) > 0, COMPARED_BITS * (rule.most_difference(2 * tops[b]) + 1) // 64 + 1, 0)
+            yield {"doc_id": part.column("doc_id"), "node": node, "check": check, "size": np.diff(bounds), "band": band, "own": _sketches(grams, bounds, words(band)), "next": _sketches(grams, bounds, words(band + 1))}
 
-    described = written(arrow_map(rows, describe, "doc_id long, node long, `check` long, size long, short array<long>"), "sets")
-    sets = described.where("size > 0").groupBy("node").agg(F.min("doc_id").alias("least_id"), F.max("size").alias("size"), F.min("check").alias("low"), F.max("check").alias("high"), F.first("short").alias("short"))
+    described = written(arrow_map(rows, describe, "doc_id long, node long, `check` long, size long, band int, own array<long>, next array<long>"), "sets")
+    first = lambda c: F.first(c).alias(c)
+    sets = described.where("size > 0").groupBy("node").agg(F.min("doc_id").alias("least_id"), first("size"), F.min("check").alias("low"), F.max("check").alias("high"), first("band"))
     sets = written(sets, "nodes")
+    # the sketches of one row of each node
+    firsts = sets.select(F.col("node").alias("_node"), F.col("least_id").alias("_id"))
+    looks = described.join(firsts, (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "size", "band", "own", "next")
     if not sets.where("low <> high").isEmpty():  # two sets of one name: all again with other names
         return similarity_classes(documents, n, percent, salt + 1)
 
@@ -165,7 +172,7 @@ def similarity_classes(documents: DataFrame, n: int = 3, percent: int = 90, salt
     buckets = 4 * deal
 
     def segments(batch: pa.RecordBatch):
-        for _, data, offsets in chunks(batch, "text", 4 << 20):
+        for _, data, offsets in chunks(batch, "text"):
             grams, bounds = shingle_sets(data, offsets, n)
             node, _ = _nodes(grams, bounds, salt)
             keys, owner = rule.keys(grams, bounds)
@@ -200,7 +207,7 @@ def similarity_classes(documents: DataFrame, n: int = 3, percent: int = 90, salt
         group = np.repeat(np.arange(len(at)), sizes)
         first = np.repeat(v[at], sizes)
         rest = v != first
-        pairs = np.unique(np.stack([first[rest], v[rest]], axis=1), axis=0)
+        pairs, often = np.unique(np.stack([first[rest], v[rest]], axis=1), axis=0, return_counts=True)
         # groups of three and more, each set of members once
         name = np.add.reduceat(mix(v.astype(np.uint64)), at) if len(at) else empty
         large = np.flatnonzero(sizes > 2)
@@ -209,53 +216,58 @@ def similarity_classes(documents: DataFrame, n: int = 3, percent: int = 90, salt
         keep[large[once]] = True
         member = keep[group] if len(k) else np.zeros(0, bool)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([np.full(len(pairs), 0), k[at][group[member]].view(np.int64) if len(k) else empty])), pa.array(np.concatenate([pairs[:, 0], np.full(member.sum(), 0)])), pa.array(np.concatenate([pairs[:, 1], v[member]])), pa.array(np.concatenate([np.ones(len(pairs), bool), np.zeros(member.sum(), bool)]))],
+            [pa.array(np.concatenate([often, k[at][group[member]].view(np.int64) if len(k) else empty])), pa.array(np.concatenate([pairs[:, 0], np.full(member.sum(), 0)])), pa.array(np.concatenate([pairs[:, 1], v[member]])), pa.array(np.concatenate([np.ones(len(pairs), bool), np.zeros(member.sum(), bool)]))],
             names=["segment", "a", "b", "pair"],
         )
 
     met = written(blocks.mapInArrow(meet, "segment long, a long, b long, pair boolean"), "met")
     texts = sets.select("node", "least_id")
-    a = sets.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("short").alias("short_a"))
-    b = sets.select(F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("short").alias("short_b"))
-
-    def near(size_a, size_b, short_a, short_b):
-        distance = F.aggregate(F.zip_with(short_a, short_b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-        sizes = 100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b)
-        return sizes & (distance * (100 + percent) <= (100 - percent) * (size_a + size_b))
-
-    star = met.where("pair").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    star = star.join(a, "a").join(b, "b").where(near(F.col("size_a"), F.col("size_b"), F.col("short_a"), F.col("short_b"))).select("a", "b")
-    links = _verified(rows, texts, written(star, "pairs"), rule, salt)
+    wanted = met.where("pair").select(F.explode(F.array("a", "b")).alias("node")).union(met.where("not pair").select("b")).distinct()
+    looks = written(looks.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "looks")
+    side = lambda x: looks.select(*[F.col(c).alias(x if c == "node" else f"{c}_{x}") for c in looks.columns])
+    xor = F.zip_with(F.when(F.col("band_a") < F.col("band_b"), F.col("next_a")).otherwise(F.col("own_a")), F.when(F.col("band_b") < F.col("band_a"), F.col("next_b")).otherwise(F.col("own_b")), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    distance = F.aggregate(xor, F.lit(0).cast("long"), lambda s, x: s + x)
+    near = (F.abs(F.col("band_a") - F.col("band_b")) <= 1) & (100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
+
+    # what stands first in a segment is compared with the others
+    star = met.where("pair").select("a", "b").distinct()
+    star = star.join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b", "size_a", "size_b", distance.alias("distance"))
+    star = written(star.where(F.col("distance") * (100 + percent) <= (100 - percent) * (F.col("size_a") + F.col("size_b"))).select("a", "b", "distance"), "pairs")
+    parts = _settled(rows, texts, star, None, rule, salt)
 
     # segments whose members are not one component yet: all pairs across components
-    parts = written(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "parts")
     members = met.where("not pair").select("segment", F.col("b").alias("node"))
     members = written(members.join(parts, "node", "left").select("segment", "node", F.coalesce("component", "node").alias("part")), "members")
     open_ = members.groupBy("segment").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("segment")
-    rest = members.join(open_, "segment").join(sets.select("node", "size", "short"), "node")
+    rest = members.join(open_, "segment").join(looks, "node")
 
     def across(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("node")
-        node, part, size = (group[c].to_numpy(np.int64) for c in ("node", "part", "size"))
-        short = np.stack(group["short"].to_numpy()).view(np.uint64) if len(group) else np.zeros((0, SHORT_WORDS), np.uint64)
+        node, part, size, band = (group[c].to_numpy(np.int64) for c in ("node", "part", "size", "band"))
         names, counts = np.unique(part, return_counts=True)
-        minor = np.flatnonzero(part != names[counts.argmax()])  # the others meet all; the largest's own pairs are linked already
-        out = []
-        for at in range(0, len(minor), PAIR_BLOCK):
-            i = minor[at : at + PAIR_BLOCK]
-            distance = sum(np.bitwise_count(short[i, None, w] ^ short[None, :, w]).astype(np.int64) for w in range(SHORT_WORDS))
-            total = size[i, None] + size[None, :]
-            ok = (distance * (100 + percent) <= (100 - percent) * total) & (part[i, None] != part[None, :])
-            ok &= 100 * np.minimum(size[i, None], size[None, :]) >= percent * np.maximum(size[i, None], size[None, :])
-            x, y = np.nonzero(ok)
-            out.append(pd.DataFrame({"a": np.minimum(node[i[x]], node[y]), "b": np.maximum(node[i[x]], node[y])}).drop_duplicates())
-        return pd.concat(out).drop_duplicates() if out else pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-
-    more = rest.groupBy("segment").applyInPandas(across, "a long, b long").distinct()
-    more = written(more.join(star.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-    if not more.isEmpty():
-        links = links.unionByName(_verified(rows, texts, more, rule, salt))
-        parts = written(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "parts")
+        minor = part != names[counts.argmax()]  # the others meet all; the largest's own pairs are linked already
+        out = [pd.DataFrame({c: np.zeros(0, np.int64) for c in ("a", "b", "distance")})]
+        for level in np.unique(band):  # sets of a band, and those of the one below in its sketches
+            own, below = np.flatnonzero(band == level), np.flatnonzero(band == level - 1)
+            at = np.concatenate([own, below])
+            sketch = np.stack([*group["own"].iloc[own], *group["next"].iloc[below]]).view(np.uint64)
+            rows_ = np.flatnonzero(minor[at])
+            for k in range(0, len(rows_), PAIR_BLOCK):
+                i = rows_[k : k + PAIR_BLOCK]
+                apart = np.zeros((len(i), len(at)), np.int64)
+                for w in range(sketch.shape[1]):
+                    apart += np.bitwise_count(sketch[i, None, w] ^ sketch[None, :, w])
+                si, sj = size[at[i], None], size[None, at]
+                ok = (apart * (100 + percent) <= (100 - percent) * (si + sj)) & (100 * np.minimum(si, sj) >= percent * np.maximum(si, sj))
+                ok &= (part[at[i], None] != part[None, at]) & ((band[at[i], None] == level) | (band[None, at] == level))
+                x, y = np.nonzero(ok)
+                a, b = node[at[i[x]]], node[at[y]]
+                out.append(pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "distance": apart[x, y]}))
+        return pd.concat(out).drop_duplicates()
+
+    more = rest.groupBy("segment").applyInPandas(across, "a long, b long, distance long").distinct()
+    more = written(more.join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
+    parts = _settled(rows, texts, more, parts, rule, salt)
 
     least = parts.join(texts, "node").groupBy("component").agg(F.min("least_id").alias("component_id"))
     ids = texts.join(parts, "node", "left").join(written(least, "least"), "component", "left").select("node", F.coalesce("component_id", "least_id").alias("component_id"))
@@ -264,6 +276,33 @@ def similarity_classes(documents: DataFrame, n: int = 3, percent: int = 90, salt
     return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def _settled(rows: DataFrame, texts: DataFrame, pairs: DataFrame, parts: DataFrame | None, rule: Join, salt: int) -> DataFrame:
+    """node, component after all links among `pairs` (a, b, distance), given the components so far.
+
+    Of the pairs between a node and another component the nearest by sketch is tried first: if it is a
+    link, the others say no more. Pairs are tried until none is left between two components.
+    """
+    known = None if parts is None else parts.where("node <> component").select(F.col("component").alias("u"), F.col("node").alias("v"))
+    while not pairs.isEmpty():
+        tried = pairs
+        if parts is not None:
+            of = lambda x: parts.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}"))  # noqa: E731, B023
+            tried = tried.join(of("a"), "a", "left").join(of("b"), "b", "left").withColumns({"part_a": F.coalesce("part_a", "a"), "part_b": F.coalesce("part_b", "b")})
+            pairs = written(tried.where("part_a <> part_b").select("a", "b", "distance", "part_a"), "pairs")
+            best = pairs.groupBy("b", "part_a")
+        else:
+            best = pairs.groupBy("b")
+        best = written(best.agg(F.min(F.struct("distance", "a")).alias("x")).select(F.col("x.a").alias("a"), "b"), "tried")
+        links = _verified(rows, texts, best, rule, salt).select(F.col("a").alias("u"), F.col("b").alias("v"))
+        pairs = written(pairs.select("a", "b", "distance").join(best, ["a", "b"], "left_anti"), "pairs")
+        known = links if known is None else known.unionByName(links)
+        parts = written(components(known), "parts")
+        known = parts.where("node <> component").select(F.col("component").alias("u"), F.col("node").alias("v"))
+    if parts is None:
+        parts = rows.sparkSession.createDataFrame([], "node long, component long")
+    return parts
+
+
 def _verified(rows: DataFrame, texts: DataFrame, pairs: DataFrame, rule: Join, salt: int) -> DataFrame:
     """The pairs of nodes whose whole sets are similar enough."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(texts, "node").select("least_id").distinct()
@@ -279,7 +318,7 @@ def _verified(rows: DataFrame, texts: DataFrame, pairs: DataFrame, rule: Join, s
     some = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["least_id"]), "left_semi")
     sets = arrow_map(some, whole, "node long, `set` array<long>")
     sets = written(sets.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").dropDuplicates(["node"]), "whole")
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
+    both = pairs.join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b").join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
     common = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - common
     return written(both.where(100 * common >= rule.percent * union).select("a", "b"), "links")

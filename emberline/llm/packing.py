@@ -20,10 +20,10 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, ranked, written
+from .common import arrow_map, chunks, ranked, written
 
 #: Words whose ids each worker remembers: those of the last so many new ones, and of as many before.
-REMEMBERED_WORDS = 250_000
+REMEMBERED_WORDS = 160_000
 
 _PUNCTUATED = re.compile(rb"(.*[A-Za-z0-9])([!-/:-@\[-`{-~]+)", re.S)
 
@@ -83,28 +83,21 @@ def _tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def pieces(documents: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, batch_chars: int = 1 << 20) -> DataFrame:
+def pieces(documents: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every document's ids and end_id, cut at `capacity`."""
 
     end = np.array([end_id], "<u4").tobytes()
 
     def of(batch: pa.RecordBatch):
-        ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-        at = 0
-        while at < len(texts):
-            to, size = at, 0
-            while to < len(texts) and (to == at or size < batch_chars):
-                size += len(texts[to] or "")
-                to += 1
+        for some, _, _ in chunks(batch, "text"):
             out = {c: [] for c in ("doc_id", "piece", "start", "length", "ids_crc32")}
-            for doc, data in zip(ids[at:to], _tokenizer(tokenizer_path)(texts[at:to]), strict=True):
+            for doc, data in zip(some.column("doc_id").to_pylist(), _tokenizer(tokenizer_path)(some.column("text").to_pylist()), strict=True):
                 data += end
                 for k, start in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[start : start + 4 * capacity]
                     for c, v in zip(out, (doc, k, start // 4, len(part) // 4, zlib.crc32(part)), strict=True):
                         out[c].append(v)
             yield out
-            at = to
 
     return arrow_map(documents.select("doc_id", "text"), of, "doc_id long, piece int, start long, length long, ids_crc32 long")
 

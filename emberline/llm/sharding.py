@@ -64,8 +64,11 @@ def shard_by_links(rows: DataFrame, id_column: str, group_column: str, shards: i
             break
         free = {s: min(excess[s], counts.get((s, 0), 0)) for s in range(shards)}
         rest = {s: excess[s] - free[s] for s in range(shards)}
-        # ranks of unlinked rows by key, of linked rows by group, so that a group leaves in one run
-        spot = ranked(moved.select("key", "shard", "linked", "cost"), ["shard", "linked"], ["cost", "key"], F.coalesce("cost", F.xxhash64("key")), "r")
+        # ranks of unlinked rows by key, of linked rows by group, so that a group leaves in one run; a group
+        # that is large for a shard is dealt by row as well
+        by_group = F.col("cost").isNotNull() & (F.col("size") * 8 <= total // shards)
+        spread = F.when(by_group, F.col("cost")).otherwise(F.xxhash64("key"))
+        spot = ranked(moved.select("key", "shard", "linked", "cost", spread.alias("spread")), ["shard", "linked"], ["cost", "key"], F.col("spread"), "r")
         leaving = spot.where(F.col("r") < F.when(F.col("linked") == 0, _quota(F.col("shard"), free)).otherwise(_quota(F.col("shard"), rest)))
         base = {}
         at = 0

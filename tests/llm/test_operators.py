@@ -1,0 +1,329 @@
+"""Every operator against a brute-force version on small data with the awkward cases in it."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from emberline.llm import html_wrapper, jaccard_join, line_rules, mixing, packing, quality_ranker, secret_scan, sharding, suffix_dedup, topk
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+rng = random.Random(11)
+
+
+def prose(n, vocabulary=400):
+    return " ".join(f"w{rng.randrange(vocabulary)}" for _ in range(n))
+
+
+def near(text, edits):
+    words = text.split()
+    for _ in range(edits):
+        words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+BASE = prose(150)
+TEXTS = [
+    None, "", "   \n\t", "one", "one two", "One TWO", "Éa éa", BASE, BASE, BASE.upper(), near(BASE, 1), near(BASE, 2), near(BASE, 4), near(BASE, 12),
+    *[near(BASE, k % 5) for k in range(12)], "a" * 900, "ab " * 300, prose(4000, 5000), "line\nline\nline\n\nother", "é" * 250 + " " + "é" * 250,
+    *[prose(rng.randrange(1, 120)) for _ in range(12)],
+]
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    rows = [(i, t, ["en", None][i % 2], f"s{i % 3}" if i % 7 else None, len(t or ""), i, "x") for i, t in enumerate(TEXTS)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score long, node string")
+    again = spark.createDataFrame([(None, BASE, None, None, None, None, None), (7, BASE, "en", "s1", None, 7, "x")], df.schema)
+    return df.unionByName(again).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(documents):
+    return documents.where("false")
+
+
+def brute_classes(rows, n, percent):
+    low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    sets = []
+    for _, text in rows:
+        w = WORD.findall((text or "").translate(low))
+        sets.append({tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set())
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= percent * len(sets[i] | sets[j]):
+                parent[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[find(i)] = min(d, least.get(find(i), d))
+    return sorted(((d, len(sets[i]), least.get(find(i)) if sets[i] else d) for i, (d, _) in enumerate(rows)), key=repr)
+
+
+@pytest.mark.parametrize("n,percent", [(3, 90), (5, 80)])
+def test_jaccard_classes(documents, n, percent):
+    rows = [tuple(r) for r in documents.select("doc_id", "text").collect()]
+    got = sorted((tuple(r) for r in jaccard_join.similarity_classes(documents, n, percent).collect()), key=repr)
+    assert got == brute_classes(rows, n, percent)
+
+
+def test_one_of_each_class(documents, empty):
+    rows = [tuple(r) for r in documents.select("doc_id", "text").collect()]
+    classes = brute_classes(rows, 5, 80)
+    kept = jaccard_join.one_of_each_class(documents)
+    assert kept.columns == documents.columns
+    expected = sorted({d for d, _, c in classes if d is not None and d == c})
+    assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == expected
+    assert kept.where("doc_id is null").count() == 1
+    assert jaccard_join.one_of_each_class(empty).count() == 0
+
+
+def brute_secrets(text):
+    out = []
+    for kind, pattern, group, least in (("assign", r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6), ("access", r"AKIA[A-Z0-9]+", 0, 20), ("hex", r"[0-9a-f]+", 0, 24)):
+        out += [(m.start(), m.end(), kind) for m in re.finditer(pattern, text) if len(m[group]) >= least]
+    return sorted(out, key=lambda x: (x[0], ["assign", "access", "hex"].index(x[2])))
+
+
+def test_secret_spans_equal_regular_expressions():
+    parts = ["token", "secret", "=", ":", "==", '"', "'", " ", "Password", "passwd", "AKIA", "ABCDEFGH12345678", "0123456789abcdef", "é", "api_key", "APIKEY", "x", "token: abcdef", "\n", "deadbeef" * 3]
+    scanner = secret_scan.Scanner()
+    for _ in range(1500):
+        s = "".join(rng.choice(parts) for _ in range(rng.randrange(14)))
+        assert [(a, b, scanner.rules[r].kind) for a, b, r in scanner.found(s) if r < 3] == brute_secrets(s)
+    assert [scanner.rules[r].kind for _, _, r in scanner.found("-----BEGIN RSA PRIVATE KEY----- ghp_" + "aB3" * 12)] == ["pem", "github"]
+
+
+def test_secret_digest_and_redaction(spark, documents, empty):
+    df = spark.createDataFrame([(1, "é token = 'abcdef12' and token: abc", 5), (2, None, 0), (3, "deadbeef" * 3 + " ok", 1), (None, "", 0)], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: r for r in secret_scan.digest(df).collect()}
+    assert got[1].spans == "assign:2:19" and (got[1].n_assign, got[1].n_access, got[1].n_hex) == (1, 0, 0)
+    assert got[2].base_sha256 == hashlib.sha256(b"").hexdigest() and got[3].spans == "hex:0:24"
+    clean = {r.doc_id: r for r in secret_scan.redacted(df).collect()}
+    assert clean[1].text == "é [SECRET]' and token: abc" and clean[1].n_chars == len(clean[1].text) and clean[2].text is None and clean[3].text == "[SECRET] ok"
+    assert secret_scan.redacted(documents).count() == documents.count() and secret_scan.digest(empty).count() == 0
+    assert {r.id for r in secret_scan.scan(df.withColumnRenamed("doc_id", "id"), id_column="id").collect()} == {1, 2, 3, None}
+
+
+def test_quality_ranking(spark, documents, empty):
+    good = [(i, prose(60 + i % 40), 1) for i in range(200)]
+    bad = [(i, " ".join(w.upper() + "###" for w in prose(60).split()), 0) for i in range(200, 260)]
+    df = spark.createDataFrame([r[:2] for r in good + bad], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in good + bad] + [(None, 1), (5, None)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality_ranker.classify(df, labels).collect()}
+    assert all(got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= got[i].score <= 1 and got[i].predicted == (got[i].score >= 0.3) for i in got)
+    held = [r for r in good + bad if got[r[0]].held_out]
+    assert sum(got[r[0]].predicted == r[2] for r in held) >= 0.95 * len(held)
+    assert quality_ranker.classify(documents, labels).count() == documents.count()
+    assert quality_ranker.classify(empty, labels).count() == 0
+    assert quality_ranker.classify(documents, labels.where("false")).where("predicted = 0").count() == 0
+
+
+def test_sharding(documents, empty):
+    got = sharding.shard_documents(documents, shards=4).collect()
+    assert len(got) == documents.count()
+    sizes = Counter(r.shard for r in got)
+    assert max(sizes.values()) - min(sizes[s] for s in range(4)) <= 1
+    for s in range(4):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sizes[s]))
+    texts = dict(enumerate(TEXTS))
+    assert all(r.doc_id is None or (r.size == len((texts[r.doc_id] or "").encode()) + 1 and r.text_crc32 == zlib.crc32((texts[r.doc_id] or "").encode())) for r in got)
+    assert sharding.shard_documents(empty).count() == 0
+
+
+def test_sharding_keeps_groups_together_and_splits_large_ones(spark):
+    rows = [(i, "same") for i in range(40)] + [(100 + i, f"g{i // 2}") for i in range(40)] + [(200 + i, f"own{i}") for i in range(40)]
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), shards=6).collect()
+    assert set(Counter(r.shard for r in got).values()) == {20}
+    text = dict(rows)
+    where = {}
+    for r in got:
+        where.setdefault(text[r.doc_id], set()).add(r.shard)
+    assert sum(len(s) > 1 for t, s in where.items() if t.startswith("g")) <= 2 and len(where["same"]) >= 2
+
+
+def brute_counts(text):
+    w = WORD.findall(text or "")
+    grams = Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+    covered = {j for k in range(len(w) - 4) if grams[tuple(w[k : k + 5])] > 1 for j in range(k, k + 5)}
+    seen, dup = set(), 0
+    for line in (text or "").split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), dup, len(covered)
+
+
+def test_line_rules(spark, documents, empty):
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(len(TEXTS))], "doc_id long, quality int")
+    for r in line_rules.quality_rules(documents, labels).collect():
+        if r.doc_id is None:
+            continue
+        n = brute_counts(TEXTS[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == n
+        assert r.base_failed == (n[0] < 10 or 100 * n[4] > 20 * n[0]) and not (r.base_failed and r.kept)
+    assert line_rules.quality_rules(empty, labels.where("false")).count() == 0
+
+
+def test_viterbi_is_the_best_of_all_paths():
+    import itertools
+
+    r = np.random.default_rng(3)
+    field = line_rules.LineField(r.normal(size=(4, 2)), r.normal(size=(2, 2)))
+    x, owner = r.normal(size=(13, 4)), np.array([0] * 6 + [1] + [2] * 6)
+    got = field.decode(x, owner)
+    for o in range(3):
+        emit = x[owner == o] @ field.weights
+        paths = list(itertools.product((0, 1), repeat=len(emit)))
+        score = [sum(emit[t, y] for t, y in enumerate(p)) + sum(field.transitions[a, b] for a, b in itertools.pairwise(p)) for p in paths]
+        assert tuple(got[owner == o]) == paths[int(np.argmax(score))]
+        nodes, _ = field.marginals(x, owner)
+        weight = np.exp(np.array(score) - max(score))
+        exact = (weight[:, None] * np.array(paths)).sum(axis=0) / weight.sum()
+        assert np.allclose(nodes[owner == o][:, 1], exact)
+
+
+def test_mixing_is_fair_and_orders_by_deadline(spark, documents, empty):
+    counts = mixing.slot_counts({"a": 5, "b": 3, "c": 0.01, "d": 2.2}, 500)
+    order = mixing.pfair(counts)
+    assert Counter(order) == counts
+    assert all(abs(order[:t].count(s) - t * counts[s] / 500) < 1 for s in counts for t in range(501))
+    rows = [(i, prose(50), "big" if i % 4 else "small") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.schedule(df, {"big": 1, "small": 1}, slots=10, block_bytes=1000)
+    share = got.where("_scheduled").groupBy("source").agg(F.sum(F.octet_length("text")).alias("n")).collect()
+    n = {r.source: r.n for r in share}
+    total = sum(len(t) for _, t, _ in rows)
+    assert abs(n["big"] - total / 2) < 3000 and got.where("source = 'small' and not _scheduled").count() == 0
+    assert mixing.mixed(df).columns == df.columns and mixing.mixed(empty).count() == 0
+    assert mixing.mixed(documents).columns == documents.columns
+
+
+def brute_removed(texts, length):
+    count = Counter(t[p : p + length] for t in texts for p in range(len(t) - length + 1))
+    for t in texts:
+        gone = bytearray(len(t))
+        for p in range(len(t) - length + 1):
+            if count[t[p : p + length]] > 1:
+                gone[p : p + length] = b"\1" * length
+        kept = bytes(c for c, x in zip(t, gone, strict=True) if not x)
+        yield len(t), sum(gone), sum(1 for i, x in enumerate(gone) if x and (i == 0 or not gone[i - 1])), hashlib.sha256(kept).hexdigest()
+
+
+def test_repeated_strings_are_removed(spark, documents, empty):
+    pool = ["".join(rng.choice("abcé ") for _ in range(rng.randrange(50, 600))) for _ in range(5)]
+    texts = ["".join(rng.choice(pool)[rng.randrange(60) :] if rng.random() < 0.6 else prose(20) for _ in range(rng.randrange(5))) for _ in range(60)] + [t or "" for t in TEXTS]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.digest(df).collect()}
+    assert [got[i] for i in range(len(texts))] == list(brute_removed([t.encode() for t in texts], 200))
+    assert suffix_dedup.digest(documents).count() == documents.count() and suffix_dedup.digest(empty).count() == 0
+
+
+def test_suffix_sort_orders_suffixes():
+    data = np.frombuffer(bytes(rng.choice(b"ab") for _ in range(400)), np.uint8)
+    prefix = suffix_dedup.prefix_hashes(data)
+    starts, most = np.arange(300), 40
+    group = starts % 3
+    order = suffix_dedup.sort_suffixes(data, prefix, starts, group, most)
+    key = [(group[i], data[starts[i] : starts[i] + most].tobytes()) for i in order]
+    assert key == sorted(key) and sorted(order) == list(range(300))
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var x="</p>";</script></head><body><header>Site</header><nav><ul><li><a href="/">home</a></ul></nav>
+<div class="ad">buy {0}</div><article><h1>Title {0} &amp; more</h1><p>First <b>bo</b>ld {0}<br>next<p>Second&nbsp;  text</p><div class="comments"><p>nice!</p></div></article><aside>side</aside><footer>&copy; {0}</footer>"""
+
+
+def test_html_extraction(spark):
+    rows = [(i, f"http://h{i % 2}.example/{i}", PAGE.format(i)) for i in range(8)] + [(20, None, None), (21, "x", ""), (22, "http://h1.example", "<p>a < b</p><div id='sidebar'>no</div>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in html_wrapper.extract(df).collect()}
+    for i in range(8):
+        assert got[i].text == f"Title {i} & more First bold {i} next Second text" and got[i].n_chars == len(got[i].text)
+    assert got[20].text == "" and got[21].text == "" and got[22].text == "a < b"
+    assert html_wrapper.extract(df.where("false")).count() == 0
+    wrapper = html_wrapper.infer_wrappers(df).where("host = 'h0.example'").first()
+    assert "<article><h1>#TEXT</h1>" in wrapper.wrapper and wrapper.pages == 4
+
+
+def test_wrappers_have_optional_and_repeated_parts():
+    pages = ["<div><h2>x</h2><p>a</p></div>", "<div><p>b</p><p>c</p><hr></div>", "<div><h2>y</h2><p>d</p></div>"]
+    said = html_wrapper.infer(pages).expression()
+    assert "(<h2>#TEXT</h2>)?" in said and "(<p>#TEXT</p>)+" in said
+
+
+def test_packing(documents, empty):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.default_tokenizer())
+    for capacity in (64, 2048):
+        got = packing.pack_documents(documents, capacity=capacity).collect()
+        by_sequence = {}
+        for r in got:
+            by_sequence.setdefault(r.sequence_id, []).append(r)
+        for rows in by_sequence.values():
+            at = 0
+            for r in sorted(rows, key=lambda r: r.offset):
+                assert r.offset == at
+                at += r.length
+            assert at <= capacity
+        lengths = sorted((r.length for r in got), reverse=True)
+        bins = []
+        for n in lengths:  # best fit, one by one
+            fits = [i for i, b in enumerate(bins) if b >= n]
+            i = min(fits, key=lambda i: bins[i], default=None)
+            if i is None:
+                bins.append(capacity - n)
+            else:
+                bins[i] -= n
+        assert len(by_sequence) <= len(bins) + 1
+        for d, t in enumerate(TEXTS):
+            ids = np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
+            rows = sorted((r for r in got if r.doc_id == d), key=lambda r: (r.piece, r.sequence_id, r.offset))
+            expected = [(k, s, len(ids[s : s + capacity]), zlib.crc32(ids[s : s + capacity].tobytes())) for k, s in enumerate(range(0, len(ids), capacity))]
+            copies = 2 if d == 7 else 1
+            assert [(r.piece, r.start, r.length, r.ids_crc32) for r in rows] == sorted(expected * copies)
+    assert packing.pack_documents(empty).count() == 0
+
+
+def test_packing_keeps_every_capacity():
+    counts = {1: 50, 7: 31, 20: 12, 33: 9, 64: 3}
+    places, sequences = packing.best_fit(counts, 64, most_pieces=4, most_cost=2500 + 64 * 64 - 2500)
+    load = {}
+    for length, _, n, first, each, offset in places:
+        for k in range(n):
+            load.setdefault(first + k // each, []).append((offset + k % each * length, length))
+    assert sum(len(v) for v in load.values()) == sum(counts.values()) and len(load) == sequences
+    for rows in load.values():
+        assert len(rows) <= 4 and sum(n for _, n in rows) <= 64
+        at = 0
+        for o, n in sorted(rows):
+            assert o == at
+            at += n
+
+
+def test_top_k(spark):
+    r = np.random.default_rng(5)
+    rows = [(i, [float(v) for v in r.normal(size=6)]) for i in range(150)] + [(200 + i, [0.5] * 6) for i in range(9)] + [(300, [0.0] * 6), (400, None), (401, [float("nan")] * 6), (None, [1.0] * 6), (402, [1.0, None]), (403, [2.0, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(x) for x in topk.top_k(df, "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5, block=40, query_block=2).orderBy("query_id", "rank").collect()]
+    vectors = {i: np.pad(np.floor(1024 * np.array(v)).astype(int), (0, 6 - len(v))) for i, v in rows if i is not None and v is not None and None not in v and np.isfinite(v).all()}
+    expected = []
+    for q in sorted(i for i in vectors if i % 50 == 0):
+        best = sorted(((-int(vectors[q] @ v), i) for i, v in vectors.items() if i != q))[:5]
+        expected += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    assert got == expected
+    assert topk.top_k(df.where("false"), "vec_id", "embedding", F.col("vec_id") % 50 == 0).count() == 0
+    assert topk.top_k(df.where("vec_id in (50, 51)"), "vec_id", "embedding", F.col("vec_id") % 50 == 0).count() == 1
