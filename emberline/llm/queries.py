@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_wrapper, jaccard_join, line_rules, packing, quality_ranker, secret_scan, sharding, suffix_dedup, topk
+from . import html_wrapper, jaccard_join, line_rules, mixing, packing, quality_ranker, secret_scan, sharding, suffix_dedup, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,12 @@ def op5_line_labelling_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, source, slot of the document's block in the mix and whether the mix schedules it."""
+    rows = mixing.schedule(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "source", F.col("_slot").alias("slot"), F.col("_scheduled").alias("scheduled"))
+
+
 def op7_suffix_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(table(spark, sf_dir, "documents"), length=200)
 
@@ -54,6 +60,7 @@ QUERIES = {
     "op3_pairwise_quality": op3_pairwise_quality,
     "op4_label_propagation_sharding": op4_label_propagation_sharding,
     "op5_line_labelling_rules": op5_line_labelling_rules,
+    "op6_pfair_mixing": op6_pfair_mixing,
     "op7_suffix_sort_dedup": op7_suffix_sort_dedup,
     "op8_wrapper_extraction": op8_wrapper_extraction,
     "op9_vector_best_fit": op9_vector_best_fit,

@@ -327,3 +327,20 @@ def test_top_k(spark):
     assert got == expected
     assert topk.top_k(df.where("false"), "vec_id", "embedding", F.col("vec_id") % 50 == 0).count() == 0
     assert topk.top_k(df.where("vec_id in (50, 51)"), "vec_id", "embedding", F.col("vec_id") % 50 == 0).count() == 1
+
+
+def test_schedule_against_a_plain_walk(spark):
+    """Blocks, turns and slots of a small corpus computed row by row from the ranks that the operator gave."""
+    rows = [(i, prose(20 + i % 60), "abc"[i % 3] if i % 5 else None) for i in range(200)]
+    got = mixing.schedule(spark.createDataFrame(rows, "doc_id long, text string, source string"), {"a": 3, "b": 2, "c": 1, None: 1}, slots=14, block_bytes=700).collect()
+    counts = mixing.slot_counts({"a": 3, "b": 2, "c": 1, None: 1}, 14)
+    order = mixing.pfair(counts)
+    stream = -(-(sum(len(t) for _, t, _ in rows) + 4) // 700)
+    for s in counts:
+        at = 0
+        places = [t for t, x in enumerate(order) if x == s]
+        for r in sorted((r for r in got if r.source == s), key=lambda r: r._rank_in_source):
+            block = at // 700
+            assert r._slot == block // counts[s] * len(order) + places[block % counts[s]]
+            assert r._scheduled == (r._slot < stream)
+            at += len(r.text)
