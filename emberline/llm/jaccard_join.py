@@ -283,18 +283,17 @@ def _settled(rows: DataFrame, texts: DataFrame, pairs: DataFrame, parts: DataFra
     link, the others say no more. Pairs are tried until none is left between two components.
     """
     known = None if parts is None else parts.where("node <> component").select(F.col("component").alias("u"), F.col("node").alias("v"))
-    while not pairs.isEmpty():
-        tried = pairs
+    while True:
         if parts is not None:
             of = lambda x: parts.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}"))  # noqa: E731, B023
-            tried = tried.join(of("a"), "a", "left").join(of("b"), "b", "left").withColumns({"part_a": F.coalesce("part_a", "a"), "part_b": F.coalesce("part_b", "b")})
+            tried = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").withColumns({"part_a": F.coalesce("part_a", "a"), "part_b": F.coalesce("part_b", "b")})
             pairs = written(tried.where("part_a <> part_b").select("a", "b", "distance", "part_a"), "pairs")
-            best = pairs.groupBy("b", "part_a")
-        else:
-            best = pairs.groupBy("b")
+        if pairs.isEmpty():
+            break
+        best = pairs.groupBy("b") if parts is None else pairs.groupBy("b", "part_a")
         best = written(best.agg(F.min(F.struct("distance", "a")).alias("x")).select(F.col("x.a").alias("a"), "b"), "tried")
         links = _verified(rows, texts, best, rule, salt).select(F.col("a").alias("u"), F.col("b").alias("v"))
-        pairs = written(pairs.select("a", "b", "distance").join(best, ["a", "b"], "left_anti"), "pairs")
+        pairs = pairs.select("a", "b", "distance").join(best, ["a", "b"], "left_anti")
         known = links if known is None else known.unionByName(links)
         parts = written(components(known), "parts")
         known = parts.where("node <> component").select(F.col("component").alias("u"), F.col("node").alias("v"))
