@@ -51,11 +51,12 @@ def pfair(counts: dict) -> list:
     return out
 
 
-def schedule(documents: DataFrame, weights: dict | None = None, temper: float = 0.8, slots: int = 1000, block_bytes: int = 1 << 16) -> DataFrame:
+def schedule(documents: DataFrame, weights: dict | None = None, temper: float = 0.8, slots: int = 1000, block_bytes: int | None = None) -> DataFrame:
     """documents with `_slot`, the place of each row's block in the mix, and `_scheduled`.
 
     A source's documents follow each other by a hash of their id and text and are cut into blocks of
-    `block_bytes` of text; a document belongs to the block in which it begins. Without weights a source
+    `block_bytes` of text (64 KiB, or less if the corpus has not four periods of such blocks); a document
+    belongs to the block in which it begins. Without weights a source
     weighs its bytes to the power `temper`. The stream has as many slots as the corpus has blocks;
     blocks of a source beyond its target share of them are not scheduled, and a source with fewer
     blocks leaves its later slots empty. A null source is a source; null texts have no bytes; equal
@@ -71,7 +72,9 @@ def schedule(documents: DataFrame, weights: dict | None = None, temper: float =
     weights = {s: w for s, w in weights.items() if w > 0}
     counts = slot_counts(weights, max(slots, 2 * len(weights))) if weights else {}
     period = max(1, sum(counts.values()))
-    stream = -(-sum(found.values()) // block_bytes)
+    total = sum(found.values())
+    block_bytes = block_bytes or max(1, min(1 << 16, total // (4 * period)))
+    stream = -(-total // block_bytes)
     nth, table = dict.fromkeys(counts, 0), []
     for slot, s in enumerate(pfair(counts)):
         table.append((s, counts[s], nth[s], slot))
@@ -89,7 +92,7 @@ def schedule(documents: DataFrame, weights: dict | None = None, temper: float =
     return rows.select(*documents.columns, slot.alias("_slot"), F.coalesce(slot < stream, F.lit(False)).alias("_scheduled"), F.col("_rank_in_source"))
 
 
-def mixed(documents: DataFrame, weights: dict | None = None, temper: float = 0.8, slots: int = 1000, block_bytes: int = 1 << 16) -> DataFrame:
+def mixed(documents: DataFrame, weights: dict | None = None, temper: float = 0.8, slots: int = 1000, block_bytes: int | None = None) -> DataFrame:
     """The scheduled documents in the order of the mix: partitions follow each other by slot."""
     rows = schedule(documents, weights, temper, slots, block_bytes).where("_scheduled")
     ordered = rows.repartitionByRange("_slot", F.xxhash64("doc_id", "text")).sortWithinPartitions("_slot", "source", "_rank_in_source")
