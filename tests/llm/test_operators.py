@@ -344,3 +344,13 @@ def test_schedule_against_a_plain_walk(spark):
             assert r._slot == block // counts[s] * len(order) + places[block % counts[s]]
             assert r._scheduled == (r._slot < stream)
             at += len(r.text)
+
+
+def test_a_wrapper_decides_inside_the_article():
+    """Without its wrapper a page keeps the lines that all pages of the host share."""
+    pages = [f"<article><h1>Title {i}</h1><p>Join <b>us</b> now</p><p>Body {i}</p><p>Body {i % 3} again</p></article>" for i in range(9)]
+    known = html_wrapper.slots(html_wrapper.infer(pages))
+    assert html_wrapper.main_text(pages[4], known) == "Title 4 Body 4 Body 1 again"
+    assert html_wrapper.main_text(pages[4]) == "Title 4 Join us now Body 4 Body 1 again"
+    same = ["<article><p>all the same</p></article>"] * 9
+    assert html_wrapper.main_text(same[0], html_wrapper.slots(html_wrapper.infer(same))) == "all the same"
