@@ -354,3 +354,14 @@ def test_a_wrapper_decides_inside_the_article():
     assert html_wrapper.main_text(pages[4]) == "Title 4 Join us now Body 4 Body 1 again"
     same = ["<article><p>all the same</p></article>"] * 9
     assert html_wrapper.main_text(same[0], html_wrapper.slots(html_wrapper.infer(same))) == "all the same"
+
+
+def test_all_pages_of_a_host_count(spark):
+    """5 of 300 pages have a part that a sample of 20 may well miss, and one text differs on a single page."""
+    page = lambda i: f"<div><h2>Head</h2><p>Body {i}</p><h3>{'Other' if i == 7 else 'Same'}</h3>{'<h4>Rare</h4>' if i % 60 == 1 else ''}</div>"
+    df = spark.createDataFrame([(i, "http://hot.example/", page(i)) for i in range(300)] + [(300, "http://b.example/", page(1))], "page_id long, url string, html string")
+    assert {r.host: r.pages for r in html_wrapper.infer_wrappers(df).collect()} == {"hot.example": 300, "b.example": 1}
+    got = {r.page_id: r.text for r in html_wrapper.extract(df.repartition(7)).collect()}
+    assert got == {i: f"Body {i} {'Other' if i == 7 else 'Same'}" for i in range(300)} | {300: "Head Body 1 Same Rare"}
+    wrapper = html_wrapper.infer([page(i) for i in range(3)])
+    assert html_wrapper.dumps(html_wrapper.loads(html_wrapper.dumps(wrapper))) == html_wrapper.dumps(wrapper)
