@@ -365,3 +365,14 @@ def test_all_pages_of_a_host_count(spark):
     assert got == {i: f"Body {i} {'Other' if i == 7 else 'Same'}" for i in range(300)} | {300: "Head Body 1 Same Rare"}
     wrapper = html_wrapper.infer([page(i) for i in range(3)])
     assert html_wrapper.dumps(html_wrapper.loads(html_wrapper.dumps(wrapper))) == html_wrapper.dumps(wrapper)
+
+
+def test_elements_keep_all_names_and_depths():
+    text = html_wrapper.main_text
+    assert text("<p>no</p><div class='a b c d e f g article-body'><p>yes</p></div>") == "yes"
+    assert text("<p>yes</p><div class='a b c d e f sidebar'>no</div><div class='left-sidebar'>no</div><div id='comments'>no</div>") == "yes"
+    deep = "<div>" * 3000
+    assert text(deep + "<p>no</p><article>yes<aside>no</aside></article>") == "yes"
+    assert html_wrapper.slots(html_wrapper.loads(html_wrapper.dumps(html_wrapper.infer([deep + f"<p>{i}</p><h2>Same</h2>" for i in range(2)]))))
+    said = "<article><header class='entry-header'><h1>Title</h1></header><section id='related-work' class='side-effects'><h2 id='search-algorithms'>Two</h2>x<math><mi>y</mi><mo>+</mo>z</math></section><section class='header-files'>h</section><p class='notice-period'>n</p><object>o</object><div class='related-posts'>no</div></article>"
+    assert text(said) == "Title Two xy+z h n o"
