@@ -376,3 +376,21 @@ def test_elements_keep_all_names_and_depths():
     assert html_wrapper.slots(html_wrapper.loads(html_wrapper.dumps(html_wrapper.infer([deep + f"<p>{i}</p><h2>Same</h2>" for i in range(2)]))))
     said = "<article><header class='entry-header'><h1>Title</h1></header><section id='related-work' class='side-effects'><h2 id='search-algorithms'>Two</h2>x<math><mi>y</mi><mo>+</mo>z</math></section><section class='header-files'>h</section><p class='notice-period'>n</p><object>o</object><div class='related-posts'>no</div></article>"
     assert text(said) == "Title Two xy+z h n o"
+
+
+def test_a_stream_runs_until_every_source_is_used_up(spark):
+    rows = [(i, "x" * 90, "big" if i < 300 else f"s{i % 19}") for i in range(870)] + [(870, None, None), (871, "", "empty")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.schedule(df, block_bytes=100).collect()
+    assert len(got) == len(rows) and all(r._scheduled and r._slot is not None for r in got)
+    assert sorted(r.doc_id for r in mixing.mixed(df).collect()) == list(range(872))
+    for weights in ({"a": 149, "b": 351, "c": 500}, {f"s{i}": 1 + i**1.7 for i in range(40)}, {None: 1}):
+        blocks = {s: 200 + 7 * k for k, s in enumerate(weights)}
+        places = mixing.stream(weights, blocks)
+        assert {s: len(p) for s, p in places.items()} == blocks
+        order = dict((t, s) for s, p in places.items() for t in p)
+        assert sorted(order) == list(range(sum(blocks.values())))
+        total, seen = sum(weights.values()), Counter()
+        for t in range(min(p[-1] for p in places.values())):
+            seen[order[t]] += 1
+            assert all(abs(seen[s] - (t + 1) * weights[s] / total) < 1 + 1e-6 for s in weights)
