@@ -16,8 +16,8 @@ from .common import arrow_map, chunks
 from .quality_ranker import sampled_labels
 from .textstats import N_LINE_FEATURES, document_stats
 
-#: The CRF is fitted on at most so many labelled documents of each class, and so many lines of each.
-SAMPLE_PER_CLASS, LINES_PER_SAMPLE = 1500, 200
+#: The CRF is fitted on all lines of at most so many labelled documents of each class.
+SAMPLE_PER_CLASS = 1500
 
 
 def _by_position(owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -100,8 +100,8 @@ def fit_field(x: np.ndarray, owner: np.ndarray, y: np.ndarray, rounds: int = 120
     return field
 
 
-def train_field(documents: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, lines: int = LINES_PER_SAMPLE) -> LineField:
-    """The field of a bounded sample: lines of documents labelled quality 1 count as content, of 0 as boilerplate."""
+def train_field(documents: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> LineField:
+    """The field of a bounded sample of documents, all their lines: those of documents labelled quality 1 count as content, of 0 as boilerplate."""
     some = sampled_labels(labels, "quality", F.lit(True), per_class)
     texts = documents.select("doc_id", "text").join(F.broadcast(some), "doc_id")  # 2 * per_class ids at most
 
@@ -109,7 +109,7 @@ def train_field(documents: DataFrame, labels: DataFrame, per_class: int = SAMPLE
         for part, data, offsets in chunks(batch, "text"):
             stats = document_stats(data, offsets)
             rows = np.split(stats["line_x"], np.searchsorted(stats["line_doc"], np.arange(1, part.num_rows)))
-            yield {"doc_id": part.column("doc_id"), "y": part.column("y"), "x": [r[:lines].ravel() for r in rows]}
+            yield {"doc_id": part.column("doc_id"), "y": part.column("y"), "x": [r.ravel() for r in rows]}
 
     rows = arrow_map(texts.select("doc_id", "y", "text"), of, "doc_id long, y int, x array<float>").toPandas().sort_values("doc_id")
     if rows.empty:

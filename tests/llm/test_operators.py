@@ -394,3 +394,11 @@ def test_a_stream_runs_until_every_source_is_used_up(spark):
         for t in range(min(p[-1] for p in places.values())):
             seen[order[t]] += 1
             assert all(abs(seen[s] - (t + 1) * weights[s] / total) < 1 + 1e-6 for s in weights)
+
+
+def test_a_line_field_learns_from_all_lines_of_its_documents(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(line_rules, "fit_field", lambda x, owner, y: seen.append(np.bincount(owner)))
+    df = spark.createDataFrame([(i, "\n".join(f"line {k} of {i}" for k in range(150 + 200 * i))) for i in range(4)], "doc_id long, text string")
+    line_rules.train_field(df, spark.createDataFrame([(i, i % 2, 0) for i in range(4)], "doc_id long, quality int, toxic int"))
+    assert seen[0].tolist() == [150, 350, 550, 750]
