@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -148,6 +149,37 @@ def span_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+#: Bytes up to which spans are hashed all at once, eight bytes a step; longer ones are hashed one by one.
+LONG_SPAN = 64
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] = np.arange(97, 123)
+
+
+def span_names(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold_case: bool = False) -> np.ndarray:
+    """64-bit names of data[start:end]: equal strings have equal names wherever they stand. Every eight bytes
+    go through a bijection, so unlike strings of up to eight bytes of one length never share a name, and no
+    family of strings is known that does, as there is for polynomials modulo a power of two."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = _FOLD[data] if fold_case else data
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    length = ends - starts
+    out = mix(length.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    live = np.flatnonzero((length > 0) & (length <= LONG_SPAN))
+    at = starts[live]
+    left = length[live]
+    while len(live):
+        value = eight[at]
+        value &= np.uint64(2**64 - 1) >> (np.uint64(8) * (np.uint64(8) - np.minimum(left, 8).astype(np.uint64)))
+        out[live] = mix(out[live] ^ value)
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    long = np.flatnonzero(length > LONG_SPAN)
+    if len(long):
+        view = memoryview(padded)
+        out[long] = np.array([xxhash.xxh3_64_intdigest(view[a:b], 20240601) for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True)], np.uint64)
+    return out
+
+
 def gram_hashes(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of every n consecutive words within a document and each document's first gram (n+1 values)."""
     counts = np.maximum(np.diff(first) - (n - 1), 0)

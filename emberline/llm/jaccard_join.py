@@ -4,31 +4,32 @@ A document's set is its distinct word shingles. Every shingle flips one bit of a
 sketch parts come from equal (or cancelling) parts of the sets and the Hamming distance of two
 sketches is at most the size of the sets' symmetric difference. Sets of n and m elements with a
 Jaccard similarity of a/b or more differ in at most D = (b-a)(n+m)/(b+a) elements. In each band of set
-sizes the sketch has D+1 segments for the largest D of the band: at least one segment of two similar
-sets is equal, and the sets meet there. A set stands in the band of its size and in the next one, so
-that all pairs of near enough sizes share a band.
-
-Equal sets are one node from the start. What meets is first compared by a short sketch, then by the
-whole sets. Per segment, all sets are compared with the first; where that leaves a segment's sets in
-different components, all pairs across components are compared. So no link between components is
-missed, and copies are not expanded into pairs.
+sizes the sketch has D+1+k segments for the largest D of the band: at least k+1 segments of two similar
+sets are equal. Each set leaves out its k segments with the fewest odd bits (ties by key); of the equal
+ones the last in this order is left out by neither, and there the sets meet. So sparse segments, which
+many unlike sets share, are no meeting places. A set stands in the band of its size and in the next
+one, so that all pairs of near enough sizes share a band.
+
+Equal sets are one node from the start. What meets is compared by a short sketch, then by a long one,
+then by the whole sets. Per segment, all sets are compared with the first; where that leaves a
+segment's sets in different components, all pairs across components are compared, in blocks. So no
+link between components is missed, and copies are not expanded into pairs.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, chunks, gram_hashes, mix, partitions, prefix_hashes, span_hashes, word_bounds, written
+from .common import arrow_map, chunks, gram_hashes, mix, partitions, span_names, word_bounds, written
 from .graph import components
 
-#: Bits of a segment's parity; bits of the sketch by which pairs are compared, for each possible difference.
-SEGMENT_BITS, COMPARED_BITS = 256, 16
-#: Members of a segment that are compared with all its others at a time.
-PAIR_BLOCK = 512
+#: Bits of a segment's parity; bits of the short and the long sketch for each possible difference.
+SEGMENT_BITS, SHORT_BITS, LONG_BITS = 256, 8, 64
+#: Members of a segment that meet others in one task; pairs of them that are compared at a time.
+MEMBER_BLOCK, PAIRS_AT_ONCE = 2048, 500_000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -38,7 +39,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndar
     without words has an empty set.
     """
     starts, ends, first = word_bounds(data, offsets)
-    words = span_hashes(prefix_hashes(data, fold_case=True), starts, ends)
+    words = span_names(data, starts, ends, fold_case=True)
     grams, bounds = gram_hashes(words, first, n)
     docs = np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))
     count = np.diff(first)
@@ -60,13 +61,6 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndar
     return grams, np.searchsorted(docs, np.arange(len(offsets)))
 
 
-def _xor_groups(values: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    keys, values = keys[order], values[order]
-    at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    return keys[at], np.bitwise_xor.reduceat(values, at) if len(at) else values
-
-
 class Join:
     """The arithmetic of one similarity: percent of 100."""
 
@@ -89,30 +83,41 @@ class Join:
             tops.append(max(tops[-1] + 1, 100 * tops[-1] // self.percent))
         return np.array(tops, np.int64)
 
+    def segments(self, top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Segments of the sketches of a band with the largest size `top`, and how many of them a set leaves out."""
+        most = self.most_difference(2 * top) + 1
+        return most + most // 2, most // 2
+
     def keys(self, grams: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Segment keys of every set in its two bands, and the set of each key."""
+        """Keys of the segments that every set meets others in, in its two bands, and the set of each key."""
         sizes = np.diff(bounds)
         sets = np.repeat(np.arange(len(sizes)), sizes)
         band, tops = self.bands(sizes)
         out_keys, out_sets = [], []
         for up in (0, 1):
             b = band + up
-            segments = self.most_difference(2 * tops[b]) + 1
-            place = mix(grams ^ np.uint64(0x632BE59BD9B4E019)) % (segments[sets] * SEGMENT_BITS).astype(np.uint64) if len(grams) else grams
-            # the parity of a segment's bits, folded to 64 bits: each bit has a random value
-            flip = mix(place + np.uint64(0x2545F4914F6CDD1D))
-            segment = place // np.uint64(SEGMENT_BITS)
+            segments, left_out = self.segments(tops[b])
+            segments = np.where(sizes > 0, segments, 0)
             base = np.concatenate([[0], np.cumsum(segments)])
-            parity = np.zeros(base[-1], np.uint64)
-            if len(grams):
-                at, folded = _xor_groups(flip, base[sets] + segment.astype(np.int64))
-                parity[at] = folded
+            bits = (segments * SEGMENT_BITS).astype(np.uint64)[sets]
+            place = mix(grams ^ np.uint64(0x632BE59BD9B4E019)) % bits if len(grams) else grams
+            # the bits that are flipped an odd number of times: each has a random value, a segment their exclusive or
+            spot = np.sort((base[:-1] * SEGMENT_BITS).astype(np.uint64)[sets] + place)
+            at = np.flatnonzero(np.append(True, spot[1:] != spot[:-1])) if len(spot) else np.zeros(0, np.int64)
+            spot = spot[at[np.diff(np.append(at, len(spot))) % 2 == 1]]
+            segment = (spot // np.uint64(SEGMENT_BITS)).astype(np.int64)
             owner = np.repeat(np.arange(len(sizes)), segments)
-            number = np.arange(base[-1]) - base[owner]
-            tag = (b[owner].astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64)
-            keep = sizes[owner] > 0
-            out_keys.append(mix(parity + mix(tag))[keep])
-            out_sets.append(owner[keep])
+            flip = mix(spot - (base[owner[segment]] * SEGMENT_BITS).astype(np.uint64) + np.uint64(0x2545F4914F6CDD1D))
+            parity, odd = np.zeros(base[-1], np.uint64), np.bincount(segment, minlength=base[-1])
+            if len(segment):
+                at = np.flatnonzero(np.append(True, segment[1:] != segment[:-1]))
+                parity[segment[at]] = np.bitwise_xor.reduceat(flip, at)
+            rank = np.arange(base[-1]) - base[owner]
+            tag = (b[owner].astype(np.uint64) << np.uint64(40)) + rank.astype(np.uint64)
+            keys = mix(parity + mix(tag))
+            order = np.lexsort((keys, odd, owner))[rank >= left_out[owner]]
+            out_keys.append(keys[order])
+            out_sets.append(owner[order])
         return np.concatenate(out_keys), np.concatenate(out_sets)
 
 
@@ -127,44 +132,71 @@ def _nodes(grams: np.ndarray, bounds: np.ndarray, salt: int) -> tuple[np.ndarray
     return out[0].astype(np.int64), out[1].astype(np.int64)
 
 
-def _sketches(grams: np.ndarray, bounds: np.ndarray, words: np.ndarray) -> pa.ListArray:
-    """A parity sketch of words[i] 64-bit words of each set."""
-    sets = np.repeat(np.arange(len(words)), np.diff(bounds))
-    base = np.concatenate([[0], np.cumsum(words)])
-    bit = mix(grams ^ np.uint64(0x1405789D3F84D5B5)) % (64 * words[sets]).astype(np.uint64) if len(grams) else grams
-    odd = np.bincount(64 * base[sets] + bit.astype(np.int64), minlength=64 * base[-1]) & 1
-    values = np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
-    return pa.ListArray.from_arrays(pa.array(base.astype(np.int32)), pa.array(values))
-
+def _sketches(rule: Join, grams: np.ndarray, bounds: np.ndarray, bits: int) -> dict[str, pa.Array]:
+    """The bands of the sets and their parity sketches of `bits` a difference, as of their own band and of the next."""
+    sizes = np.diff(bounds)
+    band, tops = rule.bands(sizes)
+    sets = np.repeat(np.arange(len(sizes)), sizes)
+    out = {"size": pa.array(sizes), "band": pa.array(band.astype(np.int32))}
+    for name, b in (("own", band), ("next", band + 1)):
+        words = np.where(sizes > 0, bits * (rule.most_difference(2 * tops[b]) + 1) // 64 + 1, 0)
+        base = np.concatenate([[0], np.cumsum(words)])
+        bit = mix(grams ^ np.uint64(0x1405789D3F84D5B5)) % (64 * words[sets]).astype(np.uint64) if len(grams) else grams
+        odd = np.bincount(64 * base[sets] + bit.astype(np.int64), minlength=64 * base[-1]) & 1
+        values = np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+        out[name] = pa.ListArray.from_arrays(pa.array(base.astype(np.int32)), pa.array(values))
+    return out
 
-def similarity_classes(documents: DataFrame, n: int = 3, percent: int = 90, salt: int = 0) -> DataFrame:
-    """doc_id, n_shingles, component_id: documents are linked when 100 * |A & B| >= percent * |A | B|.
 
-    component_id is the smallest doc_id that is reached by links, the document's own included. A null
-    text is an empty one: an empty set, linked with nothing. Rows with repeated ids are rows of their
-    own; a null id is linked but names no component (which is null if all its ids are). Other columns
-    are not read; an empty table gives an empty result.
+def _meet(batches):
+    """Of blocks of (keys, nodes): pairs of each key's first node with its others, and the members of keys of three and more."""
+    keys, nodes = [], []
+    for batch in batches:
+        keys += [np.frombuffer(x.as_buffer(), np.uint32).astype(np.uint64) + (np.uint64(b) << np.uint64(32)) for b, x in zip(batch.column("bucket").to_pylist(), batch.column("keys"), strict=True)]
+        nodes += [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("nodes")]
+    empty = np.zeros(0, np.int64)
+    k, v = (np.concatenate(keys), np.concatenate(nodes)) if keys else (empty.view(np.uint64), empty)
+    del keys, nodes
+    order = np.lexsort((v, k))
+    k, v = k[order], v[order]
+    new = np.ones(len(k), bool)
+    new[1:] = (k[1:] != k[:-1]) | (v[1:] != v[:-1])
+    k, v = k[new], v[new]
+    at = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else empty
+    sizes = np.diff(np.append(at, len(k)))
+    first = np.repeat(v[at], sizes)
+    rest = v != first
+    pairs = np.unique(np.stack([first[rest], v[rest]], axis=1), axis=0)
+    # groups of three and more, each set of members once
+    name = np.add.reduceat(mix(v.astype(np.uint64)), at) if len(at) else empty
+    large = np.flatnonzero(sizes > 2)
+    _, once = np.unique(name[large], return_index=True) if len(large) else (None, empty)
+    keep = np.zeros(len(at), bool)
+    keep[large[once]] = True
+    member = np.repeat(keep, sizes)
+    columns = np.concatenate([np.zeros(len(pairs), np.int64), np.repeat(name, sizes)[member].view(np.int64)]), np.concatenate([pairs[:, 0], v[member]]), np.concatenate([pairs[:, 1], v[member]])
+    yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), pa.array(np.arange(len(columns[0])) < len(pairs))], names=["segment", "a", "b", "pair"])
+
+
+def similarity_rows(documents: DataFrame, n: int = 3, percent: int = 90, salt: int = 0) -> DataFrame:
+    """doc_id, n_shingles, component_id, text_hash and part of every row; similarity_classes() says the rest.
+
+    `part` is one number for all rows of a component (null for an empty set), `text_hash` the xxhash64 of the text.
     """
     rule = Join(percent, n)
-    rows = documents.select("doc_id", "text")
+    rows = documents.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
 
     def describe(batch: pa.RecordBatch):
         for part, data, offsets in chunks(batch, "text"):
             grams, bounds = shingle_sets(data, offsets, n)
             node, check = _nodes(grams, bounds, salt)
-            band, tops = rule.bands(np.diff(bounds))
-            words = lambda b: np.where(np.diff(bounds) > 0, COMPARED_BITS * (rule.most_difference(2 * tops[b]) + 1) // 64 + 1, 0)
-            yield {"doc_id": part.column("doc_id"), "node": node, "check": check, "size": np.diff(bounds), "band": band, "own": _sketches(grams, bounds, words(band)), "next": _sketches(grams, bounds, words(band + 1))}
+            yield {"doc_id": part.column("doc_id"), "text_hash": part.column("text_hash"), "node": node, "check": check} | _sketches(rule, grams, bounds, SHORT_BITS)
 
-    described = written(arrow_map(rows, describe, "doc_id long, node long, `check` long, size long, band int, own array<long>, next array<long>"), "sets")
-    first = lambda c: F.first(c).alias(c)
-    sets = described.where("size > 0").groupBy("node").agg(F.min("doc_id").alias("least_id"), first("size"), F.min("check").alias("low"), F.max("check").alias("high"), first("band"))
+    described = written(arrow_map(rows, describe, "doc_id long, text_hash long, node long, `check` long, size long, band int, own array<long>, next array<long>"), "sets")
+    sets = described.where("size > 0").groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("check").alias("low"), F.max("check").alias("high"), F.first("band").alias("band"))
     sets = written(sets, "nodes")
-    # the sketches of one row of each node
-    firsts = sets.select(F.col("node").alias("_node"), F.col("least_id").alias("_id"))
-    looks = described.join(firsts, (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "size", "band", "own", "next")
     if not sets.where("low <> high").isEmpty():  # two sets of one name: all again with other names
-        return similarity_classes(documents, n, percent, salt + 1)
+        return similarity_rows(documents, n, percent, salt + 1)
 
     # sets meet by segment: blocks of keys, dealt by the key
     total = described.agg(F.sum("size")).first()[0] or 0
@@ -176,135 +208,139 @@ def similarity_classes(documents: DataFrame, n: int = 3, percent: int = 90, salt
             grams, bounds = shingle_sets(data, offsets, n)
             node, _ = _nodes(grams, bounds, salt)
             keys, owner = rule.keys(grams, bounds)
-            node = node[owner]
+            bucket = (keys >> np.uint64(32)) % np.uint64(buckets)
+            keys, node = (keys & np.uint64(2**32 - 1)) | (bucket << np.uint64(32)), node[owner]
             order = np.lexsort((node, keys))
             keys, node = keys[order], node[order]
             new = np.ones(len(keys), bool)
             new[1:] = (keys[1:] != keys[:-1]) | (node[1:] != node[:-1])  # copies in the chunk
             keys, node = keys[new], node[new]
-            bucket = (keys % np.uint64(buckets)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            edges = np.searchsorted(keys, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32))
+            keys = keys.astype(np.uint32)
             used = np.flatnonzero(np.diff(edges))
-            yield {"bucket": used, "keys": [keys[order[edges[b] : edges[b + 1]]].tobytes() for b in used], "nodes": [node[order[edges[b] : edges[b + 1]]].tobytes() for b in used]}
+            yield {"bucket": used, "keys": [keys[edges[b] : edges[b + 1]].tobytes() for b in used], "nodes": [node[edges[b] : edges[b + 1]].tobytes() for b in used]}
 
     blocks = arrow_map(rows, segments, "bucket int, keys binary, nodes binary").repartition(deal, "bucket")
-
-    def meet(batches):
-        keys, nodes = [], []
-        for batch in batches:
-            keys += [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("keys")]
-            nodes += [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("nodes")]
-        empty = np.zeros(0, np.int64)
-        k, v = (np.concatenate(keys), np.concatenate(nodes)) if keys else (empty, empty)
-        order = np.lexsort((v, k))
-        k, v = k[order], v[order]
-        new = np.ones(len(k), bool)
-        new[1:] = (k[1:] != k[:-1]) | (v[1:] != v[:-1])
-        k, v = k[new], v[new]
-        at = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else empty
-        sizes = np.diff(np.append(at, len(k)))
-        group = np.repeat(np.arange(len(at)), sizes)
-        first = np.repeat(v[at], sizes)
-        rest = v != first
-        pairs, often = np.unique(np.stack([first[rest], v[rest]], axis=1), axis=0, return_counts=True)
-        # groups of three and more, each set of members once
-        name = np.add.reduceat(mix(v.astype(np.uint64)), at) if len(at) else empty
-        large = np.flatnonzero(sizes > 2)
-        _, once = np.unique(name[large], return_index=True) if len(large) else (None, empty)
-        keep = np.zeros(len(at), bool)
-        keep[large[once]] = True
-        member = keep[group] if len(k) else np.zeros(0, bool)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([often, k[at][group[member]].view(np.int64) if len(k) else empty])), pa.array(np.concatenate([pairs[:, 0], np.full(member.sum(), 0)])), pa.array(np.concatenate([pairs[:, 1], v[member]])), pa.array(np.concatenate([np.ones(len(pairs), bool), np.zeros(member.sum(), bool)]))],
-            names=["segment", "a", "b", "pair"],
-        )
-
-    met = written(blocks.mapInArrow(meet, "segment long, a long, b long, pair boolean"), "met")
-    texts = sets.select("node", "least_id")
-    wanted = met.where("pair").select(F.explode(F.array("a", "b")).alias("node")).union(met.where("not pair").select("b")).distinct()
-    looks = written(looks.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "looks")
-    side = lambda x: looks.select(*[F.col(c).alias(x if c == "node" else f"{c}_{x}") for c in looks.columns])
-    xor = F.zip_with(F.when(F.col("band_a") < F.col("band_b"), F.col("next_a")).otherwise(F.col("own_a")), F.when(F.col("band_b") < F.col("band_a"), F.col("next_b")).otherwise(F.col("own_b")), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    distance = F.aggregate(xor, F.lit(0).cast("long"), lambda s, x: s + x)
-    near = (F.abs(F.col("band_a") - F.col("band_b")) <= 1) & (100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
+    met = written(blocks.mapInArrow(_meet, "segment long, a long, b long, pair boolean"), "met")
 
     # what stands first in a segment is compared with the others
     star = met.where("pair").select("a", "b").distinct()
-    star = star.join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b", "size_a", "size_b", distance.alias("distance"))
-    star = written(star.where(F.col("distance") * (100 + percent) <= (100 - percent) * (F.col("size_a") + F.col("size_b"))).select("a", "b", "distance"), "pairs")
-    parts = _settled(rows, texts, star, None, rule, salt)
+    wanted = met.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    looks = written(described.join(wanted, "node", "left_semi").dropDuplicates(["node"]).select("node", "size", "band", "own", "next"), "looks")
+    star = written(_near(star, looks, rule).select("a", "b"), "pairs")
+    links = _verified(rows, sets, star, rule, salt)
+    parts = written(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "parts")
 
     # segments whose members are not one component yet: all pairs across components
     members = met.where("not pair").select("segment", F.col("b").alias("node"))
-    members = written(members.join(parts, "node", "left").select("segment", "node", F.coalesce("component", "node").alias("part")), "members")
-    open_ = members.groupBy("segment").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("segment")
-    rest = members.join(open_, "segment").join(looks, "node")
-
-    def across(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("node")
-        node, part, size, band = (group[c].to_numpy(np.int64) for c in ("node", "part", "size", "band"))
-        names, counts = np.unique(part, return_counts=True)
-        minor = part != names[counts.argmax()]  # the others meet all; the largest's own pairs are linked already
-        out = [pd.DataFrame({c: np.zeros(0, np.int64) for c in ("a", "b", "distance")})]
-        for level in np.unique(band):  # sets of a band, and those of the one below in its sketches
-            own, below = np.flatnonzero(band == level), np.flatnonzero(band == level - 1)
-            at = np.concatenate([own, below])
-            sketch = np.stack([*group["own"].iloc[own], *group["next"].iloc[below]]).view(np.uint64)
-            rows_ = np.flatnonzero(minor[at])
-            for k in range(0, len(rows_), PAIR_BLOCK):
-                i = rows_[k : k + PAIR_BLOCK]
-                apart = np.zeros((len(i), len(at)), np.int64)
-                for w in range(sketch.shape[1]):
-                    apart += np.bitwise_count(sketch[i, None, w] ^ sketch[None, :, w])
-                si, sj = size[at[i], None], size[None, at]
-                ok = (apart * (100 + percent) <= (100 - percent) * (si + sj)) & (100 * np.minimum(si, sj) >= percent * np.maximum(si, sj))
-                ok &= (part[at[i], None] != part[None, at]) & ((band[at[i], None] == level) | (band[None, at] == level))
-                x, y = np.nonzero(ok)
-                a, b = node[at[i[x]]], node[at[y]]
-                out.append(pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "distance": apart[x, y]}))
-        return pd.concat(out).drop_duplicates()
-
-    more = rest.groupBy("segment").applyInPandas(across, "a long, b long, distance long").distinct()
-    more = written(more.join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
-    parts = _settled(rows, texts, more, parts, rule, salt)
-
-    least = parts.join(texts, "node").groupBy("component").agg(F.min("least_id").alias("component_id"))
-    ids = texts.join(parts, "node", "left").join(written(least, "least"), "component", "left").select("node", F.coalesce("component_id", "least_id").alias("component_id"))
-    ids = written(ids, "ids")
-    out = described.join(ids, "node", "left")
-    return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
-
-
-def _settled(rows: DataFrame, texts: DataFrame, pairs: DataFrame, parts: DataFrame | None, rule: Join, salt: int) -> DataFrame:
-    """node, component after all links among `pairs` (a, b, distance), given the components so far.
-
-    Of the pairs between a node and another component the nearest by sketch is tried first: if it is a
-    link, the others say no more. Pairs are tried until none is left between two components.
+    members = members.join(parts, "node", "left").join(sets.select("node", "band"), "node").select("segment", "node", "band", F.coalesce("component", "node").alias("part"))
+    members = written(members, "members")
+    counts = members.groupBy("segment", "part").agg(F.count("*").alias("n"), F.max("band").alias("band"))
+    open_ = counts.groupBy("segment").agg(F.max_by("part", "n").alias("major"), F.sum("n").alias("all"), F.max("n").alias("most"), F.count("*").alias("parts"), F.max("band").alias("level"))
+    more = written(_across(members, open_.where("parts > 1"), looks, rule), "pairs")
+    links = links.unionByName(_verified(rows, sets, more, rule, salt))
+    parts = written(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "parts")
+
+    least = parts.join(sets, "node").groupBy("component").agg(F.min("least_id").alias("component_id"))
+    ids = sets.join(parts, "node", "left").join(written(least, "least"), "component", "left")
+    ids = written(ids.select("node", F.coalesce("component_id", "least_id").alias("component_id"), F.coalesce("component", "node").alias("part")), "ids")
+    out = described.select("doc_id", "text_hash", "node", "size").join(ids, "node", "left")
+    return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "text_hash", "part")
+
+
+def similarity_classes(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
+    """doc_id, n_shingles, component_id: documents are linked when 100 * |A & B| >= percent * |A | B|.
+
+    component_id is the smallest doc_id that is reached by links, the document's own included. A null
+    text is an empty one: an empty set, linked with nothing. Rows with repeated ids are rows of their
+    own; a null id is linked but names no component (which is null if all its ids are). Texts of any
+    length are taken whole. Other columns are not read; an empty table gives an empty result.
     """
-    known = None if parts is None else parts.where("node <> component").select(F.col("component").alias("u"), F.col("node").alias("v"))
-    while True:
-        if parts is not None:
-            of = lambda x: parts.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}"))  # noqa: E731, B023
-            tried = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").withColumns({"part_a": F.coalesce("part_a", "a"), "part_b": F.coalesce("part_b", "b")})
-            pairs = written(tried.where("part_a <> part_b").select("a", "b", "distance", "part_a"), "pairs")
-        if pairs.isEmpty():
-            break
-        best = pairs.groupBy("b") if parts is None else pairs.groupBy("b", "part_a")
-        best = written(best.agg(F.min(F.struct("distance", "a")).alias("x")).select(F.col("x.a").alias("a"), "b"), "tried")
-        links = _verified(rows, texts, best, rule, salt).select(F.col("a").alias("u"), F.col("b").alias("v"))
-        pairs = pairs.select("a", "b", "distance").join(best, ["a", "b"], "left_anti")
-        known = links if known is None else known.unionByName(links)
-        parts = written(components(known), "parts")
-        known = parts.where("node <> component").select(F.col("component").alias("u"), F.col("node").alias("v"))
-    if parts is None:
-        parts = rows.sparkSession.createDataFrame([], "node long, component long")
-    return parts
-
-
-def _verified(rows: DataFrame, texts: DataFrame, pairs: DataFrame, rule: Join, salt: int) -> DataFrame:
-    """The pairs of nodes whose whole sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(texts, "node").select("least_id").distinct()
+    return similarity_rows(documents, n, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def _near(pairs: DataFrame, looks: DataFrame, rule: Join) -> DataFrame:
+    """The pairs whose sizes and sketches let them be links, with the other columns of looks on both sides."""
+    side = lambda x: looks.select(*[F.col(c).alias(x if c == "node" else f"{c}_{x}") for c in looks.columns])
+    xor = F.zip_with(F.when(F.col("band_a") < F.col("band_b"), F.col("next_a")).otherwise(F.col("own_a")), F.when(F.col("band_b") < F.col("band_a"), F.col("next_b")).otherwise(F.col("own_b")), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    distance = F.aggregate(xor, F.lit(0).cast("long"), lambda s, x: s + x)
+    sizes = (F.abs(F.col("band_a") - F.col("band_b")) <= 1) & (100 * F.least("size_a", "size_b") >= rule.percent * F.greatest("size_a", "size_b"))
+    met = pairs.join(side("b"), "b").join(side("a"), "a").where(sizes)
+    return met.where(distance * (100 + rule.percent) <= (100 - rule.percent) * (F.col("size_a") + F.col("size_b")))
+
+
+def _across(members: DataFrame, segments: DataFrame, looks: DataFrame, rule: Join) -> DataFrame:
+    """Pairs of members of a segment (a < b) in different components, near by their short sketches.
+
+    Members of other components than the segment's largest (guests) meet all members (hosts). Hosts and
+    guests are dealt into blocks, and each pair of blocks is a group of `MEMBER_BLOCK` of each at most, about.
+    """
+    rows = members.join(segments, "segment").join(looks.drop("band"), "node")
+    blocks = lambda c: F.ceil(c / MEMBER_BLOCK)
+    guest = F.col("part") != F.col("major")
+    rows = rows.select("segment", "node", "part", "size", guest.alias("minor"), F.when(F.col("band") == F.col("level"), F.col("own")).otherwise(F.col("next")).alias("sketch"), blocks(F.col("all")).alias("hosts"), blocks(F.col("all") - F.col("most")).alias("guests"))
+    at = F.explode(F.sequence(F.lit(0), F.col("hosts") * F.col("guests") - 1))
+    here = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), n)
+    rows = rows.withColumn("at", at)
+    rows = rows.withColumns({"host": F.floor(F.col("at") / F.col("guests")) == here(F.col("hosts"), 1), "guest": F.col("minor") & (F.col("at") % F.col("guests") == here(F.col("guests"), 2))})
+    rows = rows.where("host or guest").select(F.xxhash64("segment", "at").alias("group"), "node", "part", "size", "minor", "host", "guest", "sketch")
+    rows = rows.repartition("group").sortWithinPartitions("group")
+
+    def pairs(table: pa.Table) -> np.ndarray:
+        group, node, part, size = (table.column(c).to_numpy() for c in ("group", "node", "part", "size"))
+        minor, host, guest = (np.flatnonzero(table.column(c).to_numpy(zero_copy_only=False).astype(bool)) for c in ("minor", "host", "guest"))
+        is_minor = np.zeros(len(group), bool)
+        is_minor[minor] = True
+        lists = table.column("sketch").combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        words, base = lists.flatten().to_numpy().view(np.uint64), lists.offsets.to_numpy().astype(np.int64)
+        base = base - base[0]
+        width = np.diff(base)
+        low = np.searchsorted(group[host], group[guest], "left")
+        count = np.searchsorted(group[host], group[guest], "right") - low
+        out = [np.zeros((0, 2), np.int64)]
+        cut = np.searchsorted(np.cumsum(count), np.arange(0, count.sum() + PAIRS_AT_ONCE, PAIRS_AT_ONCE), "left")
+        for i, j in zip(cut[:-1], np.minimum(cut[1:], len(count)), strict=True):
+            n = count[i:j]
+            x = np.repeat(guest[i:j], n)
+            y = host[np.repeat(low[i:j], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+            ok = (part[x] != part[y]) & (~is_minor[y] | (node[x] < node[y])) & (100 * np.minimum(size[x], size[y]) >= rule.percent * np.maximum(size[x], size[y]))
+            x, y = x[ok], y[ok]
+            for w in np.unique(width[x]):
+                here = width[x] == w
+                a, b = x[here], y[here]
+                apart = np.zeros(len(a), np.int64)
+                for k in range(w):
+                    apart += np.bitwise_count(words[base[a] + k] ^ words[base[b] + k])
+                near = apart * (100 + rule.percent) <= (100 - rule.percent) * (size[a] + size[b])
+                a, b = node[a[near]], node[b[near]]
+                out.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
+        return np.unique(np.concatenate(out), axis=0)
+
+    def meet(batches):
+        held = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            table = pa.Table.from_batches(held)
+            group = table.column("group").to_numpy()
+            cut = int(np.searchsorted(group, group[-1], "left"))  # the last group may go on
+            if cut:
+                found = pairs(table.slice(0, cut))
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+                held = table.slice(cut).combine_chunks().to_batches()
+        if held:
+            found = pairs(pa.Table.from_batches(held))
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+
+    return rows.mapInArrow(meet, "a long, b long").distinct()
+
+
+def _verified(rows: DataFrame, sets: DataFrame, pairs: DataFrame, rule: Join, salt: int) -> DataFrame:
+    """The pairs of nodes whose whole sets are similar enough, after a look at their long sketches."""
+    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
+    ids = sets.join(wanted, "node", "left_semi").select("least_id").distinct()
     n = rule.n
 
     def whole(batch: pa.RecordBatch):
@@ -312,12 +348,14 @@ def _verified(rows: DataFrame, texts: DataFrame, pairs: DataFrame, rule: Join, s
             grams, bounds = shingle_sets(data, offsets, n)
             node, _ = _nodes(grams, bounds, salt)
             lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(grams.view(np.int64)))
-            yield {"node": node, "set": lists}
-
-    some = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["least_id"]), "left_semi")
-    sets = arrow_map(some, whole, "node long, `set` array<long>")
-    sets = written(sets.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").dropDuplicates(["node"]), "whole")
-    both = pairs.join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b").join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
+            yield {"node": node, "set": lists} | _sketches(rule, grams, bounds, LONG_BITS)
+
+    some = rows.join(ids, rows["doc_id"].eqNullSafe(ids["least_id"]), "left_semi").select("text")
+    held = arrow_map(some, whole, "node long, `set` array<long>, size long, band int, own array<long>, next array<long>")
+    held = written(held.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "whole")
+    near = written(_near(pairs, held.drop("set"), rule).select("a", "b"), "near")
+    side = lambda x: held.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}"))
+    both = near.join(side("b"), "b").join(side("a"), "a")
     common = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - common
     return written(both.where(100 * common >= rule.percent * union).select("a", "b"), "links")
@@ -326,14 +364,17 @@ def _verified(rows: DataFrame, texts: DataFrame, pairs: DataFrame, rule: Join, s
 def one_of_each_class(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """documents with one row of each class of similar texts: the one whose doc_id is the smallest.
 
-    Rows that repeat an id with the same text count once. Texts without words and rows without an id
-    are in no class and stay. The columns are those of documents.
+    Where the smallest id repeats in a class, the text with the smallest hash stays, once. Texts
+    without words and rows without an id are in no class and stay. An id that repeats in unlike
+    texts stays for those that are the first of their class. The columns are those of documents.
     """
-    classes = similarity_classes(documents, n, percent)
-    gone = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    first = classes.where("doc_id = component_id and n_shingles > 0").groupBy("doc_id").agg(F.count("*").alias("n"))
-    out = documents.join(written(gone.distinct(), "gone"), documents["doc_id"] == F.col("_gone"), "left_anti")
-    if not first.where("n > 1").isEmpty():
-        again = out.where("doc_id is not null").dropDuplicates(["doc_id", "text"])
-        out = again.unionByName(out.where("doc_id is null"))
+    classes = written(similarity_rows(documents, n, percent).where("doc_id is not null and part is not null").select("doc_id", "text_hash", "part"), "classes")
+    kept = classes.groupBy("part").agg(F.min(F.struct("doc_id", "text_hash")).alias("kept"))
+    rows = classes.groupBy("part", "doc_id", "text_hash").agg(F.count("*").alias("n")).join(kept, "part").withColumn("stays", F.struct("doc_id", "text_hash") == F.col("kept"))
+    rows = written(rows.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "n", "stays").where("not stays or n > 1"), "gone")
+    same = (documents["doc_id"] == F.col("_id")) & (F.xxhash64(F.coalesce(documents["text"], F.lit(""))) == F.col("_hash"))
+    out = documents.join(rows.where("not stays"), same, "left_anti")
+    if not rows.where("stays").isEmpty():  # equal rows of one id
+        again = out.join(rows.where("stays"), same, "left_semi").dropDuplicates(["doc_id", "text"])
+        out = out.join(rows.where("stays"), same, "left_anti").unionByName(again)
     return out

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .common import gram_hashes, mix, prefix_hashes, span_hashes, word_bounds
+from .common import gram_hashes, mix, span_names, word_bounds
 
 #: Features of a document and of a line.
 N_FEATURES, N_LINE_FEATURES = 20, 15
@@ -32,6 +32,23 @@ def _seen_before(group: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.
     return counts[inverse] > 1, first[inverse] != np.arange(len(key))
 
 
+def _equal_lines(data: np.ndarray, doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Is a line equal to an earlier one of its document? Lines of one name are compared byte by byte."""
+    name = span_names(data, start, end)
+    order = np.lexsort((np.arange(len(name)), name, doc))
+    same = np.append(False, (name[order][1:] == name[order][:-1]) & (doc[order][1:] == doc[order][:-1]))
+    earlier = np.zeros(len(name), bool)
+    view, seen = data.tobytes() if same.any() else b"", {}
+    for i in np.flatnonzero(same).tolist():
+        line, before = order[i], order[i - 1]
+        if not same[i - 1]:  # the first line of this name in this document
+            seen = {view[start[before] : end[before]]}
+        text = view[start[line] : end[line]]
+        earlier[line] = text in seen
+        seen.add(text)
+    return earlier
+
+
 def document_stats(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     """Per document: words, word_chars, symbols, dup_lines, repeat_words, chars and shares used as
     features; per line (line_*): its document and features. A text without a newline is one line,
@@ -39,8 +56,7 @@ def document_stats(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarra
     n = len(offsets) - 1
     lo, hi = offsets[:-1], offsets[1:]
     starts, ends, first = word_bounds(data, offsets)
-    prefix = prefix_hashes(data)
-    words = span_hashes(prefix, starts, ends)
+    words = span_names(data, starts, ends)
     doc_of_word = np.repeat(np.arange(n), np.diff(first))
     whole = (data & 0xC0) != 0x80
     space = (data == 32) | ((data >= 9) & (data <= 13))
@@ -64,9 +80,7 @@ def document_stats(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarra
     last = np.append(line_doc[1:] != line_doc[:-1], True) if n else np.zeros(0, bool)
     line_end[last] = hi[line_doc[last]]
     line_words = np.searchsorted(starts, line_end) - np.searchsorted(starts, line_start)
-    line_hash = span_hashes(prefix, line_start, line_end)
-    _, earlier = _seen_before(line_doc, line_hash)
-    dup = earlier & (line_words > 0)
+    dup = _equal_lines(data, line_doc, line_start, line_end) & (line_words > 0)
 
     upper, digit, symbol = _UPPER[data], _DIGIT[data], _SYMBOL[data]
     loud = (data == 33) | (data == 63)

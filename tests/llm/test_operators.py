@@ -402,3 +402,25 @@ def test_a_line_field_learns_from_all_lines_of_its_documents(spark, monkeypatch)
     df = spark.createDataFrame([(i, "\n".join(f"line {k} of {i}" for k in range(150 + 200 * i))) for i in range(4)], "doc_id long, text string")
     line_rules.train_field(df, spark.createDataFrame([(i, i % 2, 0) for i in range(4)], "doc_id long, quality int, toxic int"))
     assert seen[0].tolist() == [150, 350, 550, 750]
+
+
+def thue_morse(n):
+    return "".join("ab"[i.bit_count() & 1] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_unlike_strings_that_polynomials_take_for_equal(spark, n):
+    one = thue_morse(n)
+    other = one.translate(str.maketrans("ab", "ba"))
+    texts = [f"x y {one} z w", f"x y {other} z w", f"{one}\n{other}\n{one}"]
+    documents = spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard_join.similarity_classes(documents).collect()} == {1: 1, 2: 2, 3: 3}
+    rules = line_rules.apply_rules(documents, line_rules.fit_field(np.zeros((0, line_rules.N_LINE_FEATURES)), np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    assert {r.doc_id: r.n_dup_lines for r in rules.collect()} == {1: 0, 2: 0, 3: 1}
+
+
+def test_repeated_ids_keep_their_unlike_texts(spark):
+    rows = [(1, "e1"), (1, BASE), (2, BASE + " tail"), (2, prose(60)), (3, prose(50)), (3, BASE), (4, BASE + " tail"), (4, BASE + " tail")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r.doc_id, r.text) for r in jaccard_join.one_of_each_class(documents).collect())
+    assert kept == sorted([(1, "e1"), (1, BASE), (2, rows[3][1]), (3, rows[4][1])])
