@@ -11,25 +11,30 @@ many unlike sets share, are no meeting places. A set stands in the band of its s
 one, so that all pairs of near enough sizes share a band.
 
 Equal sets are one node from the start. What meets is compared by a short sketch, then by a long one,
-then by the whole sets. Per segment, all sets are compared with the first; where that leaves a
-segment's sets in different components, all pairs across components are compared, in blocks. So no
-link between components is missed, and copies are not expanded into pairs.
+then by the whole sets. Per segment, all sets are compared with the first, the pivot; where that leaves
+sets that met one pivot in different components, all pairs of them across components are compared, in
+blocks, and a block gives the links that join components, not all its pairs. So no link between
+components is missed, and neither copies nor near copies are expanded into pairs.
 """
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import arrow_map, chunks, gram_hashes, mix, partitions, span_names, word_bounds, written
 from .graph import components
 
 #: Bits of a segment's parity; bits of the short and the long sketch for each possible difference.
 SEGMENT_BITS, SHORT_BITS, LONG_BITS = 256, 8, 64
-#: Members of a segment that meet others in one task; pairs of them that are compared at a time.
-MEMBER_BLOCK, PAIRS_AT_ONCE = 2048, 500_000
+#: Sets (or so many shingles) of a pivot that meet others in one task; pairs that are compared at a time.
+MEMBER_BLOCK, SHINGLE_BLOCK, PAIRS_AT_ONCE = 2048, 4_000_000, 500_000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -132,50 +137,61 @@ def _nodes(grams: np.ndarray, bounds: np.ndarray, salt: int) -> tuple[np.ndarray
     return out[0].astype(np.int64), out[1].astype(np.int64)
 
 
+def _parities(rule: Join, tops: np.ndarray, grams: np.ndarray, bounds: np.ndarray, band: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Parity sketches of the sets, of `bits` a difference that is possible in `band`: 64-bit words end to end and the offsets."""
+    sizes = np.diff(bounds)
+    words = np.where(sizes > 0, bits * (rule.most_difference(2 * tops[band]) + 1) // 64 + 1, 0)
+    base = np.concatenate([[0], np.cumsum(words)])
+    sets = np.repeat(np.arange(len(sizes)), sizes)
+    bit = mix(grams ^ np.uint64(0x1405789D3F84D5B5)) % (64 * words[sets]).astype(np.uint64) if len(grams) else grams
+    odd = np.bincount(64 * base[sets] + bit.astype(np.int64), minlength=64 * base[-1]) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64), base
+
+
 def _sketches(rule: Join, grams: np.ndarray, bounds: np.ndarray, bits: int) -> dict[str, pa.Array]:
-    """The bands of the sets and their parity sketches of `bits` a difference, as of their own band and of the next."""
+    """The bands of the sets and their sketches, as of their own band and of the next."""
     sizes = np.diff(bounds)
     band, tops = rule.bands(sizes)
-    sets = np.repeat(np.arange(len(sizes)), sizes)
     out = {"size": pa.array(sizes), "band": pa.array(band.astype(np.int32))}
     for name, b in (("own", band), ("next", band + 1)):
-        words = np.where(sizes > 0, bits * (rule.most_difference(2 * tops[b]) + 1) // 64 + 1, 0)
-        base = np.concatenate([[0], np.cumsum(words)])
-        bit = mix(grams ^ np.uint64(0x1405789D3F84D5B5)) % (64 * words[sets]).astype(np.uint64) if len(grams) else grams
-        odd = np.bincount(64 * base[sets] + bit.astype(np.int64), minlength=64 * base[-1]) & 1
-        values = np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
-        out[name] = pa.ListArray.from_arrays(pa.array(base.astype(np.int32)), pa.array(values))
+        words, base = _parities(rule, tops, grams, bounds, b, bits)
+        out[name] = pa.ListArray.from_arrays(pa.array(base.astype(np.int32)), pa.array(words.view(np.int64)))
     return out
 
 
+def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a column of lists end to end, as unsigned ones, and the offsets."""
+    column = column.combine_chunks()
+    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+    base = column.offsets.to_numpy().astype(np.int64)
+    return column.flatten().to_numpy().view(np.uint64), base - base[0]
+
+
 def _meet(batches):
-    """Of blocks of (keys, nodes): pairs of each key's first node with its others, and the members of keys of three and more."""
+    """Of blocks of (keys, nodes): pairs of each key's first node, the pivot, with its others, and whether a key had more than two."""
     keys, nodes = [], []
     for batch in batches:
         keys += [np.frombuffer(x.as_buffer(), np.uint32).astype(np.uint64) + (np.uint64(b) << np.uint64(32)) for b, x in zip(batch.column("bucket").to_pylist(), batch.column("keys"), strict=True)]
         nodes += [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("nodes")]
-    empty = np.zeros(0, np.int64)
-    k, v = (np.concatenate(keys), np.concatenate(nodes)) if keys else (empty.view(np.uint64), empty)
+    if not keys:
+        return
+    k, v = np.concatenate(keys), np.concatenate(nodes)
     del keys, nodes
     order = np.lexsort((v, k))
     k, v = k[order], v[order]
     new = np.ones(len(k), bool)
     new[1:] = (k[1:] != k[:-1]) | (v[1:] != v[:-1])
     k, v = k[new], v[new]
-    at = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else empty
+    at = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
     sizes = np.diff(np.append(at, len(k)))
-    first = np.repeat(v[at], sizes)
+    first, several = np.repeat(v[at], sizes), np.repeat(sizes > 2, sizes)
     rest = v != first
-    pairs = np.unique(np.stack([first[rest], v[rest]], axis=1), axis=0)
-    # groups of three and more, each set of members once
-    name = np.add.reduceat(mix(v.astype(np.uint64)), at) if len(at) else empty
-    large = np.flatnonzero(sizes > 2)
-    _, once = np.unique(name[large], return_index=True) if len(large) else (None, empty)
-    keep = np.zeros(len(at), bool)
-    keep[large[once]] = True
-    member = np.repeat(keep, sizes)
-    columns = np.concatenate([np.zeros(len(pairs), np.int64), np.repeat(name, sizes)[member].view(np.int64)]), np.concatenate([pairs[:, 0], v[member]]), np.concatenate([pairs[:, 1], v[member]])
-    yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), pa.array(np.arange(len(columns[0])) < len(pairs))], names=["segment", "a", "b", "pair"])
+    a, b, several = first[rest], v[rest], several[rest]
+    order = np.lexsort((~several, b, a))
+    a, b, several = a[order], b[order], several[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    yield pa.RecordBatch.from_arrays([pa.array(c[new]) for c in (a, b, several)], names=["a", "b", "several"])
 
 
 def similarity_rows(documents: DataFrame, n: int = 3, percent: int = 90, salt: int = 0) -> DataFrame:
@@ -221,24 +237,25 @@ def similarity_rows(documents: DataFrame, n: int = 3, percent: int = 90, salt: i
             yield {"bucket": used, "keys": [keys[edges[b] : edges[b + 1]].tobytes() for b in used], "nodes": [node[edges[b] : edges[b + 1]].tobytes() for b in used]}
 
     blocks = arrow_map(rows, segments, "bucket int, keys binary, nodes binary").repartition(deal, "bucket")
-    met = written(blocks.mapInArrow(_meet, "segment long, a long, b long, pair boolean"), "met")
+    met = blocks.mapInArrow(_meet, "a long, b long, several boolean")
+    met = written(met.groupBy("a", "b").agg(F.max("several").alias("several")), "met")
 
-    # what stands first in a segment is compared with the others
-    star = met.where("pair").select("a", "b").distinct()
+    # pivots are compared with what they met
     wanted = met.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     looks = written(described.join(wanted, "node", "left_semi").dropDuplicates(["node"]).select("node", "size", "band", "own", "next"), "looks")
-    star = written(_near(star, looks, rule).select("a", "b"), "pairs")
-    links = _verified(rows, sets, star, rule, salt)
+    star = written(_near(met.select("a", "b"), looks, rule).select("a", "b"), "pairs")
+    whole = _whole(rows, sets, star.select(F.explode(F.array("a", "b")).alias("node")), rule, salt)
+    links = _verified(star, whole, rule)
     parts = written(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "parts")
 
-    # segments whose members are not one component yet: all pairs across components
-    members = met.where("not pair").select("segment", F.col("b").alias("node"))
-    members = members.join(parts, "node", "left").join(sets.select("node", "band"), "node").select("segment", "node", "band", F.coalesce("component", "node").alias("part"))
-    members = written(members, "members")
-    counts = members.groupBy("segment", "part").agg(F.count("*").alias("n"), F.max("band").alias("band"))
-    open_ = counts.groupBy("segment").agg(F.max_by("part", "n").alias("major"), F.sum("n").alias("all"), F.max("n").alias("most"), F.count("*").alias("parts"), F.max("band").alias("level"))
-    more = written(_across(members, open_.where("parts > 1"), looks, rule), "pairs")
-    links = links.unionByName(_verified(rows, sets, more, rule, salt))
+    # what met one pivot and is not one component yet: all pairs across components
+    members = met.where("several").select(F.col("a").alias("pivot"), F.col("b").alias("node")).join(parts, "node", "left").join(looks, "node")
+    level = F.explode(F.array(F.struct(F.col("band").alias("level"), F.col("own").alias("sketch")), F.struct((F.col("band") + 1).alias("level"), F.col("next").alias("sketch"))))
+    members = members.withColumn("at", level).select("pivot", "at.level", "node", F.coalesce("component", "node").alias("part"), "size", (F.col("at.level") == F.col("band")).alias("top"), "at.sketch")
+    near = written(_in_blocks(members, _near_members(rule), "pivot long, level int, node long, part long, size long, top boolean").distinct(), "near")
+    whole = _whole(rows, sets, near.select("node"), rule, salt).select("node", "set")
+    more = _in_blocks(near.join(whole, "node").select(*near.columns, "set"), _joining_links(rule), "a long, b long")
+    links = written(links.unionByName(more.distinct()), "links")
     parts = written(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "parts")
 
     least = parts.join(sets, "node").groupBy("component").agg(F.min("least_id").alias("component_id"))
@@ -269,77 +286,133 @@ def _near(pairs: DataFrame, looks: DataFrame, rule: Join) -> DataFrame:
     return met.where(distance * (100 + rule.percent) <= (100 - rule.percent) * (F.col("size_a") + F.col("size_b")))
 
 
-def _across(members: DataFrame, segments: DataFrame, looks: DataFrame, rule: Join) -> DataFrame:
-    """Pairs of members of a segment (a < b) in different components, near by their short sketches.
+def _in_blocks(members: DataFrame, function, schema: str) -> DataFrame:
+    """function over the groups of (pivot, level), from a table of whole groups to a dict of columns.
 
-    Members of other components than the segment's largest (guests) meet all members (hosts). Hosts and
-    guests are dealt into blocks, and each pair of blocks is a group of `MEMBER_BLOCK` of each at most, about.
+    Only groups of several components take part. Members of other components than the group's largest
+    (guests) meet all members (hosts). Hosts and guests are dealt into blocks, and a pair of blocks is a
+    group of its own, of `MEMBER_BLOCK` hosts and guests at most, about.
     """
-    rows = members.join(segments, "segment").join(looks.drop("band"), "node")
-    blocks = lambda c: F.ceil(c / MEMBER_BLOCK)
-    guest = F.col("part") != F.col("major")
-    rows = rows.select("segment", "node", "part", "size", guest.alias("minor"), F.when(F.col("band") == F.col("level"), F.col("own")).otherwise(F.col("next")).alias("sketch"), blocks(F.col("all")).alias("hosts"), blocks(F.col("all") - F.col("most")).alias("guests"))
-    at = F.explode(F.sequence(F.lit(0), F.col("hosts") * F.col("guests") - 1))
+    key = ["pivot", "level"]
+    counts = members.groupBy(*key, "part").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
+    blocks = lambda n, s: F.ceil(F.greatest(n / MEMBER_BLOCK, s / SHINGLE_BLOCK)).cast("long")
+    n, s, major = F.sum("n"), F.sum("s"), F.max(F.struct("n", "s", "part"))
+    groups = counts.groupBy(*key).agg(major.getField("part").alias("major"), blocks(n, s).alias("hosts"), blocks(n - major.getField("n"), s - major.getField("s")).alias("guests"), F.count("*").alias("parts"))
+    groups = groups.where("parts > 1").withColumn("guests", F.greatest("guests", F.lit(1)))
     here = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), n)
-    rows = rows.withColumn("at", at)
+    rows = members.join(groups, key).withColumn("minor", F.col("part") != F.col("major"))
+    rows = rows.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("hosts") * F.col("guests") - 1)))
     rows = rows.withColumns({"host": F.floor(F.col("at") / F.col("guests")) == here(F.col("hosts"), 1), "guest": F.col("minor") & (F.col("at") % F.col("guests") == here(F.col("guests"), 2))})
-    rows = rows.where("host or guest").select(F.xxhash64("segment", "at").alias("group"), "node", "part", "size", "minor", "host", "guest", "sketch")
+    rows = rows.where("host or guest").select(F.xxhash64(*key, "at").alias("group"), *members.columns, "minor", "host", "guest")
     rows = rows.repartition("group").sortWithinPartitions("group")
+    target = to_arrow_schema(T._parse_datatype_string(schema))
 
-    def pairs(table: pa.Table) -> np.ndarray:
-        group, node, part, size = (table.column(c).to_numpy() for c in ("group", "node", "part", "size"))
-        minor, host, guest = (np.flatnonzero(table.column(c).to_numpy(zero_copy_only=False).astype(bool)) for c in ("minor", "host", "guest"))
-        is_minor = np.zeros(len(group), bool)
-        is_minor[minor] = True
-        lists = table.column("sketch").combine_chunks()
-        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-        words, base = lists.flatten().to_numpy().view(np.uint64), lists.offsets.to_numpy().astype(np.int64)
-        base = base - base[0]
-        width = np.diff(base)
-        low = np.searchsorted(group[host], group[guest], "left")
-        count = np.searchsorted(group[host], group[guest], "right") - low
-        out = [np.zeros((0, 2), np.int64)]
-        cut = np.searchsorted(np.cumsum(count), np.arange(0, count.sum() + PAIRS_AT_ONCE, PAIRS_AT_ONCE), "left")
-        for i, j in zip(cut[:-1], np.minimum(cut[1:], len(count)), strict=True):
-            n = count[i:j]
-            x = np.repeat(guest[i:j], n)
-            y = host[np.repeat(low[i:j], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-            ok = (part[x] != part[y]) & (~is_minor[y] | (node[x] < node[y])) & (100 * np.minimum(size[x], size[y]) >= rule.percent * np.maximum(size[x], size[y]))
-            x, y = x[ok], y[ok]
-            for w in np.unique(width[x]):
-                here = width[x] == w
-                a, b = x[here], y[here]
-                apart = np.zeros(len(a), np.int64)
-                for k in range(w):
-                    apart += np.bitwise_count(words[base[a] + k] ^ words[base[b] + k])
-                near = apart * (100 + rule.percent) <= (100 - rule.percent) * (size[a] + size[b])
-                a, b = node[a[near]], node[b[near]]
-                out.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
-        return np.unique(np.concatenate(out), axis=0)
-
-    def meet(batches):
+    def run(batches):
         held = []
-        for batch in batches:
-            if not batch.num_rows:
+        for batch in chain(batches, [None]):
+            if batch is not None and batch.num_rows:
+                held.append(batch)
+            if not held:
                 continue
-            held.append(batch)
             table = pa.Table.from_batches(held)
             group = table.column("group").to_numpy()
-            cut = int(np.searchsorted(group, group[-1], "left"))  # the last group may go on
+            cut = int(np.searchsorted(group, group[-1], "left")) if batch is not None else len(group)  # the last group may go on
             if cut:
-                found = pairs(table.slice(0, cut))
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
-                held = table.slice(cut).combine_chunks().to_batches()
-        if held:
-            found = pairs(pa.Table.from_batches(held))
-            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
-
-    return rows.mapInArrow(meet, "a long, b long").distinct()
-
-
-def _verified(rows: DataFrame, sets: DataFrame, pairs: DataFrame, rule: Join, salt: int) -> DataFrame:
-    """The pairs of nodes whose whole sets are similar enough, after a look at their long sketches."""
-    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
+                found = function(table.slice(0, cut))
+                yield pa.RecordBatch.from_arrays([pa.array(found[f.name], f.type) for f in target], schema=target)
+                held = table.slice(cut).combine_chunks().to_batches() if cut < len(group) else []
+
+    return rows.mapInArrow(run, schema)
+
+
+def _met_pairs(table: pa.Table, rule: Join):
+    """Index pairs (guest, host) of each group, some at a time: of two components and near enough sizes."""
+    group, node, part, size = (table.column(c).to_numpy() for c in ("group", "node", "part", "size"))
+    minor, host, guest, top = (table.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("minor", "host", "guest", "top"))
+    host, guest = np.flatnonzero(host), np.flatnonzero(guest)
+    low = np.searchsorted(group[host], group[guest], "left")
+    count = np.searchsorted(group[host], group[guest], "right") - low
+    cut = np.unique(np.append(np.searchsorted(np.cumsum(count), np.arange(0, count.sum(), PAIRS_AT_ONCE), "left"), len(count)))
+    for i, j in zip(cut[:-1], cut[1:], strict=True):
+        n = count[i:j]
+        x = np.repeat(guest[i:j], n)
+        y = host[np.repeat(low[i:j], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        # two guests meet in both ways, and sets of the band below in a level of their own
+        ok = (part[x] != part[y]) & (~minor[y] | (node[x] < node[y])) & (top[x] | top[y])
+        ok &= 100 * np.minimum(size[x], size[y]) >= rule.percent * np.maximum(size[x], size[y])
+        yield x[ok], y[ok]
+
+
+def _apart(rule: Join, size: np.ndarray, words: np.ndarray, base: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs that may be links by their sketches, and the distances of those."""
+    out = [[np.zeros(0, np.int64)] for _ in range(3)]
+    width = np.diff(base)[x]
+    for w in np.unique(width):
+        a, b = x[width == w], y[width == w]
+        apart = np.zeros(len(a), np.int64)
+        for k in range(w):
+            apart += np.bitwise_count(words[base[a] + k] ^ words[base[b] + k])
+        near = apart * (100 + rule.percent) <= (100 - rule.percent) * (size[a] + size[b])
+        for o, v in zip(out, (a, b, apart), strict=True):
+            o.append(v[near])
+    return tuple(np.concatenate(o) for o in out)
+
+
+def _near_members(rule: Join):
+    """The members of groups that are near a member of another component by their short sketches."""
+
+    def found(table: pa.Table) -> dict:
+        words, base = _lists(table.column("sketch"))
+        size = table.column("size").to_numpy()
+        near = np.zeros(table.num_rows, bool)
+        for x, y in _met_pairs(table, rule):
+            for side in _apart(rule, size, words, base, x, y)[:2]:
+                near[side] = True
+        rows = table.filter(pa.array(near))
+        return {c: rows.column(c).combine_chunks() for c in ("pivot", "level", "node", "part", "size", "top")}
+
+    return found
+
+
+def _joining_links(rule: Join):
+    """Links between members of different components, by their whole sets; of links that join the same components, one."""
+
+    def found(table: pa.Table) -> dict:
+        grams, bounds = _lists(table.column("set"))
+        node, part, level = (table.column(c).to_numpy() for c in ("node", "part", "level"))
+        size = np.diff(bounds)
+        words, base = _parities(rule, rule.tops(int(size.max())), grams, bounds, level, LONG_BITS)
+        joined: dict[int, int] = {}
+
+        def root(p: int) -> int:
+            path = []
+            while p in joined:
+                path.append(p)
+                p = joined[p]
+            joined.update(dict.fromkeys(path, p))
+            return p
+
+        a, b = [], []
+        for x, y in _met_pairs(table, rule):
+            x, y, apart = _apart(rule, size, words, base, x, y)
+            order = np.argsort(apart, kind="stable")
+            for i, j in zip(x[order].tolist(), y[order].tolist(), strict=True):
+                p, q = root(int(part[i])), root(int(part[j]))
+                if p == q:
+                    continue
+                common = len(np.intersect1d(grams[bounds[i] : bounds[i + 1]], grams[bounds[j] : bounds[j + 1]], assume_unique=True))
+                if 100 * common >= rule.percent * (int(size[i]) + int(size[j]) - common):
+                    joined[p] = q
+                    a.append(int(node[i]))
+                    b.append(int(node[j]))
+        return {"a": a, "b": b}
+
+    return found
+
+
+def _whole(rows: DataFrame, sets: DataFrame, wanted: DataFrame, rule: Join, salt: int) -> DataFrame:
+    """node, set, size, band and long sketches of the wanted nodes."""
+    wanted = written(wanted.distinct(), "wanted")
     ids = sets.join(wanted, "node", "left_semi").select("least_id").distinct()
     n = rule.n
 
@@ -352,9 +425,13 @@ def _verified(rows: DataFrame, sets: DataFrame, pairs: DataFrame, rule: Join, sa
 
     some = rows.join(ids, rows["doc_id"].eqNullSafe(ids["least_id"]), "left_semi").select("text")
     held = arrow_map(some, whole, "node long, `set` array<long>, size long, band int, own array<long>, next array<long>")
-    held = written(held.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "whole")
-    near = written(_near(pairs, held.drop("set"), rule).select("a", "b"), "near")
-    side = lambda x: held.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}"))
+    return written(held.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "whole")
+
+
+def _verified(pairs: DataFrame, whole: DataFrame, rule: Join) -> DataFrame:
+    """The pairs of nodes whose whole sets are similar enough, after a look at their long sketches."""
+    near = written(_near(pairs, whole.drop("set"), rule).select("a", "b"), "near")
+    side = lambda x: whole.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}"))
     both = near.join(side("b"), "b").join(side("a"), "a")
     common = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - common
