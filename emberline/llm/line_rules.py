@@ -18,6 +18,8 @@ from .textstats import N_LINE_FEATURES, document_stats
 
 #: The CRF is fitted on all lines of at most so many labelled documents of each class.
 SAMPLE_PER_CLASS = 1500
+#: A line of the sample that stands after so many unlike lines, and before so many, is boilerplate anywhere.
+RECURRING = 3
 
 
 def _by_position(owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -100,23 +102,50 @@ def fit_field(x: np.ndarray, owner: np.ndarray, y: np.ndarray, rounds: int = 120
     return field
 
 
+def line_labels(doc: np.ndarray, good: np.ndarray, name: np.ndarray, dup: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Labels of lines (1 content, 0 boilerplate) from those of their documents (`good`) and from each other.
+
+    A line is labelled as its document is, but for three kinds of lines: one that repeats an earlier line
+    of its document, and one that recurs in unlike surroundings (copies of a document recur in the same
+    ones), are boilerplate in good documents too; one that stands in a good document as content is
+    content in others. Lines without words go with the line before them.
+    """
+    y = good.astype(np.int64)
+    if not len(y):
+        return y
+    inner = doc[1:] == doc[:-1]
+    before, after = np.zeros(len(name), np.uint64), np.zeros(len(name), np.uint64)
+    before[1:][inner], after[:-1][inner] = name[:-1][inner], name[1:][inner]
+    _, which = np.unique(name, return_inverse=True)
+    beside = lambda side: np.bincount(np.unique(np.stack([which.astype(np.uint64), side], axis=1), axis=0)[:, 0].astype(np.int64), minlength=which.max() + 1)
+    recurs = ((beside(before) >= RECURRING) & (beside(after) >= RECURRING))[which] & (words > 0)
+    y[dup | recurs] = 0
+    content = np.bincount(which[(y == 1) & (words > 0)], minlength=which.max() + 1) > 0
+    y[content[which] & (words > 0) & ~dup & ~recurs] = 1
+    at = np.maximum.accumulate(np.where((words > 0) | np.append(True, ~inner), np.arange(len(y)), 0))
+    return y[at]
+
+
 def train_field(documents: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> LineField:
-    """The field of a bounded sample of documents, all their lines: those of documents labelled quality 1 count as content, of 0 as boilerplate."""
+    """The field of a bounded sample of documents, all their lines, labelled by line_labels() from `quality`."""
     some = sampled_labels(labels, "quality", F.lit(True), per_class)
     texts = documents.select("doc_id", "text").join(F.broadcast(some), "doc_id")  # 2 * per_class ids at most
 
     def of(batch: pa.RecordBatch):
         for part, data, offsets in chunks(batch, "text"):
             stats = document_stats(data, offsets)
-            rows = np.split(stats["line_x"], np.searchsorted(stats["line_doc"], np.arange(1, part.num_rows)))
-            yield {"doc_id": part.column("doc_id"), "y": part.column("y"), "x": [r.ravel() for r in rows]}
+            cut = lambda v: np.split(v, np.searchsorted(stats["line_doc"], np.arange(1, part.num_rows)))  # noqa: B023, E731
+            yield {"doc_id": part.column("doc_id"), "y": part.column("y"), "x": [r.ravel() for r in cut(stats["line_x"])], "name": cut(stats["line_name"].view(np.int64)), "dup": cut(stats["line_dup"]), "words": cut(stats["line_words"])}
 
-    rows = arrow_map(texts.select("doc_id", "y", "text"), of, "doc_id long, y int, x array<float>").toPandas().sort_values("doc_id")
+    rows = arrow_map(texts.select("doc_id", "y", "text"), of, "doc_id long, y int, x array<float>, name array<long>, dup array<boolean>, words array<long>").toPandas()
     if rows.empty:
         return fit_field(np.zeros((0, N_LINE_FEATURES)), np.zeros(0, np.int64), np.zeros(0, np.int64))
-    parts = [np.asarray(v, np.float64).reshape(-1, N_LINE_FEATURES) for v in rows["x"]]
-    sizes = [len(p) for p in parts]
-    return fit_field(np.concatenate(parts), np.repeat(np.arange(len(parts)), sizes), np.repeat(rows["y"].to_numpy(), sizes))
+    rows = rows.assign(key=[tuple(n) for n in rows["name"]]).sort_values(["doc_id", "key"])
+    sizes = [len(n) for n in rows["name"]]
+    owner = np.repeat(np.arange(len(rows)), sizes)
+    x = np.concatenate([np.asarray(v, np.float64).reshape(-1, N_LINE_FEATURES) for v in rows["x"]])
+    name, dup, words = (np.concatenate([np.asarray(v, kind) for v in rows[c]]) for c, kind in (("name", np.int64), ("dup", bool), ("words", np.int64)))
+    return fit_field(x, owner, line_labels(owner, np.repeat(rows["y"].to_numpy(), sizes), name.view(np.uint64), dup, words))
 
 
 def apply_rules(documents: DataFrame, field: LineField, least_content: float = 0.5) -> DataFrame:
@@ -148,4 +177,8 @@ def apply_rules(documents: DataFrame, field: LineField, least_content: float = 0
 
 
 def quality_rules(documents: DataFrame, labels: DataFrame, least_content: float = 0.5) -> DataFrame:
+    """apply_rules() with a field that is learned from the documents that `labels` covers.
+
+    Without labels of both classes every line is content. Labels may be null, repeat or name no document.
+    """
     return apply_rules(documents, train_field(documents, labels), least_content)

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import zlib
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -20,7 +19,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, chunks, ranked, written
+from .common import CHUNK_BYTES, arrow_map, chunks, ranked, span_names, word_bounds, written
 
 #: Words whose ids each worker remembers: those of the last so many new ones, and of as many before.
 REMEMBERED_WORDS = 160_000
@@ -64,18 +63,28 @@ class WordTokenizer:
             self.known[w] = self.before[w]
         return words - again
 
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").encode().split() for t in texts]
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end and the n+1 offsets. Each word of the chunk is looked up once."""
+        starts, ends, first = word_bounds(data, offsets)
+        _, at, which = np.unique(span_names(data, starts, ends), return_index=True, return_inverse=True)
+        whole = data.tobytes()
+        words = [whole[i:j] for i, j in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
         if len(self.known) > REMEMBERED_WORDS:
             self.known, self.before = {}, self.known
-        fresh = self._remember(set(chain.from_iterable(split)).difference(self.known))
+        fresh = self._remember(set(words).difference(self.known))
         # punctuation after a letter or digit is a token of its own: most of such words are known without it
         parts = {w: m.groups() for w in fresh if not w[-1:].isalnum() and b"<|" not in w and (m := _PUNCTUATED.fullmatch(w))}
         bare = self._remember({p for x in parts.values() for p in x}.difference(self.known))
         self._encode(sorted((fresh - parts.keys()) | bare))
         for w, (stem, rest) in parts.items():
             self.known[w] = self.known[stem] + self.known[rest]
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        found = [self.known[w] for w in words]
+        size = np.array([len(x) for x in found], np.int64) // 4
+        flat, base = np.frombuffer(b"".join(found), "<u4"), np.cumsum(size) - size
+        n = size[which]
+        after = np.concatenate([[0], np.cumsum(n)])
+        ids = flat[np.repeat(base[which] - after[:-1], n) + np.arange(after[-1])] if len(n) else flat
+        return ids, after[first]
 
 
 @lru_cache(maxsize=2)
@@ -89,10 +98,12 @@ def pieces(documents: DataFrame, tokenizer_path: str, capacity: int = 2048, end_
     end = np.array([end_id], "<u4").tobytes()
 
     def of(batch: pa.RecordBatch):
-        for some, _, _ in chunks(batch, "text"):
+        for some, data, offsets in chunks(batch, "text", 2 * CHUNK_BYTES):
             out = {c: [] for c in ("doc_id", "piece", "start", "length", "ids_crc32")}
-            for doc, data in zip(some.column("doc_id").to_pylist(), _tokenizer(tokenizer_path)(some.column("text").to_pylist()), strict=True):
-                data += end
+            ids, bounds = _tokenizer(tokenizer_path)(data, offsets)
+            whole, bounds = ids.tobytes(), (4 * bounds).tolist()
+            for doc, begin, stop in zip(some.column("doc_id").to_pylist(), bounds[:-1], bounds[1:], strict=True):
+                data = whole[begin:stop] + end
                 for k, start in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[start : start + 4 * capacity]
                     for c, v in zip(out, (doc, k, start // 4, len(part) // 4, zlib.crc32(part)), strict=True):

@@ -70,15 +70,15 @@ QUERIES = {
 ORACLES = {
     "op10_threshold_top_k": """
         WITH v AS (
-            SELECT CAST(vec_id AS BIGINT) AS vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS e
+            SELECT row_number() OVER () AS k, CAST(vec_id AS BIGINT) AS vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS e
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
               AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
         ), s AS (
-            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
-            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+            SELECT q.k, q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.k <> c.k WHERE q.vec_id % 100 = 0
         ), r AS (
-            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
     """,

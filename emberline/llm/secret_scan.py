@@ -190,17 +190,17 @@ class Automaton:
                 out.append((i, state))
         return out
 
-    def longest(self, text: bytes) -> int:
-        """Length of the longest match from the start of text, or -1."""
+    def longest(self, codes: bytes, at: int, stop: int, step: int = 1) -> int:
+        """Length of the longest match of codes[at:stop:step] from its start, or -1; codes are a text translated to classes."""
         table, accepting, state, dead = self.table, self.accepting, self.start, self.dead
-        best = 0 if state >= accepting else -1
-        for i, c in enumerate(text.translate(self.classes), 1):
-            state = table[state + c]
+        best = at if state >= accepting else at - step
+        for i in range(at, stop, step):
+            state = table[state + codes[i]]
             if state >= accepting:
-                best = i
+                best = i + step
             elif state == dead:
                 break
-        return best
+        return (best - at) * step
 
 
 class Scanner:
@@ -215,16 +215,23 @@ class Scanner:
     def spans(self, text: bytes) -> list[tuple[int, int, int]]:
         """(start, end, rule) of all matches, by start and then by rule; byte offsets, end exclusive."""
         done, out = [0] * len(self.rules), []
+        codes: dict[Automaton, bytes] = {}  # one translation of the whole text for each automaton that is asked
+
+        def longest(automaton: Automaton, at: int, stop: int, step: int = 1) -> int:
+            if automaton not in codes:
+                codes[automaton] = text.translate(automaton.classes)
+            return automaton.longest(codes[automaton], at, stop, step)
+
         for end, state in self.all.ends(text):
             for r in self.all.rules_of[state]:
                 if end <= done[r]:
                     continue
-                back = self.back[r].longest(text[done[r] : end][::-1])
+                back = longest(self.back[r], end - 1, done[r] - 1, -1)
                 if back <= 0:
                     continue
                 start = end - back
-                head = self.heads[r].longest(text[start:end])
-                stop = start + head + self.runs[r].longest(text[start + head :])
+                head = longest(self.heads[r], start, end)
+                stop = start + head + longest(self.runs[r], start + head, len(text))
                 done[r] = stop
                 rule = self.rules[r]
                 if stop - start - head >= rule.least and stop - start >= rule.least_all:
@@ -265,7 +272,12 @@ def scan(documents: DataFrame, rules: tuple[Rule, ...] = RULES, id_column: str =
 
 
 def digest(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans (kind:start:end, comma-joined)."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans (kind:start:end, comma-joined).
+
+    A null or empty text has no spans; texts of any length are scanned whole, in time that grows with
+    their length; ids may be null or repeat, each row is its own; an empty table gives an empty result;
+    other columns are not read.
+    """
     scanner = Scanner(rules)
     base = {r.kind for r in BASE_RULES}
 
@@ -284,7 +296,9 @@ def digest(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def redacted(documents: DataFrame, mark: str = "[SECRET]", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """documents with every span of `text` (overlapping ones together) replaced by `mark`, and n_chars,
-    where there is such a column, set to the new length of a changed text. All other columns stay."""
+    where there is such a column, set to the new length of a changed text. All other columns stay.
+
+    A null text stays null; rows may repeat; an empty table gives an empty one."""
     scanner = Scanner(rules)
     names = documents.columns
 

@@ -1,6 +1,7 @@
 """Sharding by balanced label propagation, with DataFrame operations only.
 
-Documents with equal texts are linked. Each round counts a group's members by shard, moves every
+Documents with equal texts are linked. A document's first shard comes from a hash of its id, which knows
+no links. Each round counts a group's members by shard, moves every
 member towards the shard where most of its neighbours are, and then restores the capacity quotas:
 shards above their quota give up the documents that cost the fewest cut edges (unlinked ones first,
 whole groups in a row after them), which fill the shards below quota in order. Row counts differ by
@@ -41,7 +42,7 @@ def shard_by_links(rows: DataFrame, id_column: str, group_column: str, shards: i
     """
     ids = F.xxhash64(F.col(id_column), F.col(group_column))
     state = rows.select(F.col(id_column).alias("id"), F.col(group_column).alias("g"), ids.alias("h"), F.monotonically_increasing_id().alias("key"))
-    state = written(state.withColumn("shard", F.pmod(F.xxhash64(F.coalesce(F.col("g").cast("string"), F.col("id").cast("string"))), F.lit(shards)).cast("int")), "shards")
+    state = written(state.withColumn("shard", F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(shards)).cast("int")), "shards")
     total = state.count()
     quotas = dict(quota_table(total, shards))
     for _ in range(rounds):
@@ -102,7 +103,7 @@ def shard_documents(documents: DataFrame, shards: int = 16, rounds: int = 2) ->
     """
     text = F.coalesce("text", F.lit(""))
     group = F.struct(F.xxhash64(text).alias("a"), F.hash(text).alias("b"), F.octet_length(text).alias("n"), F.crc32(text).alias("crc"))
-    rows = documents.select(F.struct("doc_id").alias("id"), group.alias("g"))
+    rows = documents.select(F.struct("doc_id").alias("id"), group.alias("g"))  # texts of any length are hashed whole
     out = shard_by_links(rows, "id", "g", shards, rounds)
     return out.select(
         F.col("id.doc_id").alias("doc_id"),

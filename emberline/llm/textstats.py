@@ -32,8 +32,8 @@ def _seen_before(group: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.
     return counts[inverse] > 1, first[inverse] != np.arange(len(key))
 
 
-def _equal_lines(data: np.ndarray, doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Is a line equal to an earlier one of its document? Lines of one name are compared byte by byte."""
+def _equal_lines(data: np.ndarray, doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Names of lines, and whether a line is equal to an earlier one of its document: those of one name are compared byte by byte."""
     name = span_names(data, start, end)
     order = np.lexsort((np.arange(len(name)), name, doc))
     same = np.append(False, (name[order][1:] == name[order][:-1]) & (doc[order][1:] == doc[order][:-1]))
@@ -46,7 +46,7 @@ def _equal_lines(data: np.ndarray, doc: np.ndarray, start: np.ndarray, end: np.n
         text = view[start[line] : end[line]]
         earlier[line] = text in seen
         seen.add(text)
-    return earlier
+    return name, earlier
 
 
 def document_stats(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
@@ -80,7 +80,8 @@ def document_stats(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarra
     last = np.append(line_doc[1:] != line_doc[:-1], True) if n else np.zeros(0, bool)
     line_end[last] = hi[line_doc[last]]
     line_words = np.searchsorted(starts, line_end) - np.searchsorted(starts, line_start)
-    dup = _equal_lines(data, line_doc, line_start, line_end) & (line_words > 0)
+    line_name, earlier = _equal_lines(data, line_doc, line_start, line_end)
+    dup = earlier & (line_words > 0)
 
     upper, digit, symbol = _UPPER[data], _DIGIT[data], _SYMBOL[data]
     loud = (data == 33) | (data == 63)
@@ -125,6 +126,8 @@ def document_stats(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarra
         "line_doc": line_doc,
         "line_x": line_x,
         "line_words": line_words,
+        "line_name": line_name,
+        "line_dup": dup,
     }
     w, c = np.maximum(n_words, 1), np.maximum(per(whole), 1)
     stats["x"] = np.stack(
