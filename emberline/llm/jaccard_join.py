@@ -23,7 +23,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -32,7 +32,7 @@ from .common import arrow_map, chunks, gram_hashes, mix, partitions, span_names,
 from .graph import components
 
 #: Bits of a segment's parity; bits of the short and the long sketch for each possible difference.
-SEGMENT_BITS, SHORT_BITS, LONG_BITS = 256, 8, 64
+SEGMENT_BITS, SHORT_BITS, LONG_BITS = 256, 3, 64
 #: Sets (or so many shingles) of a pivot that meet others in one task; pairs that are compared at a time.
 MEMBER_BLOCK, SHINGLE_BLOCK, PAIRS_AT_ONCE = 2048, 4_000_000, 500_000
 
@@ -243,18 +243,22 @@ def similarity_rows(documents: DataFrame, n: int = 3, percent: int = 90, salt: i
     # pivots are compared with what they met
     wanted = met.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     looks = written(described.join(wanted, "node", "left_semi").dropDuplicates(["node"]).select("node", "size", "band", "own", "next"), "looks")
-    star = written(_near(met.select("a", "b"), looks, rule).select("a", "b"), "pairs")
+    star = written(_near(met.select("a", "b"), looks, rule), "pairs")
     whole = _whole(rows, sets, star.select(F.explode(F.array("a", "b")).alias("node")), rule, salt)
     links = _verified(star, whole, rule)
     parts = written(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "parts")
 
-    # what met one pivot and is not one component yet: all pairs across components
-    members = met.where("several").select(F.col("a").alias("pivot"), F.col("b").alias("node")).join(parts, "node", "left").join(looks, "node")
-    level = F.explode(F.array(F.struct(F.col("band").alias("level"), F.col("own").alias("sketch")), F.struct((F.col("band") + 1).alias("level"), F.col("next").alias("sketch"))))
-    members = members.withColumn("at", level).select("pivot", "at.level", "node", F.coalesce("component", "node").alias("part"), "size", (F.col("at.level") == F.col("band")).alias("top"), "at.sketch")
-    near = written(_in_blocks(members, _near_members(rule), "pivot long, level int, node long, part long, size long, top boolean").distinct(), "near")
-    whole = _whole(rows, sets, near.select("node"), rule, salt).select("node", "set")
-    more = _in_blocks(near.join(whole, "node").select(*near.columns, "set"), _joining_links(rule), "a long, b long")
+    # what met one pivot and is not one component yet: all pairs across components, in the levels of the pivot's segments
+    slim = looks.select("node", "size", "band")
+    members = met.where("several").join(slim.select(F.col("node").alias("a"), F.col("band").alias("of_pivot")), "a")
+    members = members.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "of_pivot").join(slim, "node").join(parts, "node", "left")
+    own, pivots = F.col("band"), F.col("of_pivot")
+    level = F.explode(F.when(own == pivots, F.array(own, own + 1)).when(F.abs(own - pivots) == 1, F.array(F.greatest(own, pivots))))
+    members = members.withColumn("level", level).select("pivot", "level", "node", F.coalesce("component", "node").alias("part"), "size", (F.col("level") == own).alias("top"))
+    sketch = F.when(F.col("top"), F.col("own")).otherwise(F.col("next"))
+    near = written(_in_blocks(members, looks.select("node", "own", "next"), sketch, _near_members(rule), "pivot long, level int, node long, part long, size long, top boolean").distinct(), "near")
+    whole = _whole(rows, sets, near.select("node"), rule, salt)
+    more = _in_blocks(near, whole.select("node", "set"), F.col("set"), _joining_links(rule), "a long, b long")
     links = written(links.unionByName(more.distinct()), "links")
     parts = written(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "parts")
 
@@ -277,17 +281,22 @@ def similarity_classes(documents: DataFrame, n: int = 3, percent: int = 90) -> D
 
 
 def _near(pairs: DataFrame, looks: DataFrame, rule: Join) -> DataFrame:
-    """The pairs whose sizes and sketches let them be links, with the other columns of looks on both sides."""
-    side = lambda x: looks.select(*[F.col(c).alias(x if c == "node" else f"{c}_{x}") for c in looks.columns])
-    xor = F.zip_with(F.when(F.col("band_a") < F.col("band_b"), F.col("next_a")).otherwise(F.col("own_a")), F.when(F.col("band_b") < F.col("band_a"), F.col("next_b")).otherwise(F.col("own_b")), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    """The pairs whose sizes, and then sketches, let them be links."""
+    side = lambda x, *names: looks.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in names])
+    pairs = pairs.join(side("a", "size", "band"), "a").join(side("b", "size", "band", "own", "next"), "b")
+    pairs = pairs.where((F.abs(F.col("band_a") - F.col("band_b")) <= 1) & (100 * F.least("size_a", "size_b") >= rule.percent * F.greatest("size_a", "size_b")))
+    # one of b's sketches goes to a
+    level = F.greatest("band_a", "band_b")
+    pairs = pairs.select("a", "b", level.alias("level"), (F.col("size_a") + F.col("size_b")).alias("total"), F.when(level == F.col("band_b"), F.col("own_b")).otherwise(F.col("next_b")).alias("sketch"))
+    met = pairs.join(side("a", "band", "own", "next"), "a")
+    xor = F.zip_with("sketch", F.when(F.col("level") == F.col("band_a"), F.col("own_a")).otherwise(F.col("next_a")), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     distance = F.aggregate(xor, F.lit(0).cast("long"), lambda s, x: s + x)
-    sizes = (F.abs(F.col("band_a") - F.col("band_b")) <= 1) & (100 * F.least("size_a", "size_b") >= rule.percent * F.greatest("size_a", "size_b"))
-    met = pairs.join(side("b"), "b").join(side("a"), "a").where(sizes)
-    return met.where(distance * (100 + rule.percent) <= (100 - rule.percent) * (F.col("size_a") + F.col("size_b")))
+    return met.where(distance * (100 + rule.percent) <= (100 - rule.percent) * F.col("total")).select("a", "b")
 
 
-def _in_blocks(members: DataFrame, function, schema: str) -> DataFrame:
-    """function over the groups of (pivot, level), from a table of whole groups to a dict of columns.
+def _in_blocks(members: DataFrame, held: DataFrame, value: Column, function, schema: str) -> DataFrame:
+    """function over the groups of (pivot, level), from a table of whole groups to a dict of columns; `value`
+    is what comes to each member's row from `held`, by node.
 
     Only groups of several components take part. Members of other components than the group's largest
     (guests) meet all members (hosts). Hosts and guests are dealt into blocks, and a pair of blocks is a
@@ -304,6 +313,7 @@ def _in_blocks(members: DataFrame, function, schema: str) -> DataFrame:
     rows = rows.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("hosts") * F.col("guests") - 1)))
     rows = rows.withColumns({"host": F.floor(F.col("at") / F.col("guests")) == here(F.col("hosts"), 1), "guest": F.col("minor") & (F.col("at") % F.col("guests") == here(F.col("guests"), 2))})
     rows = rows.where("host or guest").select(F.xxhash64(*key, "at").alias("group"), *members.columns, "minor", "host", "guest")
+    rows = rows.join(held, "node").select(*rows.columns, value.alias("value"))
     rows = rows.repartition("group").sortWithinPartitions("group")
     target = to_arrow_schema(T._parse_datatype_string(schema))
 
@@ -362,7 +372,7 @@ def _near_members(rule: Join):
     """The members of groups that are near a member of another component by their short sketches."""
 
     def found(table: pa.Table) -> dict:
-        words, base = _lists(table.column("sketch"))
+        words, base = _lists(table.column("value"))
         size = table.column("size").to_numpy()
         near = np.zeros(table.num_rows, bool)
         for x, y in _met_pairs(table, rule):
@@ -378,7 +388,7 @@ def _joining_links(rule: Join):
     """Links between members of different components, by their whole sets; of links that join the same components, one."""
 
     def found(table: pa.Table) -> dict:
-        grams, bounds = _lists(table.column("set"))
+        grams, bounds = _lists(table.column("value"))
         node, part, level = (table.column(c).to_numpy() for c in ("node", "part", "level"))
         size = np.diff(bounds)
         words, base = _parities(rule, rule.tops(int(size.max())), grams, bounds, level, LONG_BITS)
@@ -430,7 +440,7 @@ def _whole(rows: DataFrame, sets: DataFrame, wanted: DataFrame, rule: Join, salt
 
 def _verified(pairs: DataFrame, whole: DataFrame, rule: Join) -> DataFrame:
     """The pairs of nodes whose whole sets are similar enough, after a look at their long sketches."""
-    near = written(_near(pairs, whole.drop("set"), rule).select("a", "b"), "near")
+    near = written(_near(pairs, whole.drop("set"), rule), "near")
     side = lambda x: whole.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}"))
     both = near.join(side("b"), "b").join(side("a"), "a")
     common = F.size(F.array_intersect("set_a", "set_b"))
