@@ -94,7 +94,8 @@ class Join:
         return most + most // 2, most // 2
 
     def keys(self, grams: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of the segments that every set meets others in, in its two bands, and the set of each key."""
+        """Keys of the segments that every set meets others in, in its two bands, and the set of each key. The
+        last bit of a key is 1 in the set's own band, 0 in the next."""
         sizes = np.diff(bounds)
         sets = np.repeat(np.arange(len(sizes)), sizes)
         band, tops = self.bands(sizes)
@@ -121,7 +122,7 @@ class Join:
             tag = (b[owner].astype(np.uint64) << np.uint64(40)) + rank.astype(np.uint64)
             keys = mix(parity + mix(tag))
             order = np.lexsort((keys, odd, owner))[rank >= left_out[owner]]
-            out_keys.append(keys[order])
+            out_keys.append(keys[order] & ~np.uint64(1) | np.uint64(1 - up))  # the last bit: a set of the band itself
             out_sets.append(owner[order])
         return np.concatenate(out_keys), np.concatenate(out_sets)
 
@@ -168,29 +169,36 @@ def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _meet(batches):
-    """Of blocks of (keys, nodes): pairs of each key's first node, the pivot, with its others, and whether a key had more than two."""
+    """Of blocks of (keys, nodes): pairs of each key's first node, the pivot, with its others, and whether a key had more than two.
+
+    The pivot is of the band itself. Sets of the band below meet each other there, so a key of them alone gives none.
+    """
     keys, nodes = [], []
     for batch in batches:
         keys += [np.frombuffer(x.as_buffer(), np.uint32).astype(np.uint64) + (np.uint64(b) << np.uint64(32)) for b, x in zip(batch.column("bucket").to_pylist(), batch.column("keys"), strict=True)]
         nodes += [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("nodes")]
     if not keys:
         return
-    k, v = np.concatenate(keys), np.concatenate(nodes)
+    k, v = np.concatenate(keys) ^ np.uint64(1), np.concatenate(nodes)  # sets of the band itself come first
     del keys, nodes
     order = np.lexsort((v, k))
     k, v = k[order], v[order]
+    del order
     new = np.ones(len(k), bool)
     new[1:] = (k[1:] != k[:-1]) | (v[1:] != v[:-1])
     k, v = k[new], v[new]
+    below, k = (k & np.uint64(1)).astype(bool), k >> np.uint64(1)
     at = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-    sizes = np.diff(np.append(at, len(k)))
-    first, several = np.repeat(v[at], sizes), np.repeat(sizes > 2, sizes)
-    rest = v != first
-    a, b, several = first[rest], v[rest], several[rest]
+    del k, new
+    sizes = np.diff(np.append(at, len(v)))
+    rest = np.repeat((sizes > 1) & ~below[at], sizes)
+    rest[at] = False
+    a, b, several = np.repeat(v[at], sizes)[rest], v[rest], np.repeat(sizes > 2, sizes)[rest]
     order = np.lexsort((~several, b, a))
     a, b, several = a[order], b[order], several[order]
     new = np.ones(len(a), bool)
     new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    new &= a != b
     yield pa.RecordBatch.from_arrays([pa.array(c[new]) for c in (a, b, several)], names=["a", "b", "several"])
 
 
@@ -216,7 +224,7 @@ def similarity_rows(documents: DataFrame, n: int = 3, percent: int = 90, salt: i
 
     # sets meet by segment: blocks of keys, dealt by the key
     total = described.agg(F.sum("size")).first()[0] or 0
-    deal = max(partitions(documents), total // 4_000_000 + 1)
+    deal = max(partitions(documents), total // 2_000_000 + 1)
     buckets = 4 * deal
 
     def segments(batch: pa.RecordBatch):
@@ -248,13 +256,11 @@ def similarity_rows(documents: DataFrame, n: int = 3, percent: int = 90, salt: i
     links = _verified(star, whole, rule)
     parts = written(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "parts")
 
-    # what met one pivot and is not one component yet: all pairs across components, in the levels of the pivot's segments
+    # what met one pivot and is not one component yet: all pairs across components, in the pivot's band
     slim = looks.select("node", "size", "band")
     members = met.where("several").join(slim.select(F.col("node").alias("a"), F.col("band").alias("of_pivot")), "a")
     members = members.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "of_pivot").join(slim, "node").join(parts, "node", "left")
-    own, pivots = F.col("band"), F.col("of_pivot")
-    level = F.explode(F.when(own == pivots, F.array(own, own + 1)).when(F.abs(own - pivots) == 1, F.array(F.greatest(own, pivots))))
-    members = members.withColumn("level", level).select("pivot", "level", "node", F.coalesce("component", "node").alias("part"), "size", (F.col("level") == own).alias("top"))
+    members = members.where("of_pivot - band in (0, 1)").select("pivot", F.col("of_pivot").alias("level"), "node", F.coalesce("component", "node").alias("part"), "size", (F.col("of_pivot") == F.col("band")).alias("top"))
     sketch = F.when(F.col("top"), F.col("own")).otherwise(F.col("next"))
     near = written(_in_blocks(members, looks.select("node", "own", "next"), sketch, _near_members(rule), "pivot long, level int, node long, part long, size long, top boolean").distinct(), "near")
     whole = _whole(rows, sets, near.select("node"), rule, salt)
