@@ -107,29 +107,34 @@ def splinelets(members: DataFrame) -> DataFrame:
 
 
 def track_deviation(members: DataFrame, sigmas: float = 5.0) -> DataFrame:
-    """Largest distance (degrees) from a straight ground track, outliers beyond `sigmas` robust ones left
-    out. The track is lat over lon if the ends lie further apart in lon, else lon over lat."""
+    """Largest great-circle distance (km) from a straight ground track, outliers beyond `sigmas` robust ones left
+    out: distances are taken relative to their median, and the spread is that of the relative distances.
+    The track is lat over lon if the ends lie further apart in lon, else lon over lat."""
     w = Window.partitionBy("cid")
     rows = numbered(members)
     end = lambda c, i: F.max(F.when(F.col("i") == i, F.col(c))).over(w)
     rows = rows.withColumn("_flat", F.abs(end("lon", F.col("n")) - end("lon", F.lit(1))) > F.abs(end("lat", F.col("n")) - end("lat", F.lit(1))))
     rows = rows.withColumns({"_x": F.when(F.col("_flat"), F.col("lon")).otherwise(F.col("lat")), "_y": F.when(F.col("_flat"), F.col("lat")).otherwise(F.col("lon"))})
     fit = rows.groupBy("cid").agg(F.regr_slope("_y", "_x").alias("slope"), F.regr_intercept("_y", "_x").alias("intercept"))
-    rows = rows.join(fit, "cid").withColumn("dev", F.abs(F.col("_y") - F.col("slope") * F.col("_x") - F.col("intercept")))
-    centre = rows.groupBy("cid").agg(F.median("dev").alias("med"))
-    rows = rows.join(centre, "cid").withColumn("off", F.abs(F.col("dev") - F.col("med")))
-    spread = rows.groupBy("cid").agg((F.median("off") * 1.4826).alias("sigma"))
-    rows = rows.join(spread, "cid")
-    kept = F.max(F.when(F.col("off") <= sigmas * F.col("sigma"), F.col("dev")))
+    said = F.col("slope") * F.col("_x") + F.col("intercept")
+    lat, lon = F.when(F.col("_flat"), said).otherwise(F.col("lat")), F.when(F.col("_flat"), F.col("lon")).otherwise(said)
+    rows = rows.join(fit, "cid").select("cid", haversine(lat, lon, F.col("lat"), F.col("lon")).alias("dev"))
+    middle = lambda rows, value, name: rows.join(rows.groupBy("cid").agg(F.median(value).alias(name)), "cid")
+    rows = middle(rows, F.col("dev"), "med")
+    rows = rows.withColumn("off", F.when(F.col("med") == 0, 0.0).otherwise(F.abs(F.col("dev") - F.col("med")) / F.col("med")))
+    rows = middle(middle(rows, F.col("off"), "centre"), F.abs(F.col("off") - F.col("centre")), "spread")
+    kept = F.max(F.when(F.col("off") <= sigmas * 1.4826 * F.col("spread"), F.col("dev")))
     return rows.groupBy("cid").agg(F.coalesce(kept, F.max("dev")).alias("deviation"))
 
 
 def chop(members: DataFrame) -> DataFrame:
     """Share of sharp falls: after a value above 1.1 thresholds the next one below the threshold counts,
-    unless the four values after it are all above it. The threshold is 1.4826 median |energy|."""
-    rows = members.groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("time", "group_id", F.col("energy").cast("double").alias("e")))).alias("m"), (F.median(F.abs(F.col("energy") - 0.0)) * 1.4826).alias("thr"))
+    unless the four values after it are all above it. The threshold is 1.4826 times the median distance from the median."""
+    rows = members.groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("time", "group_id", F.col("energy").cast("double").alias("e")))).alias("m"), F.median("energy").alias("med"))
     e = F.transform("m", lambda x: x["e"])
-    rows = rows.select("cid", e.alias("e"), "thr", F.size("m").alias("n"))
+    rows = rows.select("cid", e.alias("e"), F.array_sort(F.transform(e, lambda x: F.abs(x - F.col("med")))).alias("off"), F.size("m").alias("n"))
+    at = lambda i: F.element_at("off", F.floor(i).cast("int"))
+    rows = rows.withColumn("thr", (at((F.col("n") + 1) / 2) + at(F.col("n") / 2 + 1)) / 2 * 1.482602218505602)
     start = F.struct(F.lit(False).alias("up"), F.lit(0).alias("falls"))
 
     def step(s: Column, i: Column) -> Column:

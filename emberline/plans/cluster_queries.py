@@ -129,7 +129,7 @@ def d08_box_clusters(spark, sf_dir):
 
 _DET = f"""d AS (SELECT cid, any_value(satellite) AS satellite, count(*) AS n_groups, max(t) FILTER (i = n // 2 + 1) AS t0, max(t) FILTER (i = n // 4 + 1) AS ma, max(t) FILTER (i = n - CAST(ceil(n / 4.0) AS BIGINT) + 1) AS mb,
     median(lat) AS lat, median(lon) AS lon, (cid * 7919 % 1000) / 1000.0 AS score FROM m GROUP BY cid),
-    truth AS (SELECT group_id AS idx, satellite, lat, lon, epoch_us(time) / 1e6 - 21600 - 0.5 AS lo, epoch_us(time) / 1e6 + 21600 + 0.5 AS hi, event_type, group_id % 3 <> 0 AS confident FROM g WHERE event_type = 'purchase' AND group_id % 20 = 0),
+    truth AS (SELECT group_id AS idx, satellite, lat, lon, epoch_us(time) / 1e6 - 21600 - 0.5 AS lo, epoch_us(time) / 1e6 + 21600 + 0.5 AS hi, event_type, group_id % 3 <> 0 AS confident FROM g WHERE event_type = 'purchase'),
     j AS (SELECT d.cid, min(CASE WHEN d.satellite = u.satellite AND confident THEN idx END) AS idx, max(CASE WHEN d.satellite = u.satellite THEN 1 ELSE 0 END) AS same, count(u.idx) AS k
         FROM d LEFT JOIN truth u ON d.ma > u.lo AND d.mb < u.hi AND {hav('d.lat', 'd.lon', 'u.lat', 'u.lon')} <= 50 GROUP BY d.cid),
     match AS (SELECT cid, CAST(CASE WHEN idx IS NOT NULL THEN idx WHEN k = 0 THEN -1 WHEN same = 1 THEN -2 ELSE -3 END AS BIGINT) AS truth_idx FROM j)"""
@@ -141,7 +141,7 @@ def detections(spark, sf_dir):
 
 
 def truth(spark, sf_dir, hours=6):
-    g = pe.load_groups(spark, sf_dir).where("event_type = 'purchase' and group_id % 20 = 0")
+    g = pe.load_groups(spark, sf_dir).where("event_type = 'purchase'")
     h = F.make_dt_interval(hours=F.lit(hours))
     return g.select(F.col("group_id").alias("idx"), "satellite", "lat", "lon", (F.col("time") - h).alias("start"), (F.col("time") + h).alias("end"), (F.col("group_id") % 3 != 0).alias("confident"))
 

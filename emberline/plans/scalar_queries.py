@@ -308,9 +308,9 @@ def o02_file_slice(spark, sf_dir):
     return pe.load_groups(spark, sf_dir).withColumn("i", F.row_number().over(w)).where("i between 11 and 40").select("group_id")
 
 
-@query("SELECT o_custkey AS custkey FROM (SELECT o_custkey FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)")
+@query("SELECT o_custkey AS custkey FROM (SELECT o_custkey FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
 def o05_except(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select("c_custkey")
+    c = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select("c_custkey")
     return table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("custkey")).subtract(c)
 
 

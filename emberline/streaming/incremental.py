@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberline.sources.point_events import GROUP_SCHEMA, replace_days
+from emberline.sources.point_events import GROUP_SCHEMA, extract_store, replace_days
+from emberline.sources.scratch import written
 
 
 def group_stream(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
@@ -35,11 +38,30 @@ def sliding_counts(groups: DataFrame, width: str = "1 hour", slide: str = "30 mi
 
 
 def process_days(groups: DataFrame, detect: Callable[[DataFrame], DataFrame], store: str, checkpoint: str, kind: str = "detections"):
-    """Runs `detect` on each batch of new files and replaces the days it touched in the store; a batch that
-    is run again after a failure gives the same store. Stops when all files that are there are done."""
+    """Adds each batch of new files to the groups kept beside the store (`store`-groups), runs `detect` on all groups of the days it touched and
+    the days beside them, and replaces those days' rows. So a day that arrives in several batches is
+    whole, clusters go on over midnight, and a batch that is run again after a failure gives the same
+    store. Stops when all files that are there are done."""
+
+    kept = f"{store.rstrip('/')}-groups"
 
     def batch(rows: DataFrame, _: int) -> None:
-        replace_days(detect(rows), store, kind)
+        spark = rows.sparkSession
+        day = F.to_date("time")
+        touched = [r["date"] for r in rows.select(day.alias("date")).distinct().collect() if r["date"]]
+        if not touched:
+            return
+        # days of one batch of files: a short list
+        around = lambda n: sorted({d + timedelta(days=k) for d in touched for k in range(-n, n + 1)})
+        try:
+            before = extract_store(spark, kept, "groups").where(F.col("date").isin(touched)).select(*rows.columns)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            before = rows.where("false")
+        replace_days(written(before.unionByName(rows).dropDuplicates(["dataset_file", "group_id"]), "groups"), kept, "groups")
+        held = extract_store(spark, kept, "groups").where(F.col("date").isin(around(2))).select(*rows.columns)
+        replace_days(written(detect(held).where(day.isin(around(1))), kind), store, kind)
 
     return groups.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

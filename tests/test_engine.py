@@ -137,3 +137,33 @@ def test_days_are_replaced_not_added(spark, points, tmp_path):
     for _ in range(2):
         pe.replace_days(points, f"{tmp_path}/store", "detections")
     assert pe.extract_store(spark, f"{tmp_path}/store", "detections").count() == points.count()
+
+
+def test_a_day_in_two_batches_is_whole(spark, points, tmp_path):
+    for k in range(2):
+        points.where(F.col("group_id") % 2 == k).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = incremental.group_stream(spark, f"{tmp_path}/in", files_per_trigger=1)
+    counts = lambda rows: rows.groupBy("satellite", F.date_trunc("day", "time").alias("time")).agg(F.count("*").alias("n"))
+    for _ in range(2):  # the second run has nothing new
+        incremental.process_days(stream, counts, f"{tmp_path}/store", f"{tmp_path}/checkpoint").awaitTermination(180)
+        got = {tuple(r) for r in pe.extract_store(spark, f"{tmp_path}/store", "detections").select("satellite", "time", "n").collect()}
+        assert got == {tuple(r) for r in counts(points).collect()}
+
+
+def test_chop_takes_the_median_off(spark):
+    energy = [10, 11, 10, 12, 40, 10, 11, 10, 41, 10, 11, 10]
+    rows = [("G16", 1, i, T0 + dt.timedelta(seconds=i), e) for i, e in enumerate(energy)]
+    members = spark.createDataFrame(rows, "satellite string, cid long, group_id long, time timestamp, energy long")
+    # 1.4826 times the median distance from the median is 0.74: nothing falls below it
+    assert features.chop(members).first().chop == 0
+
+
+def test_track_deviation_is_in_kilometres(spark):
+    track = [(0.0, i / 10, 0.001 * (i % 3)) for i in range(12)]
+    rows = [("G16", 1, i, T0 + dt.timedelta(seconds=i), y, x, 1) for i, (_, x, y) in enumerate(track)]
+    members = spark.createDataFrame(rows, "satellite string, cid long, group_id long, time timestamp, lat double, lon double, energy long")
+    x, y = np.array([t[1] for t in track]), np.array([t[2] for t in track])
+    off = np.abs(np.polyval(np.polyfit(x, y, 1), x) - y) * np.pi / 180 * 6371
+    norm = np.abs(off - np.median(off)) / np.median(off)
+    below = norm <= 5 * 1.4826 * np.median(np.abs(norm - np.median(norm)))
+    assert abs(features.track_deviation(members).first().deviation - off[below].max()) < 1e-6
