@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from emberline.functions.geo import haversine
+from emberline.sources.scratch import written
 
 from .linkage import seconds
 
@@ -66,15 +67,38 @@ def asof_neighbours(left: DataFrame, right: DataFrame, by: str, time: str = "tim
 
 
 def nearest_pixel(points: DataFrame, pixels: DataFrame, cell: float) -> DataFrame:
-    """The pixel at the least planar distance in degrees (ties to the smaller x, y), among pixels in the
-    point's cell and the eight around it. points: key, lat, lon; pixels: x, y, lat, lon."""
-    p = points.withColumns({"cy": F.floor(F.col("lat") / cell), "cx": F.floor(F.col("lon") / cell)})
-    around = F.array(F.lit(-1), F.lit(0), F.lit(1)).cast("array<bigint>")
-    q = pixels.select("x", "y", F.col("lat").alias("plat"), F.col("lon").alias("plon")).withColumn("dy", F.explode(around)).withColumn("dx", F.explode(around))
-    q = q.withColumns({"cy": F.floor(F.col("plat") / cell) + F.col("dy"), "cx": F.floor(F.col("plon") / cell) + F.col("dx")})
-    d = F.round(F.pow(F.col("lat") - F.col("plat"), 2) + F.pow(F.col("lon") - F.col("plon"), 2), 12)
-    best = p.join(q, ["cy", "cx"]).groupBy("key").agg(F.min(F.struct(d.alias("d"), "x", "y")).alias("b"))
-    return best.select("key", F.col("b.x").alias("x"), F.col("b.y").alias("y"))
+    """The pixel at the least planar distance in degrees (ties to the smaller x, y) of every point: key, x, y.
+    points: key, lat, lon; pixels: x, y, lat, lon.
+
+    A point looks in its cell and the eight around it, which hold all pixels within `cell`; points that find none
+    so near look again in cells twice as wide, until a cell is wider than the globe.
+    """
+    left, found = points.select("key", "lat", "lon"), None
+    q = pixels.select("x", "y", F.col("lat").alias("plat"), F.col("lon").alias("plon"))
+    around = lambda c: F.explode(F.array(*[F.floor(F.col(c) / cell) + k for k in (-1, 0, 1)]))
+    while True:
+        p = left.withColumn("cy", around("lat")).withColumn("cx", around("lon"))
+        grid = q.withColumns({"cy": F.floor(F.col("plat") / cell), "cx": F.floor(F.col("plon") / cell)})
+        d = F.round(F.pow(F.col("lat") - F.col("plat"), 2) + F.pow(F.col("lon") - F.col("plon"), 2), 12)
+        best = p.join(grid, ["cy", "cx"]).groupBy("key").agg(F.min(F.struct(d.alias("d"), "x", "y")).alias("b"))
+        best = written(best.where(F.lit(cell > 720.0) | (F.col("b.d") <= cell * cell)), "pixels")
+        found = best if found is None else found.unionByName(best)
+        left = written(left.join(best, "key", "left_anti"), "points")
+        if cell > 720.0 or left.isEmpty():
+            return found.select("key", F.col("b.x").alias("x"), F.col("b.y").alias("y"))
+        cell *= 2
+
+
+def sliding_windows(rows: DataFrame, width_s: int, step_s: int) -> DataFrame:
+    """rows once for each window k, [first + k * step, first + k * step + width), that holds their time; the first
+    window opens at the first time of all rows, and none ends after the last."""
+    ends = rows.agg(F.min("time").alias("_a"), F.max("time").alias("_z"))
+    u = F.unix_micros("time") - F.unix_micros("_a")
+    step, width = step_s * 1_000_000, width_s * 1_000_000
+    last = F.floor(u / step)
+    first = F.greatest(F.floor((u - width) / step) + 1, F.lit(0))
+    out = rows.crossJoin(F.broadcast(ends)).withColumn("k", F.explode(F.sequence(first, last)))
+    return out.where(F.col("k") * step + width <= F.unix_micros("_z") - F.unix_micros("_a")).drop("_a", "_z")
 
 
 def rings(events: DataFrame, t0: Column) -> DataFrame:

@@ -107,6 +107,19 @@ def light_curves(members: DataFrame, seconds: float, points: int) -> DataFrame:
     return members.select("cid", "time", "energy").groupBy("cid").applyInPandas(resample, "cid long, curve array<double>")
 
 
+def stretched_curves(members: DataFrame, points: int) -> DataFrame:
+    """cid, curve: the energy at `points` times evenly over the whole time range; clusters of one time are zero."""
+
+    def resample(g: pd.DataFrame) -> pd.DataFrame:
+        cid = g["cid"].iloc[0]
+        g = g.groupby("time", as_index=False)["energy"].sum().sort_values("time")
+        t, e = g["time"].astype("int64").to_numpy() / 1e9, g["energy"].to_numpy(float)
+        curve = pchip(t - t[0], e, np.linspace(0, t[-1] - t[0], points)) if len(t) > 1 else np.zeros(points)
+        return pd.DataFrame({"cid": [cid], "curve": [curve]})
+
+    return members.select("cid", "time", "energy").groupBy("cid").applyInPandas(resample, "cid long, curve array<double>")
+
+
 def fitted_lines(members: DataFrame, width: float, rounds: int = 50, seed: int = 1) -> DataFrame:
     """cid, n_inliers, r2 of the best straight line lat over time through a cluster by seeded consensus."""
 
@@ -129,16 +142,41 @@ def fitted_lines(members: DataFrame, width: float, rounds: int = 50, seed: int =
     return members.select("cid", "group_id", "time", "lat").groupBy("cid").applyInPandas(consensus, "cid long, n_inliers long, r2 double")
 
 
-def density(points: DataFrame, lat_step: float, lon_step: float, sigma_km: float) -> DataFrame:
-    """Gaussian density on a grid: points are counted by cell, and a cell adds to the cells within three
-    sigma, so the work grows with occupied cells, not with points times grid."""
+def density(points: DataFrame, lat_step: float, lon_step: float, sigma_km: float, per_degree: bool = False) -> DataFrame:
+    """Gaussian density (y, x, density) on a grid: points are counted by cell, and a cell adds to the cells within
+    three sigma, east and west by its latitude, so the work grows with occupied cells, not with points times grid.
+    With per_degree it is divided by what one point to every square degree gives there."""
     cells = points.groupBy(F.floor(F.col("lat") / lat_step).alias("y"), F.floor(F.col("lon") / lon_step).alias("x")).agg(F.count("*").alias("n"))
-    ry, rx = (math.ceil(3 * sigma_km / 111.19 / s) for s in (lat_step, lon_step))
-    spread = cells.withColumn("dy", F.explode(F.sequence(F.lit(-ry), F.lit(ry)))).withColumn("dx", F.explode(F.sequence(F.lit(-rx), F.lit(rx))))
-    lat = F.radians((F.col("y") + 0.5) * lat_step)
-    d2 = F.pow(F.col("dy") * lat_step * 111.19, 2) + F.pow(F.col("dx") * lon_step * 111.19 * F.cos(lat), 2)
+    narrow = F.greatest(F.lit(0.01), F.cos(F.radians((F.col("y") + 0.5) * lat_step)))
+    ry, rx = math.ceil(3 * sigma_km / 111.19 / lat_step), F.ceil(3 * sigma_km / 111.19 / lon_step / narrow)
+    spread = cells.withColumn("dx", F.explode(F.sequence(-rx, rx))).withColumn("dy", F.explode(F.sequence(F.lit(-ry), F.lit(ry))))
+    d2 = F.pow(F.col("dy") * lat_step * 111.19, 2) + F.pow(F.col("dx") * lon_step * 111.19 * narrow, 2)
     weight = F.col("n") * F.exp(-d2 / (2 * sigma_km**2))
-    return spread.groupBy((F.col("y") + F.col("dy")).alias("y"), (F.col("x") + F.col("dx")).alias("x")).agg(F.sum(weight).alias("density"))
+    out = spread.groupBy((F.col("y") + F.col("dy")).alias("y"), (F.col("x") + F.col("dx")).alias("x")).agg(F.sum(weight).alias("density"))
+    even = 2 * math.pi * sigma_km**2 / (111.19**2 * narrow)
+    return out.withColumn("density", F.col("density") / even) if per_degree else out
+
+
+def density_peaks(cells: DataFrame, sigmas: float, lat_step: float, lon_step: float, sigma_km: float) -> DataFrame:
+    """Cells denser than `sigmas` robust deviations and than the eight around them (ties to the smaller y, x), with the
+    place of the peak by a parabola through its neighbours on either axis, and the radius (km) of a circle as wide as
+    the kernel at the peak's curvature: y, x, density, lat, lon, radius_km."""
+    centre = cells.agg(F.median("density").alias("m"))
+    spread = cells.crossJoin(F.broadcast(centre)).agg((1.4826 * F.median(F.abs(F.col("density") - F.col("m")))).alias("s"))
+    by = F.explode(F.array(*[F.struct(F.lit(i).alias("dy"), F.lit(j).alias("dx")) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j]))
+    near = cells.select("y", "x", F.col("density").alias("other"), by.alias("o")).select((F.col("y") - F.col("o.dy")).alias("y"), (F.col("x") - F.col("o.dx")).alias("x"), "other", "o.dy", "o.dx")
+    high = cells.crossJoin(F.broadcast(spread)).where(F.col("density") > sigmas * F.col("s")).drop("s")
+    beats = (F.col("density") > F.col("other")) | ((F.col("density") == F.col("other")) & ((F.col("dy") > 0) | ((F.col("dy") == 0) & (F.col("dx") > 0))))
+    at = lambda i, j: F.coalesce(F.max(F.when((F.col("dy") == i) & (F.col("dx") == j), F.col("other"))), F.lit(0.0))
+    rows = high.join(near, ["y", "x"], "left").groupBy("y", "x", "density").agg(
+        F.coalesce(F.bool_and(beats), F.lit(True)).alias("top"), at(-1, 0).alias("s"), at(1, 0).alias("n"), at(0, -1).alias("w"), at(0, 1).alias("e")
+    )
+    bend = lambda a, b: F.col(a) - 2 * F.col("density") + F.col(b)
+    shift = lambda a, b: F.when(bend(a, b) < 0, (F.col(a) - F.col(b)) / (2 * bend(a, b))).otherwise(0.0)
+    curved = -bend("s", "n") / (F.col("density") * (lat_step * 111.19) ** 2)
+    lat, lon = (F.col("y") + 0.5 + shift("s", "n")) * lat_step, (F.col("x") + 0.5 + shift("w", "e")) * lon_step
+    radius = F.when(curved > 0, 1 / F.sqrt(curved)).otherwise(sigma_km)
+    return rows.where("top").select("y", "x", "density", lat.alias("lat"), lon.alias("lon"), radius.alias("radius_km"))
 
 
 def hough_votes(points: DataFrame, angles: int, step: float) -> DataFrame:

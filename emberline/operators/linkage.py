@@ -20,32 +20,83 @@ def seconds(time: Column) -> Column:
     return F.unix_micros(time.cast("timestamp")) / 1e6
 
 
-def close_pairs(groups: DataFrame, closeness_km: float, closeness_s: float, key: str = "group_id") -> DataFrame:
-    """Pairs (u < v) of one satellite with (km / closeness_km)^2 + (s / closeness_s)^2 <= 2.
+def _met(rows: DataFrame, closeness_km: float, closeness_s: float) -> DataFrame:
+    """Pairs (u, v) of one satellite with (km / closeness_km)^2 + (s / closeness_s)^2 <= 2, each once or in both
+    orders; `node` and `node2` are theirs. rows: u, node, satellite, lat, lon, time.
 
-    Rows meet in cells of time and latitude that are as wide as the reach, each with its neighbours,
-    so the join is an equi-join whatever the time span.
+    Rows meet in cells of time, latitude and longitude that are as wide as the reach (degrees of longitude by the
+    widest of three bands of latitude), so the join is an equi-join whatever the span of time and place.
     """
     reach_s, reach_deg = math.sqrt(2) * closeness_s, math.sqrt(2) * closeness_km / KM_A_DEGREE
-    rows = groups.select(F.col(key).alias("u"), "satellite", "lat", "lon", seconds(F.col("time")).alias("t"))
-    rows = rows.withColumns({"tb": F.floor(F.col("t") / reach_s), "lb": F.floor(F.col("lat") / reach_deg)})
-    around = F.array(F.lit(-1), F.lit(0), F.lit(1)).cast("array<bigint>")
-    other = rows.select(F.col("u").alias("v"), "satellite", F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), F.col("t").alias("t2"), "tb", "lb")
-    other = other.withColumn("dt", F.explode(around)).withColumn("dl", F.explode(around))
-    other = other.withColumns({"tb": F.col("tb") + F.col("dt"), "lb": F.col("lb") + F.col("dl")}).drop("dt", "dl")
+    edge = F.least(F.lit(90.0), (F.abs(F.col("lb") + 0.5) + 1.5) * reach_deg)  # the latitude of the band nearest a pole
+    width = 2 * F.degrees(F.asin(F.least(F.lit(1.0), math.sin(math.radians(reach_deg) / 2) / F.greatest(F.lit(1e-9), F.cos(F.radians(edge))))))
+    cells = F.greatest(F.lit(1), F.floor(360 / width)).cast("long")
+    column = F.least(F.floor(F.pmod(F.col("lon") + 180.0, F.lit(360.0)) * cells / 360), cells - 1)
+    rows = rows.withColumn("t", seconds(F.col("time"))).withColumns({"tb": F.floor(F.col("t") / reach_s), "lb": F.floor(F.col("lat") / reach_deg)})
+    one = rows.select("u", "node", "satellite", "lat", "lon", "t", "tb", "lb", column.alias("xb"))
+    other = rows.select(F.col("u").alias("v"), F.col("node").alias("node2"), "satellite", F.col("lat").alias("lat2"), "lon", F.col("t").alias("t2"), "tb", F.col("lb").alias("lb0"))
+    other = other.withColumn("lb", F.explode(F.array(*[F.col("lb0") + k for k in (-1, 0, 1)])))
+    near = F.array_distinct(F.array(*[F.pmod(column + k, cells) for k in (-1, 0, 1)]))
+    other = other.withColumn("xb", F.explode(near)).withColumn("later", F.explode(F.array(F.lit(0), F.lit(1)).cast("array<bigint>")))
+    other = other.withColumn("tb", F.col("tb") + F.col("later")).withColumnRenamed("lon", "lon2").drop("lb0")
     d = F.pow(haversine(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")) / closeness_km, 2) + F.pow((F.col("t") - F.col("t2")) / closeness_s, 2)
-    return rows.join(other, ["satellite", "tb", "lb"]).where((F.col("u") < F.col("v")) & (d <= 2)).select("u", "v")
+    return one.join(other, ["satellite", "tb", "lb", "xb"]).where(d <= 2)
+
+
+def close_pairs(groups: DataFrame, closeness_km: float, closeness_s: float, key: str = "group_id") -> DataFrame:
+    """Pairs (u < v) of one satellite with (km / closeness_km)^2 + (s / closeness_s)^2 <= 2."""
+    rows = groups.select(F.col(key).alias("u"), F.col(key).alias("node"), "satellite", "lat", "lon", "time")
+    pairs = _met(rows, closeness_km, closeness_s).where((F.col("later") == 1) | (F.col("u") < F.col("v")))
+    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+
+
+def _labelled(groups: DataFrame, edges: DataFrame, least: int, pairs_alone: bool) -> DataFrame:
+    """groups (with their node) with cid and n of the components of edges between nodes."""
+    labels = written(components(edges), "labels").withColumnRenamed("component", "cid")
+    out = groups.join(labels, "node", "left").withColumn("cid", F.coalesce("cid", "node")).drop("node")
+    out = written(out, "clusters")
+    sizes = out.groupBy("cid").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    if not pairs_alone:
+        sizes = sizes.where("n <> 2")
+    return out.join(sizes, "cid").select(*out.columns, "n")
+
+
+def _with_node(groups: DataFrame, fine: list[Column]) -> DataFrame:
+    """groups with node, the smallest group_id of their cell, all of whose rows are in reach of each other."""
+    names = [f"_f{i}" for i in range(len(fine))]
+    rows = groups.withColumns(dict(zip(names, fine)))
+    nodes = rows.groupBy("satellite", *names).agg(F.min("group_id").alias("node"))
+    return written(rows.join(nodes, ["satellite", *names]).drop(*names), "groups")
 
 
 def single_linkage(groups: DataFrame, closeness_km: float = 14.0, closeness_s: float = 0.2, least: int = 1, pairs_alone: bool = True) -> DataFrame:
     """groups with cid (the smallest group_id of the cluster) and n, of clusters of `least` groups or more.
-    Without pairs_alone clusters of exactly two are dropped, as the strict mode of small blocks asks."""
-    groups = written(groups, "groups")
-    labels = components(close_pairs(groups, closeness_km, closeness_s))
-    out = groups.join(written(labels, "labels"), groups["group_id"] == F.col("node"), "left").withColumn("cid", F.coalesce("component", "group_id")).drop("node", "component")
-    out = out.withColumn("n", F.count("*").over(Window.partitionBy("cid")))
-    out = out.where(F.col("n") >= least)
-    return out if pairs_alone else out.where("n <> 2")
+    Without pairs_alone clusters of exactly two are dropped, as the strict mode of small blocks asks.
+
+    Rows of a cell of half the reach in time and space are in one cluster anyway: the graph has such cells as
+    nodes, and its edges do not grow with the square of the rows of a dense place.
+    """
+    deg = 0.999 * closeness_km / math.sqrt(2) / KM_A_DEGREE
+    groups = _with_node(groups, [F.floor(seconds(F.col("time")) / closeness_s), F.floor(F.col("lat") / deg), F.floor(F.col("lon") / deg)])
+    met = _met(groups.select(F.col("group_id").alias("u"), "node", "satellite", "lat", "lon", "time"), closeness_km, closeness_s)
+    edges = met.where("node <> node2").select(F.least("node", "node2").alias("u"), F.greatest("node", "node2").alias("v")).distinct()
+    return _labelled(groups, edges, least, pairs_alone)
+
+
+def radial_linkage(groups: DataFrame, closeness_km: float = 14.0, closeness_s: float = 0.2, least: int = 1) -> DataFrame:
+    """As single_linkage, in the plane of time and distance from the satellite's first group: rows at one distance
+    count as close in whatever direction they lie."""
+    first = groups.groupBy("satellite").agg(F.min_by(F.struct("lat", "lon"), F.struct("time", "group_id")).alias("_o"))
+    y = haversine(F.col("_o.lat"), F.col("_o.lon"), F.col("lat"), F.col("lon")) / closeness_km
+    rows = groups.join(first, "satellite").withColumns({"_x": seconds(F.col("time")) / closeness_s, "_y": y}).drop("_o")
+    rows = _with_node(rows, [F.floor("_x"), F.floor("_y")])
+    reach = math.sqrt(2)
+    one = rows.select("satellite", "node", "_x", "_y", F.floor(F.col("_x") / reach).alias("bx"), F.floor(F.col("_y") / reach).alias("by"))
+    other = one.select("satellite", F.col("node").alias("node2"), F.col("_x").alias("x2"), F.col("_y").alias("y2"), F.explode(F.array("bx", F.col("bx") + 1)).alias("bx"), "by")
+    other = other.withColumn("by", F.explode(F.array(F.col("by") - 1, F.col("by"), F.col("by") + 1)))
+    near = (F.col("node") != F.col("node2")) & (F.pow(F.col("_x") - F.col("x2"), 2) + F.pow(F.col("_y") - F.col("y2"), 2) <= 2)
+    edges = one.join(other, ["satellite", "bx", "by"]).where(near).select(F.least("node", "node2").alias("u"), F.greatest("node", "node2").alias("v")).distinct()
+    return _labelled(rows.drop("_x", "_y"), edges, least, True)
 
 
 def by_time(rows: DataFrame) -> DataFrame:

@@ -73,11 +73,27 @@ def curve(scored: DataFrame) -> DataFrame:
     return rows.crossJoin(F.broadcast(total)).select("score", "tp", "found", (F.col("tp") / F.col("found")).alias("precision"), (F.col("tp") / F.nullif(F.col("possible"), F.lit(0))).alias("recall"))
 
 
-def average_precision(points: DataFrame) -> DataFrame:
-    """Sum of precision times the step in recall over a curve."""
+def curves_by(scored: DataFrame, key: str) -> DataFrame:
+    """The curve of each key's rows: key, score, precision, recall."""
+    counts = scored.groupBy(key, "score").agg(F.count_if("is_true").alias("t"), F.count("*").alias("n"))
+    w = Window.partitionBy(key)
+    above = w.orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    rows = counts.select(key, "score", F.sum("t").over(above).alias("tp"), F.sum("n").over(above).alias("found"), F.sum("t").over(w).alias("possible"))
+    return rows.select(key, "score", (F.col("tp") / F.col("found")).alias("precision"), (F.col("tp") / F.nullif(F.col("possible"), F.lit(0))).alias("recall"))
+
+
+def average_precision(points: DataFrame, recall_limit: float | None = None) -> DataFrame:
+    """Sum of precision times the step in recall over a curve. With a limit only over the points whose recall is
+    above that of the point nearest the limit (the curve ends at recall 0), as a share of 1 - limit."""
     w = Window.orderBy(F.col("score").desc())
-    step = F.col("recall") - F.coalesce(F.lag("recall").over(w), F.lit(0.0))
-    return points.withColumn("_step", step).agg(F.sum(F.col("_step") * F.col("precision")).alias("average_precision"))
+    rows = points.withColumns({"_r": F.lag("recall").over(w), "_s": F.lag("score").over(w)})
+    if recall_limit is None:
+        return rows.agg(F.sum((F.col("recall") - F.coalesce("_r", F.lit(0.0))) * F.col("precision")).alias("average_precision"))
+    off = F.round(F.abs(F.col("recall") - recall_limit), 12)
+    nearest = points.agg(F.min(F.struct(off.alias("off"), "score")).alias("_c"))
+    end = F.when(F.col("_c.off") <= recall_limit, F.col("_c.score")).otherwise(float("inf"))
+    step = F.when(F.col("_s") < end, (F.col("recall") - F.col("_r")) * F.col("precision")).otherwise(0.0)
+    return rows.crossJoin(F.broadcast(nearest)).agg((F.sum(step) / (1.0 - recall_limit)).alias("average_precision"))
 
 
 def recall_at_precision(points: DataFrame, target: float) -> DataFrame:

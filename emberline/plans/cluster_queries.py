@@ -221,9 +221,14 @@ def m26_pr_curve(spark, sf_dir):
     return scoring.curve(scored(spark, sf_dir)).withColumns({"precision": F.round("precision", 6), "recall": F.round("recall", 6)})
 
 
-@query(with_members(f"{_CURVE} SELECT round(sum(st * p), 6) AS average_precision FROM (SELECT p, r - coalesce(lag(r) OVER (ORDER BY score DESC), 0) AS st FROM c)"))
+_LIMITED = "SELECT CASE WHEN off <= 0.25 THEN score ELSE CAST('Infinity' AS DOUBLE) END AS z FROM (SELECT round(abs(r - 0.25), 12) AS off, score FROM c ORDER BY 1, 2 LIMIT 1)"
+
+
+@query(with_members(f"{_CURVE}, o AS ({_LIMITED}) SELECT 'all' AS part, round(sum(st * p), 6) AS average_precision FROM (SELECT p, r - coalesce(lag(r) OVER (ORDER BY score DESC), 0) AS st FROM c) UNION ALL SELECT 'limited', round(sum(CASE WHEN ps < z THEN (r - pr) * p ELSE 0 END) / 0.75, 6) FROM (SELECT p, r, lag(r) OVER (ORDER BY score DESC) AS pr, lag(score) OVER (ORDER BY score DESC) AS ps FROM c), o"))
 def w15_average_precision(spark, sf_dir):
-    return scoring.average_precision(scoring.curve(scored(spark, sf_dir))).select(F.round("average_precision", 6).alias("average_precision"))
+    c = written(scoring.curve(scored(spark, sf_dir)), "curve")
+    out = scoring.average_precision(c).select(F.lit("all").alias("part"), "average_precision").unionByName(scoring.average_precision(c, 0.25).select(F.lit("limited").alias("part"), "average_precision"))
+    return out.withColumn("average_precision", F.round("average_precision", 6))
 
 
 @query(with_members(f"{_CURVE} SELECT round(coalesce(avg(mr), 0), 6) AS recall, round(coalesce(min(mr), 0), 6) AS least, round(coalesce(max(mr), 0), 6) AS most FROM (SELECT (r + lag(r) OVER w) / 2 AS mr, p, lag(p) OVER w AS pp FROM c WINDOW w AS (ORDER BY score DESC)) WHERE pp IS NOT NULL AND (pp - 0.1) * (p - 0.1) <= 0"))

@@ -9,7 +9,7 @@ from emberline.sources import point_events as pe
 from emberline.streaming import incremental
 
 from .cluster_queries import clusters, detections, matched
-from .common import query, with_groups
+from .common import GROUPS, query, with_groups
 
 
 @query()
@@ -33,12 +33,33 @@ def m22_consensus_lines(spark, sf_dir):
     return kernels.fitted_lines(clusters(spark, sf_dir), 0.01)
 
 
-@query(with_groups("SELECT CAST(y + dy AS BIGINT) AS y, CAST(x + dx AS BIGINT) AS x, round(sum(n * exp(-(pow(dy * 2.0 * 111.19, 2) + pow(dx * 2.0 * 111.19 * cos(radians((y + 0.5) * 2.0)), 2)) / (2 * 200.0 * 200.0))), 4) AS density FROM (SELECT floor(lat / 2.0) AS y, floor(lon / 2.0) AS x, count(*) AS n FROM g GROUP BY 1, 2), generate_series(-3, 3) a(dy), generate_series(-3, 3) b(dx) GROUP BY 1, 2"))
+_DENSE = """den AS (SELECT CAST(y + dy AS BIGINT) AS y, CAST(x + dx AS BIGINT) AS x, sum(n * exp(-(pow(dy * 2.0 * 111.19, 2) + pow(dx * 2.0 * 111.19 * c, 2)) / (2 * 200.0 * 200.0))) AS density FROM (SELECT *, unnest(generate_series(-r, r)) AS dx FROM (SELECT *, CAST(ceil(3 * 200.0 / 111.19 / 2.0 / c) AS BIGINT) AS r FROM (SELECT floor(lat / 2.0) AS y, floor(lon / 2.0) AS x, count(*) AS n, greatest(0.01, cos(radians((floor(lat / 2.0) + 0.5) * 2.0))) AS c FROM g GROUP BY ALL))), generate_series(-3, 3) a(dy) GROUP BY 1, 2)"""
+
+
+@query(f"WITH {GROUPS}, {_DENSE} SELECT y, x, round(density, 4) AS density FROM den")
 def a22_density(spark, sf_dir):
     d = kernels.density(pe.load_groups(spark, sf_dir), 2.0, 2.0, 200.0)
     return d.select("y", "x", F.round("density", 4).alias("density"))
 
 
+@query(f"WITH {GROUPS}, {_DENSE} SELECT y, x, round(density / (2 * pi() * 200.0 * 200.0 / (111.19 * 111.19 * greatest(0.01, cos(radians((y + 0.5) * 2.0))))), 5) AS density FROM den")
+def a23_calibrated_density(spark, sf_dir):
+    d = kernels.density(pe.load_groups(spark, sf_dir), 2.0, 2.0, 200.0, per_degree=True)
+    return d.select("y", "x", F.round("density", 5).alias("density"))
+
+
+@query(f"""WITH {GROUPS}, {_DENSE}, q AS (SELECT y, x, round(density, 6) AS d FROM den), s AS (SELECT 1.4826 * median(abs(d - (SELECT median(d) FROM q))) AS s FROM q)
+    SELECT y, x, round(d, 3) AS density FROM q WHERE d > 2.0 * (SELECT s FROM s) AND NOT EXISTS (SELECT 1 FROM q o WHERE abs(o.y - q.y) <= 1 AND abs(o.x - q.x) <= 1 AND (o.y <> q.y OR o.x <> q.x) AND (o.d > q.d OR (o.d = q.d AND (o.y < q.y OR (o.y = q.y AND o.x < q.x)))))""")
+def a22_peaks(spark, sf_dir):
+    d = kernels.density(pe.load_groups(spark, sf_dir), 2.0, 2.0, 200.0).withColumn("density", F.round("density", 6))
+    return kernels.density_peaks(d, 2.0, 2.0, 2.0, 200.0).select("y", "x", F.round("density", 3).alias("density"))
+
+
+@query()
+def w11_stretched_curves(spark, sf_dir):
+    return kernels.stretched_curves(clusters(spark, sf_dir), 16)
+
+
 @query(with_groups("SELECT CAST(k AS INTEGER) AS k, CAST(floor(round((x * cos(k * pi() / 36) + y * sin(k * pi() / 36)) / 2.0, 6)) AS BIGINT) AS rho, count(*) AS votes FROM (SELECT DISTINCT CAST(floor(lat) AS BIGINT) AS y, CAST(floor(lon) AS BIGINT) AS x FROM g), generate_series(0, 35) t(k) GROUP BY ALL"))
 def m23_hough_votes(spark, sf_dir):
     pixels = pe.load_groups(spark, sf_dir).select(F.floor("lat").alias("y"), F.floor("lon").alias("x")).distinct()

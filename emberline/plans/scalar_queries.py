@@ -360,10 +360,10 @@ def a17_histogram(spark, sf_dir):
     return pe.load_groups(spark, sf_dir).groupBy("satellite", b.alias("bin")).agg(F.count("*").alias("n"))
 
 
-@query(with_groups("SELECT satellite, epoch_us(w) AS start_us, count(*) AS n FROM (SELECT satellite, time, unnest([time_bucket(INTERVAL 30 MINUTE, time), time_bucket(INTERVAL 30 MINUTE, time) - INTERVAL 30 MINUTE]) AS w FROM g) GROUP BY satellite, w"))
+@query(with_groups("SELECT satellite, k, count(*) AS n FROM (SELECT satellite, unnest([u // 1800000000, u // 1800000000 - 1]) AS k, w FROM (SELECT satellite, epoch_us(time) - (SELECT min(epoch_us(time)) FROM g) AS u, (SELECT max(epoch_us(time)) - min(epoch_us(time)) FROM g) AS w FROM g)) WHERE k >= 0 AND k * 1800000000 + 3600000000 <= w GROUP BY satellite, k"))
 def w08_sliding_windows(spark, sf_dir):
-    g = pe.load_groups(spark, sf_dir).groupBy("satellite", F.window("time", "1 hour", "30 minutes").alias("w")).agg(F.count("*").alias("n"))
-    return g.select("satellite", F.unix_micros("w.start").alias("start_us"), "n")
+    g = pe.load_groups(spark, sf_dir)
+    return joins.sliding_windows(g, 3600, 1800).groupBy("satellite", "k").agg(F.count("*").alias("n"))
 
 
 @query(with_groups("""SELECT satellite, min(time) AS first_time, max(time) AS last_time, min(lat) AS lat_lo, max(lat) AS lat_hi, CAST(sum(energy) AS BIGINT) AS energy,

@@ -115,6 +115,37 @@ def pixel_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema="x int, y int, lat double, lon double").dropna()
 
 
+def layout_of(path: Column) -> tuple[Column, Column]:
+    """How a file's folder is laid out (hours: Y/DOY/HH, days: Y/MMDD, bundles: daily archives) and its day; null for others."""
+    hours, days, bundles = r"/(20\d{2}/\d{3})/\d{2}/[^/]*$", r"/(20\d{2}/\d{4})/[^/]*$", r"_s(20\d{6})\.nc\.tgz$"
+    kind = F.when(path.rlike(bundles), "bundles").when(path.rlike(hours), "hours").when(path.rlike(days), "days")
+    day = F.when(kind == "bundles", F.to_date(F.regexp_extract(path, bundles, 1), "yyyyMMdd")).when(kind == "days", F.to_date(F.regexp_extract(path, days, 1), "yyyy/MMdd"))
+    found = F.regexp_extract(path, hours, 1)
+    of_year = F.date_add(F.make_date(F.substring(found, 1, 4).cast("int"), F.lit(1), F.lit(1)), F.substring(found, 6, 3).cast("int") - 1)
+    return kind, day.otherwise(F.when(kind == "hours", of_year))
+
+
+def area_averaged(pixels: DataFrame, k: int) -> DataFrame:
+    """Bands (x, y, band, value) on a grid k times coarser, the mean of a block's pixels each."""
+    return pixels.groupBy(F.floor(F.col("x") / k).alias("x"), F.floor(F.col("y") / k).alias("y"), "band").agg(F.avg("value").alias("value"))
+
+
+def truth_csv(truth: DataFrame, path: str) -> None:
+    """One line a truth event, positions and energies averaged over its satellites: id, start, end, lat, lon, energy."""
+    rows = truth.groupBy("idx").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.avg("lat").alias("lat"), F.avg("lon").alias("lon"), F.avg("energy").alias("energy"), F.concat_ws(" ", F.array_sort(F.collect_set("satellite"))).alias("satellites"))
+    rows.write.mode("overwrite").option("header", "true").csv(path)
+
+
+def label_csvs(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Label files put together by the names in their headers, whatever the order of their columns; a column that a
+    file lacks is null there."""
+    out = None
+    for p in paths:
+        one = spark.read.csv(p, header=True, inferSchema=False)
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    return out
+
+
 def append_store(rows: DataFrame, path: str, kind: str) -> None:
     """Adds detections or rejections to a store partitioned by kind, satellite and date."""
     rows.withColumns({"kind": F.lit(kind), "date": F.to_date("time")}).write.mode("append").partitionBy("kind", "satellite", "date").parquet(path)
