@@ -61,23 +61,35 @@ def _labelled(groups: DataFrame, edges: DataFrame, least: int, pairs_alone: bool
     return out.join(sizes, "cid").select(*out.columns, "n")
 
 
-def _with_node(groups: DataFrame, fine: list[Column]) -> DataFrame:
-    """groups with node, the smallest group_id of their cell, all of whose rows are in reach of each other."""
-    names = [f"_f{i}" for i in range(len(fine))]
-    rows = groups.withColumns(dict(zip(names, fine)))
-    nodes = rows.groupBy("satellite", *names).agg(F.min("group_id").alias("node"))
-    return written(rows.join(nodes, ["satellite", *names]).drop(*names), "groups")
+#: Time cells of a place that are chained in one window; chains of longer spans are joined by edges.
+_CHAINED = 4096
+
+
+def _with_node(groups: DataFrame, along: Column, place: list[Column]) -> DataFrame:
+    """groups with node, the smallest group_id of a chain of rows that are in one cluster anyway: rows of one place
+    whose `along` (time by closeness) differs by one at most from the next. Rows are counted by cells of `along`
+    first, so a chain is found on cells, a bounded number of them in a window."""
+    names = [f"_f{i}" for i in range(len(place))]
+    rows = groups.withColumns({**dict(zip(names, place)), "_a": along, "_c": F.floor(along)})
+    cells = rows.groupBy("satellite", *names, "_c").agg(F.min("group_id").alias("_least"), F.min("_a").alias("_from"), F.max("_a").alias("_to"))
+    span = Window.partitionBy("satellite", *names, F.floor(F.col("_c") / _CHAINED))
+    gap = F.col("_from") - F.lag("_to").over(span.orderBy("_c"))
+    cells = cells.withColumn("_new", F.coalesce((gap > 0.999999).cast("int"), F.lit(1)))
+    cells = cells.withColumn("_run", F.sum("_new").over(span.orderBy("_c")))
+    run = Window.partitionBy("satellite", *names, F.floor(F.col("_c") / _CHAINED), "_run")
+    nodes = cells.select("satellite", *names, "_c", F.min("_least").over(run).alias("node"))
+    return written(rows.join(nodes, ["satellite", *names, "_c"]).drop(*names, "_c", "_a"), "groups")
 
 
 def single_linkage(groups: DataFrame, closeness_km: float = 14.0, closeness_s: float = 0.2, least: int = 1, pairs_alone: bool = True) -> DataFrame:
     """groups with cid (the smallest group_id of the cluster) and n, of clusters of `least` groups or more.
     Without pairs_alone clusters of exactly two are dropped, as the strict mode of small blocks asks.
 
-    Rows of a cell of half the reach in time and space are in one cluster anyway: the graph has such cells as
-    nodes, and its edges do not grow with the square of the rows of a dense place.
+    Rows that follow each other closely in one small place are in one cluster anyway: the graph has such chains
+    as nodes, and its edges do not grow with the square of the rows of a dense place.
     """
     deg = 0.999 * closeness_km / math.sqrt(2) / KM_A_DEGREE
-    groups = _with_node(groups, [F.floor(seconds(F.col("time")) / closeness_s), F.floor(F.col("lat") / deg), F.floor(F.col("lon") / deg)])
+    groups = _with_node(groups, seconds(F.col("time")) / closeness_s, [F.floor(F.col("lat") / deg), F.floor(F.col("lon") / deg)])
     met = _met(groups.select(F.col("group_id").alias("u"), "node", "satellite", "lat", "lon", "time"), closeness_km, closeness_s)
     edges = met.where("node <> node2").select(F.least("node", "node2").alias("u"), F.greatest("node", "node2").alias("v")).distinct()
     return _labelled(groups, edges, least, pairs_alone)
@@ -89,7 +101,7 @@ def radial_linkage(groups: DataFrame, closeness_km: float = 14.0, closeness_s: f
     first = groups.groupBy("satellite").agg(F.min_by(F.struct("lat", "lon"), F.struct("time", "group_id")).alias("_o"))
     y = haversine(F.col("_o.lat"), F.col("_o.lon"), F.col("lat"), F.col("lon")) / closeness_km
     rows = groups.join(first, "satellite").withColumns({"_x": seconds(F.col("time")) / closeness_s, "_y": y}).drop("_o")
-    rows = _with_node(rows, [F.floor("_x"), F.floor("_y")])
+    rows = _with_node(rows, F.col("_x"), [F.floor("_y")])
     reach = math.sqrt(2)
     one = rows.select("satellite", "node", "_x", "_y", F.floor(F.col("_x") / reach).alias("bx"), F.floor(F.col("_y") / reach).alias("by"))
     other = one.select("satellite", F.col("node").alias("node2"), F.col("_x").alias("x2"), F.col("_y").alias("y2"), F.explode(F.array("bx", F.col("bx") + 1)).alias("bx"), "by")
