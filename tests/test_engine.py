@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from emberline.functions import geo, membership, times
-from emberline.operators import features, joins, kernels, linkage, scoring
+from emberline.operators import features, joins, kernels, linkage, profiles, scoring, stereo
 from emberline.sources import point_events as pe
 from emberline.streaming import incremental
 
@@ -167,3 +167,43 @@ def test_track_deviation_is_in_kilometres(spark):
     norm = np.abs(off - np.median(off)) / np.median(off)
     below = norm <= 5 * 1.4826 * np.median(np.abs(norm - np.median(norm)))
     assert abs(features.track_deviation(members).first().deviation - off[below].max()) < 1e-6
+
+
+def test_heights_of_points_seen_twice(spark):
+    points = spark.createDataFrame([(1, 10.0, -100.0, 35.0), (2, -20.0, -110.0, 0.5), (3, 41.5, -95.0, 120.0)], "group_id long, lat double, lon double, h double")
+    (a1, o1), (a2, o2) = (stereo.seen_from(F.col("lat"), F.col("lon"), F.col("h"), s) for s in (-75.2, -137.2))
+    seen = points.select("group_id", "h", a1.alias("lat1"), o1.alias("lon1"), a2.alias("lat2"), o2.alias("lon2"))
+    rows = stereo.altitudes(seen, -75.2, -137.2).collect()
+    assert all(abs(r.alt - r.h) < 1e-3 and r.residual < 1e-3 for r in rows)
+    unknown = stereo.altitudes(seen.withColumn("lat1", F.lit(None).cast("double")), -75.2, -137.2).collect()
+    assert [r.alt for r in unknown] == [None, None, None]
+
+
+def test_one_row_an_id(spark):
+    ids = spark.createDataFrame([(1,), (2,)], "k long")
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k long, v string")
+    assert sorted(r.v for r in profiles.one_to_one(ids, rows, "k").collect()) == ["a", "b"]
+    for bad in (rows.where("k <> 2"), rows.union(rows)):
+        with pytest.raises(Exception, match="without exactly one row"):
+            profiles.one_to_one(ids, bad, "k").collect()
+
+
+def test_linkage_across_cells_and_the_date_line(spark):
+    rng = np.random.default_rng(5)
+    t, lat, lon = rng.uniform(0, 40, 300), rng.uniform(69.5, 70.5, 300), (179.0 + rng.uniform(0, 2, 300) + 180) % 360 - 180
+    rows = [(i, "G16", T0 + dt.timedelta(seconds=float(t[i])), float(lat[i]), float(lon[i]), 1) for i in range(300)]
+    df = spark.createDataFrame(rows, "group_id long, satellite string, time timestamp, lat double, lon double, energy long")
+    p, q = np.radians(lat), np.radians(lon)
+    a = np.sin((p[:, None] - p) / 2) ** 2 + np.cos(p[:, None]) * np.cos(p) * np.sin((q[:, None] - q) / 2) ** 2
+    km = 2 * 6371.0 * np.arcsin(np.sqrt(a))
+    close = (km / 5.0) ** 2 + ((t[:, None] - t) / 2.0) ** 2 <= 2
+    label = np.arange(300)
+    while True:
+        new = np.array([label[close[i]].min() for i in range(300)])
+        if (new == label).all():
+            break
+        label = new
+    got = {r.group_id: r.cid for r in linkage.single_linkage(df, 5.0, 2.0).collect()}
+    assert [got[i] for i in range(300)] == label.tolist()
+    pairs = {(r.u, r.v) for r in linkage.close_pairs(df, 5.0, 2.0).collect()}
+    assert pairs == {(i, j) for i in range(300) for j in range(i + 1, 300) if close[i, j]}
