@@ -15,21 +15,61 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import CHUNK_BYTES, arrow_map, chunks, ranked, span_names, word_bounds, written
 
-#: Words whose ids each worker remembers: those of the last so many new ones, and of as many before.
-REMEMBERED_WORDS = 160_000
-
-_PUNCTUATED = re.compile(rb"(.*[A-Za-z0-9])([!-/:-@\[-`{-~]+)", re.S)
+#: Words whose ids each worker remembers (some 60 bytes each): beyond them those that came only once are forgotten.
+REMEMBERED_WORDS = 500_000
+
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
+_LETTER_OR_DIGIT = np.array([chr(i).isalnum() and i < 128 for i in range(256)])
+_LAST = np.uint64(2**64 - 1)
+
+
+def _parts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """word_bounds with the punctuation at a word's end as a part of its own: after a letter or digit it is
+    a token of its own anyway, and most of such words are known without it."""
+    starts, ends, first = word_bounds(data, offsets)
+    if not len(starts):
+        return starts, ends, first
+    body = np.where(_PUNCTUATION[data], 0, np.arange(len(data)))
+    np.maximum.accumulate(body, out=body)
+    body = body[ends - 1]
+    cut = (body >= starts) & (body < ends - 1) & _LETTER_OR_DIGIT[data[body]]
+    bars = np.flatnonzero((data[:-1] == ord("<")) & (data[1:] == ord("|")))
+    cut &= np.searchsorted(bars, starts) == np.searchsorted(bars, ends - 1)  # special tokens stay whole
+    n = 1 + cut
+    after = np.concatenate([[0], np.cumsum(n)])
+    starts, ends = np.repeat(starts, n), np.repeat(ends, n)
+    tail = after[1:][cut] - 1
+    starts[tail] = ends[tail - 1] = body[cut] + 1
+    return starts, ends, after[first]
+
+
+def _marks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """First and last eight bytes and length: what tells any two words of up to 16 bytes apart, and is
+    held against those that have the same name."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    length = (ends - starts).astype(np.uint64)
+    some = np.minimum(length, np.uint64(8))
+    mask = _LAST >> (np.uint64(8) * (np.uint64(8) - some))
+    return np.stack([eight[starts] & mask, eight[ends - some.astype(np.int64)] & mask, length], axis=1)
+
+
+def _slices(base: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The positions base .. base + size of all rows in turn, and the n+1 bounds of the rows among them."""
+    bounds = np.concatenate([[0], np.cumsum(size)])
+    return np.repeat(base - bounds[:-1], size) + np.arange(bounds[-1]), bounds
 
 
 class WordTokenizer:
-    """Ids as little-endian bytes. White space parts tokens in this vocabulary's pre-tokenizer, so a
-    text's ids are those of its words in turn, and words come again."""
+    """White space parts tokens in this vocabulary's pre-tokenizer, so a text's ids are those of its words
+    in turn, and words come again: their ids are kept in arrays, looked up by name."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -38,53 +78,77 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a word
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
-        self.before: dict[bytes, bytes] = {}
-
-    def _encode(self, words: list[bytes]) -> None:
-        """Words of letters only are one pre-token each: many are encoded as one text and told apart by their ends."""
-        plain = [w for w in words if w.isalpha() or w.decode().isalpha()]
-        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(plain).decode()], add_special_tokens=False)[0].ids, "<u4")
-        cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) == len(plain):
-            data, at = ids.tobytes(), 0
-            for w, to in zip(plain, (4 * cuts).tolist(), strict=True):
-                self.known[w] = data[at:to]
-                at = to
-            plain = set(plain)
-            words = [w for w in words if w not in plain]
-        for w, e in zip(words, self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False), strict=True):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
-
-    def _remember(self, words: set[bytes]) -> set[bytes]:
-        """Takes over what was known before; returns the rest."""
-        again = words & self.before.keys()
-        for w in again:
-            self.known[w] = self.before[w]
-        return words - again
+        self._forget()
+
+    def _forget(self) -> None:
+        # one row that no word equals, so that a search always has a neighbour
+        self.names, self.row = np.array([_LAST]), np.zeros(1, np.int64)  # sorted
+        self.marks, self.again = np.full((1, 3), _LAST), np.ones(1, bool)
+        self.base, self.size, self.ids = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, "<u4")
+
+    def _forget_rare(self) -> None:
+        keep = np.flatnonzero(self.again)
+        if 2 * len(keep) > REMEMBERED_WORDS:
+            return self._forget()
+        at, bounds = _slices(self.base[keep], self.size[keep])
+        self.ids, self.base, self.size = self.ids[at], bounds[:-1], self.size[keep]
+        self.marks, place = self.marks[keep], np.cumsum(self.again) - 1
+        kept = self.again[self.row]
+        self.names, self.row = self.names[kept], place[self.row[kept]]
+        self.again = np.zeros(len(keep), bool)
+        self.again[0] = True
+
+    def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where each word's begin and how many they are. Words of letters only are one pre-token
+        each: they are encoded as one text and told apart by their ends."""
+        plain = np.array([w.isalpha() or w.decode().isalpha() for w in words], bool)
+        together = b" ".join([w for w, p in zip(words, plain.tolist(), strict=True) if p]).decode()
+        ids = np.array(self.tokenizer.encode_batch_fast([together], add_special_tokens=False)[0].ids, "<u4")
+        sizes = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+        if len(sizes) != plain.sum() or sizes.sum() != len(ids):
+            plain[:], ids, sizes = False, ids[:0], sizes[:0]
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        alone = self.tokenizer.encode_batch_fast([words[i].decode() for i in order[len(sizes) :].tolist()], add_special_tokens=False)
+        alone = [np.array(e.ids, "<u4") for e in alone]
+        size = np.zeros(len(words), np.int64)
+        size[order] = np.concatenate([sizes, np.array([len(x) for x in alone], np.int64)])
+        base = np.zeros(len(words), np.int64)
+        base[order] = np.cumsum(size[order]) - size[order]
+        return np.concatenate([ids, *alone]), base, size
+
+    def _rows(self, data: np.ndarray, names: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Rows of the given different words; new ones are encoded and remembered."""
+        marks = _marks(data, starts, ends)
+        at = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
+        rows = self.row[at]
+        hit = (self.names[at] == names) & (self.marks[rows] == marks).all(axis=1)
+        self.again[rows[hit]] = True
+        fresh = np.flatnonzero(~hit)
+        if len(fresh):
+            whole = data.tobytes()
+            ids, base, size = self._encode([whole[i:j] for i, j in zip(starts[fresh].tolist(), ends[fresh].tolist(), strict=True)])
+            rows[fresh] = len(self.size) + np.arange(len(fresh))
+            self.base, self.size = np.append(self.base, len(self.ids) + base), np.append(self.size, size)
+            self.ids, self.marks = np.append(self.ids, ids), np.append(self.marks, marks[fresh], axis=0)
+            self.again = np.append(self.again, np.zeros(len(fresh), bool))
+            fresh = fresh[np.argsort(names[fresh])]
+            both, row = np.append(self.names, names[fresh]), np.append(self.row, rows[fresh])
+            order = np.argsort(both, kind="stable")
+            self.names, self.row = both[order], row[order]
+        return rows
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end and the n+1 offsets. Each word of the chunk is looked up once."""
-        starts, ends, first = word_bounds(data, offsets)
-        _, at, which = np.unique(span_names(data, starts, ends), return_index=True, return_inverse=True)
-        whole = data.tobytes()
-        words = [whole[i:j] for i, j in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
-        if len(self.known) > REMEMBERED_WORDS:
-            self.known, self.before = {}, self.known
-        fresh = self._remember(set(words).difference(self.known))
-        # punctuation after a letter or digit is a token of its own: most of such words are known without it
-        parts = {w: m.groups() for w in fresh if not w[-1:].isalnum() and b"<|" not in w and (m := _PUNCTUATED.fullmatch(w))}
-        bare = self._remember({p for x in parts.values() for p in x}.difference(self.known))
-        self._encode(sorted((fresh - parts.keys()) | bare))
-        for w, (stem, rest) in parts.items():
-            self.known[w] = self.known[stem] + self.known[rest]
-        found = [self.known[w] for w in words]
-        size = np.array([len(x) for x in found], np.int64) // 4
-        flat, base = np.frombuffer(b"".join(found), "<u4"), np.cumsum(size) - size
-        n = size[which]
-        after = np.concatenate([[0], np.cumsum(n)])
-        ids = flat[np.repeat(base[which] - after[:-1], n) + np.arange(after[-1])] if len(n) else flat
-        return ids, after[first]
+        if len(self.size) > REMEMBERED_WORDS:
+            self._forget_rare()
+        starts, ends, first = _parts(data, offsets)
+        names = span_names(data, starts, ends)
+        which, different = pd.factorize(names)
+        at = np.zeros(len(different), np.int64)
+        at[which[::-1]] = np.arange(len(which))[::-1]  # where each first stands
+        rows = self._rows(data, names[at], starts[at], ends[at])[which]
+        place, after = _slices(self.base[rows], self.size[rows])
+        return self.ids[place], after[first]
 
 
 @lru_cache(maxsize=2)

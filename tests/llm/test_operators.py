@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -480,3 +481,23 @@ def test_lists_stop_early_where_few_dimensions_decide():
         ids, scores, depth = lists.top(vectors[q], q, 10)
         others = np.delete(vectors @ vectors[q], q)
         assert scores.tolist() == sorted(others.tolist(), reverse=True)[:10] and depth < 2500
+
+
+def test_words_are_remembered_as_the_tokenizer_encodes_them(monkeypatch):
+    """Odd words met again and again over many chunks, while most of what was remembered is forgotten in between."""
+    from tokenizers import Tokenizer
+
+    from emberline.llm.common import text_buffer
+
+    monkeypatch.setattr(packing, "REMEMBERED_WORDS", 300)
+    tokenizer = Tokenizer.from_file(packing.default_tokenizer())
+    words = packing.WordTokenizer(packing.default_tokenizer())
+    rng = random.Random(7)
+    letters = ["a", "B", "é", "é", "ß", "İ", "中", "9", "٣", "'s", "'", "-", "<|", "|>", ".", "!", "_", " ", "\u0338", "\u200b", "qu", "the", "\U0001f600", "<|endoftext|>", "\x00", "\x85"]
+    pool = ["".join(rng.choice(letters) for _ in range(rng.choice([1, 2, 3, 5, 9, 40]))) for _ in range(900)]
+    for _ in range(30):
+        texts = [" ".join(rng.choice(pool) for _ in range(rng.choice([0, 1, 20]))) + rng.choice(["", " ", "\n"]) for _ in range(12)] + ["", None, "  "]
+        ids, bounds = words(*text_buffer(pa.array(texts)))
+        got = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert len(words.size) < 1000
