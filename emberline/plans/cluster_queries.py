@@ -87,12 +87,20 @@ def w09_gap_fill(spark, sf_dir):
     return features.filled_gaps(clusters(spark, sf_dir), frame=600.0).groupBy("cid").agg(F.count("*").alias("n"), F.count_if("filled").alias("n_filled"))
 
 
-@query()
+@query(with_members("""SELECT cid, round(count(*) FILTER (i < n AND e < thr AND before = 1 AND least <= thr) / CAST(any_value(n) AS DOUBLE), 6) AS chop FROM (
+        SELECT *, last_value(side IGNORE NULLS) OVER (PARTITION BY cid ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before, min(e) OVER (PARTITION BY cid ORDER BY i ROWS BETWEEN 1 FOLLOWING AND 4 FOLLOWING) AS least
+        FROM (SELECT *, CASE WHEN e > 1.1 * thr THEN 1 WHEN e < thr THEN 0 END AS side FROM (SELECT cid, i, n, CAST(energy AS DOUBLE) AS e FROM m) JOIN (SELECT cid, CAST(1.482602218505602 AS DOUBLE) * mad(CAST(energy AS DOUBLE)) AS thr FROM m GROUP BY cid) USING (cid)))
+    GROUP BY cid"""))
 def w01_chop(spark, sf_dir):
     return features.chop(clusters(spark, sf_dir)).select("cid", F.round("chop", 6).alias("chop"))
 
 
-@query()
+@query(with_members(f"""SELECT cid, round(coalesce(max(dev) FILTER (off <= 5 * 1.4826 * spread), max(dev)), 6) AS deviation FROM (
+        SELECT *, mad(off) OVER (PARTITION BY cid) AS spread FROM (SELECT *, CASE WHEN med = 0 THEN 0 ELSE abs(dev - med) / med END AS off FROM (SELECT *, median(dev) OVER (PARTITION BY cid) AS med FROM (
+            SELECT cid, CASE WHEN flat THEN {hav("slope * lon + icept", "lon", "lat", "lon")} ELSE {hav("lat", "slope * lat + icept", "lat", "lon")} END AS dev
+            FROM m JOIN (SELECT cid, flat, regr_slope(CASE WHEN flat THEN lat ELSE lon END, CASE WHEN flat THEN lon ELSE lat END) AS slope, regr_intercept(CASE WHEN flat THEN lat ELSE lon END, CASE WHEN flat THEN lon ELSE lat END) AS icept
+                FROM m JOIN (SELECT cid, abs(max(lon) FILTER (i = n) - max(lon) FILTER (i = 1)) > abs(max(lat) FILTER (i = n) - max(lat) FILTER (i = 1)) AS flat FROM m GROUP BY cid) USING (cid) GROUP BY cid, flat) USING (cid)))))
+    GROUP BY cid"""))
 def w05_track_deviation(spark, sf_dir):
     return features.track_deviation(clusters(spark, sf_dir)).select("cid", F.round("deviation", 6).alias("deviation"))
 

@@ -8,7 +8,7 @@ import pytest
 from emberline.plans import registry
 
 FOLDER = "/root/testdata/sf0.001"
-SOME = ["d17_condense", "f09_stamp", "j05_hotspot_distances", "j11_unprocessed_days", "p05_corridor", "s03_file_neighbours", "s11_asof_files", "st_sessions", "w08_sliding_windows", "a22_density", "j01_truth_match", "o05_except", "m26_pr_curve", "p12_scenes", "c03_c04_heights", "a20_combined_features", "a22_peaks", "s08_layouts", "f18_names_in_order"]
+SOME = ["d17_condense", "f09_stamp", "j05_hotspot_distances", "j11_unprocessed_days", "p05_corridor", "s03_file_neighbours", "s11_asof_files", "st_sessions", "w08_sliding_windows", "a22_density", "j01_truth_match", "o05_except", "m26_pr_curve", "p12_scenes", "c03_c04_heights", "a20_combined_features", "a22_peaks", "s08_layouts", "f18_names_in_order", "w01_chop", "w05_track_deviation"]
 
 
 def plain(v):
