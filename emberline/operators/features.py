@@ -109,7 +109,8 @@ def splinelets(members: DataFrame) -> DataFrame:
 def track_deviation(members: DataFrame, sigmas: float = 5.0) -> DataFrame:
     """Largest great-circle distance (km) from a straight ground track, outliers beyond `sigmas` robust ones left
     out: distances are taken relative to their median, and the spread is that of the relative distances.
-    The track is lat over lon if the ends lie further apart in lon, else lon over lat."""
+    The track is lat over lon if the ends lie further apart in lon, else lon over lat. Distances are taken to
+    1e-9 km: where most points lie on the track, rounding errors of the fit would else pass for a spread."""
     w = Window.partitionBy("cid")
     rows = numbered(members)
     end = lambda c, i: F.max(F.when(F.col("i") == i, F.col(c))).over(w)
@@ -118,7 +119,7 @@ def track_deviation(members: DataFrame, sigmas: float = 5.0) -> DataFrame:
     fit = rows.groupBy("cid").agg(F.regr_slope("_y", "_x").alias("slope"), F.regr_intercept("_y", "_x").alias("intercept"))
     said = F.col("slope") * F.col("_x") + F.col("intercept")
     lat, lon = F.when(F.col("_flat"), said).otherwise(F.col("lat")), F.when(F.col("_flat"), F.col("lon")).otherwise(said)
-    rows = rows.join(fit, "cid").select("cid", haversine(lat, lon, F.col("lat"), F.col("lon")).alias("dev"))
+    rows = rows.join(fit, "cid").select("cid", F.round(haversine(lat, lon, F.col("lat"), F.col("lon")), 9).alias("dev"))
     middle = lambda rows, value, name: rows.join(rows.groupBy("cid").agg(F.median(value).alias(name)), "cid")
     rows = middle(rows, F.col("dev"), "med")
     rows = rows.withColumn("off", F.when(F.col("med") == 0, 0.0).otherwise(F.abs(F.col("dev") - F.col("med")) / F.col("med")))

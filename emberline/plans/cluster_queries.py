@@ -97,7 +97,7 @@ def w01_chop(spark, sf_dir):
 
 @query(with_members(f"""SELECT cid, round(coalesce(max(dev) FILTER (off <= 5 * 1.4826 * spread), max(dev)), 6) AS deviation FROM (
         SELECT *, mad(off) OVER (PARTITION BY cid) AS spread FROM (SELECT *, CASE WHEN med = 0 THEN 0 ELSE abs(dev - med) / med END AS off FROM (SELECT *, median(dev) OVER (PARTITION BY cid) AS med FROM (
-            SELECT cid, CASE WHEN flat THEN {hav("slope * lon + icept", "lon", "lat", "lon")} ELSE {hav("lat", "slope * lat + icept", "lat", "lon")} END AS dev
+            SELECT cid, round(CASE WHEN flat THEN {hav("slope * lon + icept", "lon", "lat", "lon")} ELSE {hav("lat", "slope * lat + icept", "lat", "lon")} END, 9) AS dev
             FROM m JOIN (SELECT cid, flat, regr_slope(CASE WHEN flat THEN lat ELSE lon END, CASE WHEN flat THEN lon ELSE lat END) AS slope, regr_intercept(CASE WHEN flat THEN lat ELSE lon END, CASE WHEN flat THEN lon ELSE lat END) AS icept
                 FROM m JOIN (SELECT cid, abs(max(lon) FILTER (i = n) - max(lon) FILTER (i = 1)) > abs(max(lat) FILTER (i = n) - max(lat) FILTER (i = 1)) AS flat FROM m GROUP BY cid) USING (cid) GROUP BY cid, flat) USING (cid)))))
     GROUP BY cid"""))
