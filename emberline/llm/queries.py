@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_wrapper, jaccard_join, line_rules, mixing, packing, quality_ranker, secret_scan, sentence_pieces, sharding, suffix_dedup, token_links, topk
+from . import html_wrapper, jaccard_join, line_rules, mixing, packing, quality_ranker, secret_scan, sentence_pieces, sharding, spelling, suffix_dedup, token_links, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,10 @@ def op10_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 100 == 0)
 
 
+def op11_wavelet_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(spelling.word_counts(table(spark, sf_dir, "documents"), deletion=31), least_length=7, least_count=2)
+
+
 def op12_backtracking_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.digest(table(spark, sf_dir, "documents"))
 
@@ -73,6 +77,7 @@ QUERIES = {
     "op8_wrapper_extraction": op8_wrapper_extraction,
     "op9_vector_best_fit": op9_vector_best_fit,
     "op10_threshold_top_k": op10_threshold_top_k,
+    "op11_wavelet_spelling_variants": op11_wavelet_spelling_variants,
     "op12_backtracking_pieces": op12_backtracking_pieces,
     "op13_cross_tokenizer_links": op13_cross_tokenizer_links,
 }
