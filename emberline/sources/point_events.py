@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -151,9 +154,24 @@ def append_store(rows: DataFrame, path: str, kind: str) -> None:
     rows.withColumns({"kind": F.lit(kind), "date": F.to_date("time")}).write.mode("append").partitionBy("kind", "satellite", "date").parquet(path)
 
 
-def replace_days(rows: DataFrame, path: str, kind: str) -> None:
-    """Replaces whole days of a store, atomically by partition: a run that is repeated adds nothing twice."""
-    (rows.withColumns({"kind": F.lit(kind), "date": F.to_date("time")}).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("kind", "satellite", "date").parquet(path))
+def replace_days(rows: DataFrame, path: str, kind: str, days: Iterable[tuple[str | None, date]] = ()) -> None:
+    """Replaces whole days of a store, atomically by partition: a run that is repeated adds nothing twice. Of `days`
+    (satellite, or null for all, and date) those without any rows lose their partition, once the others are written."""
+    rows = rows.withColumns({"kind": F.lit(kind), "date": F.to_date("time")})
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("kind", "satellite", "date").parquet(path)
+    days = set(days)
+    if not days:
+        return
+    spark = rows.sparkSession
+    filled = {(r.satellite, r.date) for r in rows.select("satellite", "date").distinct().collect()}  # of the days asked for
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/kind={kind}")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return
+    for satellite in files.listStatus(folder):
+        name = satellite.getPath().getName().removeprefix("satellite=")
+        for day in {d for s, d in days if s in (None, name)} - {d for s, d in filled if s == name}:
+            files.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(satellite.getPath(), f"date={day.isoformat()}"), True)
 
 
 def extract_store(spark: SparkSession, path: str, kind: str, ids: DataFrame | None = None) -> DataFrame:

@@ -40,8 +40,8 @@ def sliding_counts(groups: DataFrame, width: str = "1 hour", slide: str = "30 mi
 def process_days(groups: DataFrame, detect: Callable[[DataFrame], DataFrame], store: str, checkpoint: str, kind: str = "detections"):
     """Adds each batch of new files to the groups kept beside the store (`store`-groups), runs `detect` on all groups of the days it touched and
     the days beside them, and replaces those days' rows. So a day that arrives in several batches is
-    whole, clusters go on over midnight, and a batch that is run again after a failure gives the same
-    store. Stops when all files that are there are done."""
+    whole, clusters go on over midnight, a day whose detections all vanish is emptied, and a batch that is run again
+    after a failure gives the same store. Stops when all files that are there are done."""
 
     kept = f"{store.rstrip('/')}-groups"
 
@@ -61,7 +61,7 @@ def process_days(groups: DataFrame, detect: Callable[[DataFrame], DataFrame], st
             before = rows.where("false")
         replace_days(written(before.unionByName(rows).dropDuplicates(["dataset_file", "group_id"]), "groups"), kept, "groups")
         held = extract_store(spark, kept, "groups").where(F.col("date").isin(around(2))).select(*rows.columns)
-        replace_days(written(detect(held).where(day.isin(around(1))), kind), store, kind)
+        replace_days(written(detect(held).where(day.isin(around(1))), kind), store, kind, {(None, d) for d in around(1)})
 
     return groups.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
