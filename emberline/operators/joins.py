@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from emberline.functions.geo import haversine
 from emberline.sources.scratch import written
 
 from .linkage import seconds
+from .scan import joined_on, scanned, time_cell
 
 
 def time_cells(df: DataFrame, low: Column, high: Column, width: float, cell: str = "cell") -> DataFrame:
@@ -55,17 +55,30 @@ def truth_match(detections: DataFrame, truth: DataFrame, pad_s: float = 0.5, km:
     return detections.select("cid").join(best, "cid", "left").select("cid", code.cast("long").alias("truth_idx"))
 
 
-def asof_neighbours(left: DataFrame, right: DataFrame, by: str, time: str = "time", name: str = "name") -> DataFrame:
-    """For each left row the nearest right names before-or-at and after its time: one union and one window."""
+def asof_neighbours(left: DataFrame, right: DataFrame, by: str, time: str = "time", name: str = "name", cell_s: float = 3600.0) -> DataFrame:
+    """For each left row the nearest right names before-or-at and after its time (null if there is none): one union,
+    scanned by cells of time. Of right rows at one time the first name is next, the last one is before. left: by, time, key."""
     both = left.select(by, time, F.lit(None).cast("string").alias("_name"), F.col("key").alias("_key"), F.lit(1).alias("_kind")).unionByName(
         right.select(by, time, F.col(name).alias("_name"), F.lit(None).cast("long").alias("_key"), F.lit(0).alias("_kind"))
     )
-    back = Window.partitionBy(by).orderBy(time, "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(by).orderBy(F.col(time).desc(), F.col("_kind").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    out = both.withColumns({"before": F.last("_name", True).over(back), "after": F.last("_name", True).over(ahead)})
+    out = scanned(both, [by], [time, "_kind", "_name", "_key"], time_cell(time, cell_s), before={"before": F.col("_name")}, after={"after": F.col("_name")})
     return out.where("_kind = 1").select(F.col("_key").alias("key"), "before", "after")
 
 
+def slice_by_position(rows: DataFrame, by: list[str], order: list[str], cell: Column, first: int, last: int | None = None) -> DataFrame:
+    """Rows at positions first .. last of their key in order, counted from 0; a negative `last` counts from the end (-1: the last row),
+    none goes to the end."""
+    rows = scanned(rows, by, order, cell, sums={"_position": F.lit(1)})
+    keep = F.col("_position") > first
+    if last is not None and last >= 0:
+        return rows.where(keep & (F.col("_position") <= last + 1)).drop("_position")
+    if last is not None and last < -1:
+        sizes = rows.groupBy(*by).agg(F.max("_position").alias("_size"))
+        rows = joined_on(rows, sizes, by, ["_size"], "inner")
+        return rows.where(keep & (F.col("_position") <= F.col("_scan_of_size") + last + 1)).drop("_position", "_scan_of_size")
+    return rows.where(keep).drop("_position")
+
+
 def nearest_pixel(points: DataFrame, pixels: DataFrame, cell: float) -> DataFrame:
     """The pixel at the least planar distance in degrees (ties to the smaller x, y) of every point: key, x, y.
     points: key, lat, lon; pixels: x, y, lat, lon.

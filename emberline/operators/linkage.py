@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from emberline.functions.geo import haversine
 from emberline.functions.times import stamp
 from emberline.operators.components import components
+from emberline.operators.scan import scanned, time_cell
 from emberline.sources.scratch import written
 
 KM_A_DEGREE = 111.19
@@ -148,11 +149,13 @@ def detection_ids(detections: DataFrame, existing: DataFrame | None = None, time
     return rows.withColumn("detection_id", F.col("_prefix") * 1000 + F.col("_n") + F.when(ok.isNull(), 0)).drop("_prefix", "_n")
 
 
-def condensed(rows: DataFrame, key: str, gap_seconds: float) -> DataFrame:
-    """Rows of one key closer than the gap to the one before become one: the first time, the summed energy."""
-    w = Window.partitionBy(key).orderBy("time", "group_id")
-    new = F.coalesce((seconds(F.col("time")) - seconds(F.lag("time").over(w)) >= gap_seconds).cast("int"), F.lit(1))
-    rows = rows.withColumn("_new", new).withColumn("run", F.sum("_new").over(w))
+def condensed(rows: DataFrame, key: str, gap_seconds: float, cell_s: float = 3600.0) -> DataFrame:
+    """Rows of one key closer than the gap to the one before become one: the first time, the summed energy. Runs are
+    numbered from 1 in the order of time; the order is scanned by cells of time."""
+    cell, order = time_cell("time", cell_s), ["time", "group_id"]
+    rows = scanned(rows, [key], order, cell, before={"_last": F.col("time")})
+    new = F.coalesce((seconds(F.col("time")) - seconds(F.col("_last")) >= gap_seconds).cast("int"), F.lit(1))
+    rows = scanned(rows, [key], order, cell, sums={"run": new})
     return rows.groupBy(key, "run").agg(F.min("time").alias("time"), F.sum("energy").alias("energy"), F.count("*").alias("n")).withColumn("run", F.col("run").cast("long"))
 
 

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from emberline.functions import geo, membership, times
 from emberline.operators import joins
+from emberline.operators.scan import time_cell
 from emberline.sources import point_events as pe
 
 from .common import GROUPS, hav, query, with_groups
@@ -260,10 +260,10 @@ def s10_other_files(spark, sf_dir):
 
 
 @query(with_groups("""SELECT l.group_id AS key, max_by(r.name, r.time) FILTER (r.time <= l.time) AS before, min_by(r.name, r.time) FILTER (r.time > l.time) AS after
-    FROM (SELECT * FROM g WHERE quality = 1) l LEFT JOIN (SELECT satellite, max(time) AS time, dataset_file AS name FROM g GROUP BY ALL) r ON l.satellite = r.satellite GROUP BY l.group_id"""))
+    FROM g l LEFT JOIN (SELECT satellite, max(time) AS time, dataset_file AS name FROM g GROUP BY ALL) r ON l.satellite = r.satellite GROUP BY l.group_id"""))
 def s11_asof_files(spark, sf_dir):
     g = pe.load_groups(spark, sf_dir)
-    left = g.where("quality = 1").select("satellite", "time", F.col("group_id").alias("key"))
+    left = g.select("satellite", "time", F.col("group_id").alias("key"))
     right = g.groupBy("satellite", F.col("dataset_file").alias("name")).agg(F.max("time").alias("time"))
     return joins.asof_neighbours(left, right, "satellite")
 
@@ -304,8 +304,8 @@ def j12_rings(spark, sf_dir):
 
 @query(with_groups("SELECT group_id FROM (SELECT group_id, row_number() OVER (PARTITION BY satellite ORDER BY time, group_id) AS i FROM g) WHERE i BETWEEN 11 AND 40"))
 def o02_file_slice(spark, sf_dir):
-    w = Window.partitionBy("satellite").orderBy("time", "group_id")
-    return pe.load_groups(spark, sf_dir).withColumn("i", F.row_number().over(w)).where("i between 11 and 40").select("group_id")
+    g = pe.load_groups(spark, sf_dir)
+    return joins.slice_by_position(g, ["satellite"], ["time", "group_id"], time_cell("time"), 10, 39).select("group_id")
 
 
 @query("SELECT o_custkey AS custkey FROM (SELECT o_custkey FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
