@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -191,6 +193,15 @@ def gram_hashes(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarra
     return mix(out), bounds
 
 
+def give_back() -> None:
+    """Memory that a task no longer needs goes back to the machine: workers live on, and what they keep adds up over stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
     """mapInArrow with a function from one record batch to an iterable of dicts of columns."""
     fields = T._parse_datatype_string(schema)
@@ -200,6 +211,7 @@ def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
         for batch in batches:
             for columns in function(batch):
                 yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if not isinstance(columns[f.name], pa.Array) else columns[f.name].cast(f.type) for f in target], schema=target)
+        give_back()
 
     find_package(df.sparkSession)
     return df.mapInArrow(run, fields)
