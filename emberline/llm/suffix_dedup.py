@@ -3,10 +3,12 @@
 Every string of `length` bytes has an anchor: of its short grams the one with the smallest hash. Equal
 strings have the same anchor at the same place in them, so the strings of the corpus fall apart by
 anchor, and only those that share one need be sorted against each other. The strings of one anchor in
-one place overlap to one context. Contexts that are equal as a whole are repeated as a whole; where an
+one place overlap to one context. Contexts that are equal as a whole are repeated as a whole: they are told
+apart by a cryptographic digest of their bytes, as polynomial hashes can be made to collide. Where an
 anchor stands in different contexts, their suffixes are sorted by mergesort. Two suffixes compare in
 a logarithmic number of steps: prefix polynomial hashes and binary search find their common
-extension. Neighbours in the order that share `length` bytes are compared byte by byte as well.
+extension. Neighbours in the order that share `length` bytes are compared byte by byte as well, and where
+that fails all strings of the one hash are told apart by their bytes.
 """
 
 from __future__ import annotations
@@ -22,15 +24,26 @@ from .common import arrow_map, chunks, mix, partitions, prefix_hashes, span_hash
 
 #: Bytes of an anchor gram; low bits of an order value that hold a position within a chunk.
 GRAM, PLACE_BITS = 40, 28
+#: Bytes of a text whose anchors are sought at a time; the next part begins `length` - 1 bytes before the end of the last.
+WINDOW = 1 << 26
+#: Bytes of input to a partition of anchors at most.
+BYTES_DEALT = 1 << 25
 #: Suffixes that are sorted at a time.
 SORTED_AT_ONCE = 400_000
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> dict[str, np.ndarray]:
     """For each anchor of each document: doc, lo and hi (first and last start of the strings that have
-    it), at (its own place), gram and context hashes."""
+    it), at (its own place), the hash of its gram and two halves of the digest of its context."""
+    if len(offsets) == 2 and len(data) > WINDOW:
+        parts = []
+        for begin in range(0, len(data) - length + 1, WINDOW - length + 1):
+            part = data[begin : begin + WINDOW]
+            found = anchors(part, np.array([0, len(part)]), length)
+            parts.append(found | {c: found[c] + begin for c in ("lo", "hi", "at")})
+        return {c: np.concatenate([x[c] for x in parts]) for c in parts[0]}
     width = length - GRAM + 1
-    empty = {c: np.zeros(0, np.int64) for c in ("doc", "lo", "hi", "at")} | {c: np.zeros(0, np.uint64) for c in ("gram", "context")}
+    empty = {c: np.zeros(0, np.int64) for c in ("doc", "lo", "hi", "at")} | {c: np.zeros(0, np.uint64) for c in ("gram", "context", "context2")}
     if len(data) < length:
         return empty
     prefix = prefix_hashes(data)
@@ -52,9 +65,11 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> dict[str, np.
     begin = np.flatnonzero(new)
     end = np.append(begin[1:], len(starts)) - 1
     lo, hi, at, doc = starts[begin], starts[end], at[begin], doc_of[begin]
-    context = mix(span_hashes(prefix, lo, hi + length) + (at - lo).astype(np.uint64))
+    view, place = memoryview(np.ascontiguousarray(data)), (at - lo).astype(np.uint64)
+    names = b"".join([hashlib.blake2b(view[i:j], digest_size=16).digest() for i, j in zip(lo.tolist(), (hi + length).tolist(), strict=True)])
+    names = np.frombuffer(names, np.uint64).reshape(-1, 2)
     base = offsets[:-1][doc]
-    return {"doc": doc, "lo": lo - base, "hi": hi - base, "at": at - base, "gram": gram[at], "context": context}
+    return {"doc": doc, "lo": lo - base, "hi": hi - base, "at": at - base, "gram": gram[at], "context": names[:, 0] + place, "context2": names[:, 1].copy()}
 
 
 def common_extension(prefix: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
@@ -145,16 +160,26 @@ def repeated_strings(contexts: list[bytes], at: np.ndarray, group: np.ndarray, l
             x = x[span_hashes(prefix, where[x], where[x] + length) == span_hashes(prefix, where[x + 1], where[x + 1] + length)]
             if not len(x):
                 continue
+            one_hash = np.cumsum(np.append(True, np.diff(x) > 1)) - 1  # which of the runs of one hash a pair is in
             # neighbours that two contexts have in a row of places are compared byte by byte once
             a, b, s = owner[x], owner[x + 1], start[x]
             o = np.lexsort((s, b, a))
             a, b, s, t = a[o], b[o], s[o], start[x + 1][o]
+            unlike: set[int] = set()
             new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (s[1:] != s[:-1] + 1))
             at_run = np.flatnonzero(new)
             for i, j in zip(at_run, np.append(at_run[1:], len(a)) - 1, strict=True):
                 n_bytes = s[j] - s[i] + length
                 if contexts[a[i]][s[i] : s[i] + n_bytes] == contexts[b[i]][t[i] : t[i] + n_bytes]:
                     found += [(a[i], s[i], s[j]), (b[i], t[i], t[j])]
+                else:
+                    unlike.update(one_hash[o[i : j + 1]].tolist())
+            for run in unlike:  # different strings of one hash: their bytes tell which are the same
+                members = np.flatnonzero(one_hash == run)
+                by_bytes: dict[bytes, list[int]] = {}
+                for y in range(int(x[members[0]]), int(x[members[-1]]) + 2):
+                    by_bytes.setdefault(contexts[owner[y]][start[y] : start[y] + length], []).append(y)
+                found += [(owner[y], start[y], start[y]) for same in by_bytes.values() if len(same) > 1 for y in same]
     return np.array(found, np.int64).reshape(-1, 3)
 
 
@@ -177,9 +202,10 @@ def _keyed(documents: DataFrame) -> DataFrame:
 def repeated_spans(documents: DataFrame, length: int = 200) -> DataFrame:
     """d, k, spans of each row that has a repeated string: the starts and ends (bytes) of runs of them."""
     rows = _keyed(documents).select("d", "k", "text")
-    deal = partitions(documents)
+    size = int(str(documents._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # what the planner knows of the input
+    deal = max(partitions(documents), size // BYTES_DEALT if size < 1 << 50 else 0)  # more than that is a guess of the planner
     buckets = 4 * deal
-    names = ("d", "k", "lo", "hi", "at", "context", "gram")
+    names = ("d", "k", "lo", "hi", "at", "context", "context2", "gram")
 
     def anchor_blocks(batch: pa.RecordBatch):
         for part, data, offsets in chunks(batch, "text"):
@@ -199,17 +225,17 @@ def repeated_spans(documents: DataFrame, length: int = 200) -> DataFrame:
     blocks = arrow_map(rows, anchor_blocks, "bucket int, " + ", ".join(f"{c} binary" for c in names)).repartition(deal, "bucket")
 
     def meet(batches):
-        kinds = {"d": np.int64, "k": np.int64, "lo": np.int32, "hi": np.int32, "at": np.int32, "context": np.uint64, "gram": np.uint64}
+        kinds = {"d": np.int64, "k": np.int64, "lo": np.int32, "hi": np.int32, "at": np.int32, "context": np.uint64, "context2": np.uint64, "gram": np.uint64}
         parts = {c: [] for c in names}
         for batch in batches:
             for c in names:
                 parts[c] += [np.frombuffer(x.as_buffer(), kinds[c]) for x in batch.column(c)]
         v = {c: np.concatenate(parts[c]) if parts[c] else np.zeros(0, kinds[c]) for c in names}
-        order = np.lexsort((v["lo"], v["k"], v["d"], v["context"], v["gram"]))
+        order = np.lexsort((v["lo"], v["k"], v["d"], v["context2"], v["context"], v["gram"]))
         v = {c: x[order] for c, x in v.items()}
         n = len(order)
         new_gram = np.append(True, v["gram"][1:] != v["gram"][:-1]) if n else np.zeros(0, bool)
-        new = (new_gram | np.append(True, v["context"][1:] != v["context"][:-1])) if n else new_gram
+        new = (new_gram | np.append(True, (v["context"][1:] != v["context"][:-1]) | (v["context2"][1:] != v["context2"][:-1]))) if n else new_gram
         size = lambda first: np.repeat(np.diff(np.append(np.flatnonzero(first), n)), np.diff(np.append(np.flatnonzero(first), n)))
         again = size(new) > 1  # the whole context is repeated
         mixed = size(new_gram) > size(new)  # its anchor stands in other contexts too

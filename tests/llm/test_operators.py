@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from emberline.llm import html_wrapper, jaccard_join, line_rules, mixing, packing, quality_ranker, secret_scan, sharding, suffix_dedup, topk
+from emberline.llm import common, html_wrapper, jaccard_join, line_rules, mixing, packing, quality_ranker, secret_scan, sharding, suffix_dedup, topk
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 rng = random.Random(11)
@@ -233,6 +233,47 @@ def test_repeated_strings_are_removed(spark, documents, empty):
     assert suffix_dedup.digest(documents).count() == documents.count() and suffix_dedup.digest(empty).count() == 0
 
 
+def colliding_strings():
+    """Two unlike strings of 200 bytes with one polynomial hash modulo 2^64: words that agree in 38 low bits, in Thue-Morse order and its opposite."""
+    powers = [pow(common._MULTIPLIER, k, 2**64) for k in range(8)]
+    r, seen = random.Random(3), {}
+    while True:
+        word = bytes(r.choices(range(97, 123), k=8))
+        value = sum(int(common._BYTE[c]) * b for c, b in zip(word, powers, strict=True)) % 2**38
+        if seen.setdefault(value, word) != word:
+            break
+    turns = [bin(k).count("1") % 2 for k in range(16)]
+    both = [b"".join((seen[value], word)[t ^ flip] for t in turns) for flip in (0, 1)]
+    while True:
+        prefix = bytes(r.choices(range(97, 123), k=72))
+        one, two = (prefix + x for x in both)
+        found = [suffix_dedup.anchors(np.frombuffer(x, np.uint8), np.array([0, 200]), 200) for x in (one, two)]
+        if found[0]["gram"][0] == found[1]["gram"][0]:
+            return one.decode(), two.decode()
+
+
+def test_colliding_contexts_are_not_repeats(spark):
+    one, two = colliding_strings()
+    hashes = {int(common.span_hashes(common.prefix_hashes(d), np.array([0]), np.array([200]))[0]) for d in (np.frombuffer(x.encode(), np.uint8) for x in (one, two))}
+    assert one != two and len(hashes) == 1
+    removed = lambda texts: {r.doc_id: r.n_removed for r in suffix_dedup.digest(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert removed([one, two]) == {0: 0, 1: 0}
+    assert removed(["x" * 50 + one, "y" * 60 + two, "z" * 70 + one, two + "v" * 9]) == {0: 200, 1: 200, 2: 200, 3: 200}
+    assert removed(["x" * 50 + one, "y" * 60 + two, "z" * 70 + one]) == {0: 200, 1: 0, 2: 200}
+    assert removed(["x" * 50 + one, "y" * 60 + two, two]) == {0: 0, 1: 200, 2: 200}
+
+
+def test_anchors_of_a_long_text_in_windows(monkeypatch):
+    data = np.frombuffer((prose(900, 60)).encode(), np.uint8)
+    whole = suffix_dedup.anchors(data, np.array([0, len(data)]), 200)
+    monkeypatch.setattr(suffix_dedup, "WINDOW", 700)
+    parts = suffix_dedup.anchors(data, np.array([0, len(data)]), 200)
+    each = lambda x: [(int(g), int(a) - 0, s) for g, a, lo, hi in zip(x["gram"], x["at"], x["lo"], x["hi"], strict=True) for s in range(int(lo), int(hi) + 1)]
+    assert len(each(parts)) == len(data) - 199
+    assert [s for *_, s in sorted(each(parts), key=lambda x: x[2])] == [s for *_, s in sorted(each(whole), key=lambda x: x[2])]
+    assert {(s, a) for _, a, s in each(parts)} == {(s, a) for _, a, s in each(whole)}
+
+
 def test_suffix_sort_orders_suffixes():
     data = np.frombuffer(bytes(rng.choice(b"ab") for _ in range(400)), np.uint8)
     prefix = suffix_dedup.prefix_hashes(data)
