@@ -120,28 +120,6 @@ def stretched_curves(members: DataFrame, points: int) -> DataFrame:
     return members.select("cid", "time", "energy").groupBy("cid").applyInPandas(resample, "cid long, curve array<double>")
 
 
-def fitted_lines(members: DataFrame, width: float, rounds: int = 50, seed: int = 1) -> DataFrame:
-    """cid, n_inliers, r2 of the best straight line lat over time through a cluster by seeded consensus."""
-
-    def consensus(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["time", "group_id"])
-        t = g["time"].astype("int64").to_numpy() / 1e9
-        t, y = t - t[0], g["lat"].to_numpy()
-        rng = np.random.default_rng(seed)
-        best = np.zeros(len(g), bool)
-        for _ in range(rounds):
-            i, j = rng.choice(len(g), 2, replace=False) if len(g) > 1 else (0, 0)
-            if t[i] != t[j]:
-                slope = (y[j] - y[i]) / (t[j] - t[i])
-                inside = np.abs(y - y[i] - slope * (t - t[i])) <= width
-                best = inside if inside.sum() > best.sum() else best
-        a, b = t[best], y[best]
-        r2 = float(np.corrcoef(a, b)[0, 1] ** 2) if best.sum() > 2 and np.ptp(a) > 0 and np.ptp(b) > 0 else math.nan
-        return pd.DataFrame({"cid": [g["cid"].iloc[0]], "n_inliers": [int(best.sum())], "r2": [r2]})
-
-    return members.select("cid", "group_id", "time", "lat").groupBy("cid").applyInPandas(consensus, "cid long, n_inliers long, r2 double")
-
-
 def density(points: DataFrame, lat_step: float, lon_step: float, sigma_km: float, per_degree: bool = False) -> DataFrame:
     """Gaussian density (y, x, density) on a grid: points are counted by cell, and a cell adds to the cells within
     three sigma, east and west by its latitude, so the work grows with occupied cells, not with points times grid.

@@ -28,11 +28,6 @@ def w10_light_curves(spark, sf_dir):
     return curves.select("cid", F.transform("curve", lambda v: F.round(v, 4)).alias("curve"))
 
 
-@query()
-def m22_consensus_lines(spark, sf_dir):
-    return kernels.fitted_lines(clusters(spark, sf_dir), 0.01)
-
-
 _DENSE = """den AS (SELECT CAST(y + dy AS BIGINT) AS y, CAST(x + dx AS BIGINT) AS x, sum(n * exp(-(pow(dy * 2.0 * 111.19, 2) + pow(dx * 2.0 * 111.19 * c, 2)) / (2 * 200.0 * 200.0))) AS density FROM (SELECT *, unnest(generate_series(-r, r)) AS dx FROM (SELECT *, CAST(ceil(3 * 200.0 / 111.19 / 2.0 / c) AS BIGINT) AS r FROM (SELECT floor(lat / 2.0) AS y, floor(lon / 2.0) AS x, count(*) AS n, greatest(0.01, cos(radians((floor(lat / 2.0) + 0.5) * 2.0))) AS c FROM g GROUP BY ALL))), generate_series(-3, 3) a(dy) GROUP BY 1, 2)"""
 
 

@@ -118,7 +118,7 @@ def test_kernel_operators_run(points):
     n = members.count()
     assert kernels.sequential_split(members, 10.0, 60.0).count() == n
     assert kernels.without_outliers(members, least=10).count() <= n
-    assert kernels.fitted_lines(members, 0.05).count() == kernels.light_curves(members, 60.0, 8).count()
+    assert kernels.light_curves(members, 60.0, 8).count() == kernels.stretched_curves(members, 8).count()
 
 
 def test_stream_gives_what_the_batch_gives(spark, points, tmp_path):
