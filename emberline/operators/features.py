@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from emberline.functions.geo import haversine
+from emberline.functions.times import local_solar
 
+from .joins import neighbourhood
 from .linkage import seconds
 
 
@@ -160,3 +162,17 @@ def filled_gaps(members: DataFrame, frame: float, wide: float = 5.0) -> DataFram
     gaps = rows.where((F.col("next") - F.col("t") > wide * frame) & (n > 0)).select("cid", "t", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("k"))
     fill = gaps.select("cid", (F.col("t") + (wide + F.col("k")) * frame).alias("t"), F.lit(0).cast("long").alias("energy"), F.lit(True).alias("filled"))
     return rows.select("cid", "t", "energy", F.lit(False).alias("filled")).unionByName(fill)
+
+
+def annotated(members: DataFrame, least: int, groups: DataFrame, radius_km: float, near_km: float, near_s: float, within_s: float) -> DataFrame:
+    """cid, distance (km between the corners of the cluster's box), n_near (groups around it that are not its own), linearity, speed (median of pairs, null
+    if all times are equal) and local_time (mean solar time of the first group), one row a cluster of `least` groups or more. members: all
+    clusters; groups: all groups of all satellites."""
+    around = groups.join(members.select("group_id", F.col("cid").alias("own")), "group_id", "left")
+    n = members.groupBy("cid").agg(F.count("*").alias("_n")).where(F.col("_n") >= least).select("cid")
+    members = members.join(n, "cid", "left_semi")
+    d = basic(members)
+    first = members.groupBy("cid").agg(F.min_by(F.struct("time", "lon"), F.struct("time", "group_id")).alias("f"))
+    out = d.select("cid", F.col("ground_distance").alias("distance")).join(neighbourhood(d, around, radius_km, near_km, near_s, within_s).select("cid", "n_near"), "cid")
+    out = out.join(linearity(members), "cid").join(average_speed(members), "cid", "left").join(first, "cid")
+    return out.select("cid", "distance", "n_near", "linearity", "speed", local_solar(F.col("f.time"), F.col("f.lon")).alias("local_time"))

@@ -136,24 +136,3 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     sizes = df.groupBy(label).agg(F.count("*").alias("_n"))
     classes = sizes.agg(F.count("*").alias("_k"))
     return df.join(F.broadcast(sizes), label).crossJoin(F.broadcast(classes)).withColumn("weight", 1 / (F.col("_n") * F.col("_k"))).drop("_n", "_k")
-
-
-def split(df: DataFrame, key: str, ratios: dict[str, float], seed: int = 0) -> DataFrame:
-    """`part` by a seeded hash of the key: a row's part depends on nothing else."""
-    at = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_000)) / 1_000_000
-    out, upper = F.lit(list(ratios)[-1]), 0.0
-    bounds = []
-    for name, r in ratios.items():
-        upper += r
-        bounds.append((name, upper))
-    for name, u in reversed(bounds[:-1]):
-        out = F.when(at < u, name).otherwise(out)
-    return df.withColumn("part", out)
-
-
-def rebalanced(df: DataFrame, positive: Column, ratio: float, key: str, seed: int = 0) -> DataFrame:
-    """All positives, and negatives by seeded hash so that positives are `ratio` of the rows in expectation."""
-    n = df.agg(F.count_if(positive).alias("_p"), F.count_if(~positive).alias("_q"))
-    share = (F.round(F.col("_p") / ratio) - F.col("_p")) / F.nullif(F.col("_q"), F.lit(0))
-    u = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_000)) / 1_000_000
-    return df.crossJoin(F.broadcast(n)).where(positive | (u < share)).drop("_p", "_q")

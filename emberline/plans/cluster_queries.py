@@ -281,16 +281,6 @@ def m12_machine_belief(spark, sf_dir):
     return scoring.belief(o, "machine").select("subject", F.round("belief", 6).alias("belief"))
 
 
-@query()
-def m03_split(spark, sf_dir):
-    return scoring.split(detections(spark, sf_dir).select("cid"), "cid", {"train": 0.6, "val": 0.2, "test": 0.2})
-
-
-@query()
-def m04_rebalance(spark, sf_dir):
-    return scoring.rebalanced(scored(spark, sf_dir), F.col("is_true"), 0.5, "cid").select("cid", "is_true")
-
-
 @query(with_members(f""", {_DET}, b AS (SELECT cid, 1 / (1 + exp(-(n_groups - 25.0) * 0.07)) AS p, CASE WHEN {hav('lat', 'lon', '1.0', '-75.0')} <= 20 THEN 0.6 WHEN {hav('lat', 'lon', '18.0', '-137.0')} <= 1500 THEN 0.8 ELSE 0.0 END AS alpha, satellite, n_groups FROM d)
     SELECT cid, satellite, n_groups, round(p * (1 - alpha), 6) AS score, CASE WHEN n_groups > 25 THEN 'accepted' WHEN p * (1 - alpha) < 0.2 THEN 'rejected' ELSE 'accepted' END AS triage FROM b ORDER BY p * (1 - alpha) DESC, cid LIMIT 100"""))
 def flagship_detections(spark, sf_dir):

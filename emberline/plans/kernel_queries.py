@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from emberline.operators import features, joins, kernels
+from emberline.operators import joins, kernels
 from emberline.sources import point_events as pe
 from emberline.streaming import incremental
 
-from .cluster_queries import clusters, detections, matched
+from .cluster_queries import clusters
 from .common import GROUPS, query, with_groups
 
 
@@ -72,21 +72,3 @@ def j04_aligned_times(spark, sf_dir):
 def st_sessions(spark, sf_dir):
     s = incremental.session_counts(pe.load_groups(spark, sf_dir), "30 minutes")
     return s.select("satellite", F.unix_micros("start").alias("start_us"), "n", "energy")
-
-
-@query()
-def m06_forest_scores(spark, sf_dir):
-    """Triage scores of a seeded random forest on cluster features, learned from truth matches."""
-    from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
-    d, m = matched(spark, sf_dir)
-    ratio = features.energy_ratio(clusters(spark, sf_dir))
-    rows = d.join(m, "cid").join(ratio, "cid").withColumn("label", (F.col("truth_idx") >= 0).cast("double"))
-    rows = VectorAssembler(inputCols=["n_groups", "total_energy", "max_energy", "duration", "ground_distance", "energy_ratio"], outputCol="x").transform(rows)
-    model = RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=20, maxDepth=5, seed=3).fit(rows)
-    return model.transform(rows).select("cid", F.round(vector_to_array("probability")[1], 4).alias("score"))
-
-
-__all__ = ["detections"]
