@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,43 +20,97 @@ def time_cells(df: DataFrame, low: Column, high: Column, width: float, cell: str
     return df.withColumn(cell, F.explode(F.sequence(first, F.greatest(first, last))))
 
 
+def interval_join(a: DataFrame, b: DataFrame, dims: list[tuple[Column | str, Column | str, Column | str, Column | str, float]], on: list[str] | None = None) -> DataFrame:
+    """Rows of a and b with equal `on` columns whose intervals meet in every dimension, each pair once.
+
+    dims: the ends of a's and of b's interval (closed; a point has equal ends) and the width of a bin, about that of usual intervals. Both sides
+    are dealt to the bins they touch, the join is by bins, the ends are compared exactly, and of the bins that a pair shares the first counts.
+    A null or NaN end meets nothing, nor does an interval that ends before it begins. Other columns of a and b have different names.
+    """
+    on = on or []
+    kept = [*a.columns, *[c for c in b.columns if c not in on]]
+    for k, (a_lo, a_hi, b_lo, b_hi, width) in enumerate(dims):
+        for side, lo, hi in (("a", a_lo, a_hi), ("b", b_lo, b_hi)):
+            df = a if side == "a" else b
+            end = lambda c: (F.col(c) if isinstance(c, str) else c).cast("double")
+            df = df.withColumns({f"_{side}lo{k}": end(lo), f"_{side}hi{k}": end(hi)}).where(f"_{side}lo{k} <= _{side}hi{k} AND NOT isnan(_{side}hi{k})")
+            first, last = F.floor(F.col(f"_{side}lo{k}") / width), F.floor(F.col(f"_{side}hi{k}") / width)
+            df = df.withColumn(f"_{side}first{k}", first).withColumn(f"_bin{k}", F.explode(F.sequence(first, last)))
+            a, b = (df, b) if side == "a" else (a, df)
+    met = F.lit(True)
+    for k in range(len(dims)):
+        met = met & (F.col(f"_alo{k}") <= F.col(f"_bhi{k}")) & (F.col(f"_blo{k}") <= F.col(f"_ahi{k}")) & (F.col(f"_bin{k}") == F.greatest(f"_afirst{k}", f"_bfirst{k}"))
+    return a.join(b, [*on, *[f"_bin{k}" for k in range(len(dims))]]).where(met).select(*kept)
+
+
+def around(df: DataFrame, lat: str, lon: str, km: float, names: tuple[str, str, str, str]) -> DataFrame:
+    """df with the ends of latitude and longitude (names: south, north, west, east) of a box that holds all places within km; a row near the antimeridian
+    is there once more, shifted by a turn, so that plain intervals of longitude meet in -180 .. 180."""
+    south, north, west, east = names
+    deg = km / 111.0  # a little more than the true degrees
+    top = F.least(F.abs(F.col(lat)) + deg, F.lit(90.0))
+    half = F.when(top >= 89.9, 180.0).otherwise(F.degrees(F.asin(F.least(F.lit(1.0), F.sin(F.radians(F.lit(deg))) / F.cos(F.radians(top))))))
+    df = df.withColumns({south: F.col(lat) - deg, north: F.col(lat) + deg, "_half": half}).withColumn("_turn", F.explode(F.array(F.lit(-360.0), F.lit(0.0), F.lit(360.0))))
+    df = df.withColumns({west: F.greatest(F.col(lon) + F.col("_turn") - F.col("_half"), F.lit(-180.0)), east: F.least(F.col(lon) + F.col("_turn") + F.col("_half"), F.lit(180.0))})
+    # a box of a whole turn needs no copies
+    return df.where((F.col(west) <= F.col(east)) & ((F.col("_turn") == 0) | (F.col("_half") < 180))).drop("_half", "_turn")
+
+
 def neighbourhood(detections: DataFrame, groups: DataFrame, radius_km: float, near_km: float, near_s: float, within_s: float) -> DataFrame:
     """Groups of the satellite within radius_km and within_s of a detection, less its own and those that
     are both near_km and near_s close, as a share of its size: cid, n_near, share."""
-    d = detections.select("cid", "satellite", F.col("lat").alias("lat0"), F.col("lon").alias("lon0"), "n_groups", seconds(F.col("event_time")).alias("t0"))
-    d = time_cells(d, F.col("t0") - within_s, F.col("t0") + within_s, within_s)
-    g = groups.select("group_id", "satellite", "lat", "lon", "time", F.col("own")).withColumn("t", seconds(F.col("time"))).withColumn("cell", F.floor(F.col("t") / within_s))
-    km = haversine(F.col("lat0"), F.col("lon0"), F.col("lat"), F.col("lon"))
-    dt = F.abs(F.col("t") - F.col("t0"))
+    d = detections.select("cid", "satellite", F.col("lat").alias("lat0"), F.col("lon").alias("lon0"), seconds(F.col("event_time")).alias("t0"))
+    d = around(d, "lat0", "lon0", radius_km, ("s0", "n0", "w0", "e0"))
+    g = groups.select("satellite", "lat", "lon", seconds(F.col("time")).alias("t"), "own").withColumn("at", F.pmod(F.col("lon") + 180.0, F.lit(360.0)) - 180.0)
+    cell = max(1.0, 2 * radius_km / 111.0)
+    pairs = interval_join(d, g, [(F.col("t0") - within_s, F.col("t0") + within_s, "t", "t", 2 * within_s), ("s0", "n0", "lat", "lat", cell), ("w0", "e0", "at", "at", cell)], ["satellite"])
+    km, dt = haversine(F.col("lat0"), F.col("lon0"), F.col("lat"), F.col("lon")), F.abs(F.col("t") - F.col("t0"))
     hit = (km <= radius_km) & (dt <= within_s) & ~((km <= near_km) & (dt <= near_s)) & (F.coalesce("own", F.lit(-1)) != F.col("cid"))
-    found = d.join(g, ["satellite", "cell"]).where(hit).groupBy("cid").agg(F.count("*").alias("n_near"))
+    found = pairs.where(hit).groupBy("cid").agg(F.count("*").alias("n_near"))
     return detections.select("cid", "n_groups").join(found, "cid", "left").select("cid", F.coalesce("n_near", F.lit(0)).alias("n_near"), (F.coalesce("n_near", F.lit(0)) / F.col("n_groups")).alias("share"))
 
 
 def other_satellite_box(members: DataFrame, others: DataFrame, dlat: float, dlon: float, dt: float) -> DataFrame:
     """Groups of another satellite in the box of any member (+-dlat, +-dlon, +-dt): cid, group_id, distinct."""
     m = members.select("cid", F.col("lat").alias("lat0"), F.col("lon").alias("lon0"), seconds(F.col("time")).alias("t0"))
-    m = time_cells(m, F.col("t0") - dt, F.col("t0") + dt, dt)
-    o = others.select("group_id", "lat", "lon", seconds(F.col("time")).alias("t")).withColumn("cell", F.floor(F.col("t") / dt))
+    o = others.select("group_id", "lat", "lon", seconds(F.col("time")).alias("t"))
+    reach = 1 + 1e-9  # the bins take in a little more; what counts is compared below
+    dims = [(F.col(x) - r * reach, F.col(x) + r * reach, y, y, 2 * r) for x, y, r in (("t0", "t", dt), ("lat0", "lat", dlat), ("lon0", "lon", dlon))]
     hit = (F.abs(F.col("lat") - F.col("lat0")) <= dlat) & (F.abs(F.col("lon") - F.col("lon0")) <= dlon) & (F.abs(F.col("t") - F.col("t0")) <= dt)
-    return m.join(o, "cell").where(hit).select("cid", "group_id").distinct()
+    return interval_join(m, o, dims).where(hit).select("cid", "group_id").distinct()
 
 
 def truth_match(detections: DataFrame, truth: DataFrame, pad_s: float = 0.5, km: float = 50.0, cell_s: float = 21600.0) -> DataFrame:
     """cid and truth_idx: the first truth event of the satellite whose padded interval strictly holds the
     mid-range and whose position is within km; -1 for none, -2 if only events below confidence match,
     -3 if only events of other satellites match. truth: idx, satellite, start, end, lat, lon, confident."""
-    d = detections.select("cid", "satellite", "lat", "lon", seconds(F.col("mid_from")).alias("a"), seconds(F.col("mid_to")).alias("b")).withColumn("cell", F.floor(F.col("a") / cell_s))
+    d = detections.select("cid", "satellite", "lat", "lon", seconds(F.col("mid_from")).alias("a"), seconds(F.col("mid_to")).alias("b")).withColumn("at", F.pmod(F.col("lon") + 180.0, F.lit(360.0)) - 180.0)
     t = truth.select("idx", F.col("satellite").alias("sat2"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), "confident", (seconds(F.col("start")) - pad_s).alias("lo"), (seconds(F.col("end")) + pad_s).alias("hi"))
-    t = time_cells(t, F.col("lo"), F.col("hi"), cell_s)
+    t = around(t, "lat2", "lon2", km, ("s2", "n2", "w2", "e2"))
+    cell = max(1.0, 2 * km / 111.0)
     hit = (F.col("a") > F.col("lo")) & (F.col("b") < F.col("hi")) & (haversine(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")) <= km)
-    pairs = d.join(t, "cell").where(hit)
+    pairs = interval_join(d, t, [("a", "a", "lo", "hi", cell_s), ("lat", "lat", "s2", "n2", cell), ("at", "at", "w2", "e2", cell)]).where(hit)
     same = F.col("satellite") == F.col("sat2")
     best = pairs.groupBy("cid").agg(F.min(F.when(same & F.col("confident"), F.col("idx"))).alias("idx"), F.max(same.cast("int")).alias("any_same"))
     code = F.when(F.col("idx").isNotNull(), F.col("idx")).when(F.col("any_same") == 1, -2).when(F.col("any_same") == 0, -3).otherwise(-1)
     return detections.select("cid").join(best, "cid", "left").select("cid", code.cast("long").alias("truth_idx"))
 
 
+def other_files(detections: DataFrame, files: DataFrame, within_s: float = 20.0) -> DataFrame:
+    """cid, dataset_file: the files of other satellites that may hold a detection as well: its position lies in the file's field of view, their
+    starts or their ends are less than within_s apart, and the file is of the detection's day. detections: cid, satellite, lat, lon, start_time,
+    end_time; files: satellite, dataset_file, start, end, south, north, west, east (closed)."""
+    d = detections.select("cid", F.col("satellite").alias("own"), F.col("lat").alias("y"), F.col("lon").alias("x"), F.to_date("start_time").alias("date"), seconds(F.col("start_time")).alias("d0"), seconds(F.col("end_time")).alias("d1"))
+    f = files.select("satellite", "dataset_file", F.to_date("start").alias("date"), seconds(F.col("start")).alias("f0"), seconds(F.col("end")).alias("f1"), "south", "north", "west", "east")
+    seen = (F.col("satellite") != F.col("own")) & F.col("y").between(F.col("south"), F.col("north")) & F.col("x").between(F.col("west"), F.col("east"))
+    out = None
+    for own, other in (("d0", "f0"), ("d1", "f1")):
+        near = interval_join(d, f, [(F.col(own) - within_s, F.col(own) + within_s, other, other, 2 * within_s)], ["date"])
+        near = near.where(seen & (F.abs(F.col(own) - F.col(other)) < within_s)).select("cid", "dataset_file")
+        out = near if out is None else out.unionByName(near)
+    return out.distinct()
+
+
 def asof_neighbours(left: DataFrame, right: DataFrame, by: str, time: str = "time", name: str = "name", cell_s: float = 3600.0) -> DataFrame:
     """For each left row the nearest right names before-or-at and after its time (null if there is none): one union,
     scanned by cells of time. Of right rows at one time the first name is next, the last one is before. left: by, time, key."""
@@ -125,23 +181,37 @@ def hotspot_distances(rows: DataFrame, spots: list[tuple[float, float]]) -> Colu
     return F.array(*[haversine(F.col("lat"), F.col("lon"), F.lit(a), F.lit(b)) for a, b in spots])
 
 
-def aligned_pairs(left: DataFrame, right: DataFrame, tolerance_s: float) -> DataFrame:
-    """Greedy 1:1 alignment: each left time in order takes the nearest unused right time within the
-    tolerance. left and right: key, t. Candidates come by cells; only those of a key meet in one group."""
-    l_ = time_cells(left.select("key", F.col("t").alias("t1")), F.col("t1") - tolerance_s, F.col("t1") + tolerance_s, tolerance_s)
-    r = right.select("key", F.col("t").alias("t2")).withColumn("cell", F.floor(F.col("t2") / tolerance_s))
-    near = l_.join(r, ["key", "cell"]).where(F.abs(F.col("t1") - F.col("t2")) <= tolerance_s).select("key", "t1", "t2")
+#: Runs of candidates that one group of the greedy alignment holds.
+RUNS_TOGETHER = 256
 
-    def greedy(pdf):
-        used, out = set(), []
-        for t1, g in pdf.sort_values(["t1", "t2"]).groupby("t1", sort=True):
-            free = g[~g["t2"].isin(used)]
-            if len(free):
-                t2 = free["t2"].iloc[(free["t2"] - t1).abs().to_numpy().argmin()]
-                used.add(t2)
-                out.append((pdf["key"].iloc[0], t1, t2))
-        import pandas as pd
 
+def aligned_pairs(left: DataFrame, right: DataFrame, tolerance_s: float, cell_s: float = 3600.0) -> DataFrame:
+    """key, t1, t2: each left time of a key in order takes the nearest right time within the tolerance that is still free (ties: the earlier).
+    left and right: key, t (seconds); equal times are rows of their own, null keys and times are left out.
+
+    Where two times of a key that follow each other are further apart than the tolerance no candidate reaches across, so the times fall into runs, and
+    the greedy choice is made within runs. The runs are found by a scan over cells of time, and no key is ever gathered.
+    """
+    both = left.select("key", "t", F.lit(0).alias("side")).unionByName(right.select("key", "t", F.lit(1).alias("side"))).where("key IS NOT NULL AND t IS NOT NULL")
+    both = both.groupBy("key", "t", "side").agg(F.count("*").alias("n"))
+    cell, order = F.floor(F.col("t") / cell_s), ["t", "side"]
+    rows = scanned(both, ["key"], order, cell, before={"last": F.col("t")})
+    rows = scanned(rows, ["key"], order, cell, sums={"run": F.coalesce((F.col("t") - F.col("last") > tolerance_s).cast("int"), F.lit(1))})
+    sides = rows.groupBy("key", "run").agg(F.countDistinct("side").alias("sides")).where("sides = 2").select("key", "run")
+    rows = rows.join(sides, ["key", "run"]).select("key", "t", "side", "n", (F.col("run") / RUNS_TOGETHER).cast("long").alias("part"))
+
+    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.loc[pdf.index.repeat(pdf["n"])].sort_values("t", kind="stable")
+        ours, theirs = (pdf["t"].to_numpy()[(pdf["side"] == k).to_numpy()] for k in (0, 1))
+        free, out = np.ones(len(theirs), bool), []
+        for t1 in ours:
+            a, b = np.searchsorted(theirs, t1 - 2 * tolerance_s), np.searchsorted(theirs, t1 + 2 * tolerance_s)  # all that can be near
+            near = a + np.flatnonzero(free[a:b] & (np.abs(theirs[a:b] - t1) <= tolerance_s))
+            if len(near):
+                best = near[int(np.abs(theirs[near] - t1).argmin())]
+                free[best] = False
+                out.append((pdf["key"].iloc[0], t1, theirs[best]))
         return pd.DataFrame(out, columns=["key", "t1", "t2"])
 
-    return near.groupBy("key").applyInPandas(greedy, "key long, t1 double, t2 double")
+    kind = dict(left.dtypes)["key"]
+    return rows.groupBy("key", "part").applyInPandas(greedy, f"key {kind}, t1 double, t2 double")

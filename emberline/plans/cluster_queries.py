@@ -185,6 +185,20 @@ def j03_other_satellite_box(spark, sf_dir):
     return joins.other_satellite_box(east, west, 0.2, 3.0, 1800.0).groupBy("cid").agg(F.count("*").alias("n"))
 
 
+@query(with_members(f""", {_DET}, sp AS (SELECT cid, min(t) AS s, max(t) AS e, CAST(min(time) AS DATE) AS date FROM m GROUP BY cid),
+    fl AS (SELECT satellite, satellite || '_' || CAST(date_trunc('hour', time) AS VARCHAR) AS dataset_file, CAST(min(time) AS DATE) AS date, min(epoch_us(time)) / 1e6 AS s, max(epoch_us(time)) / 1e6 AS e FROM g GROUP BY ALL)
+    SELECT d.cid, fl.dataset_file FROM d JOIN sp USING (cid) JOIN fl ON fl.satellite <> d.satellite AND fl.date = sp.date WHERE (abs(fl.s - sp.s) < 1200 OR abs(fl.e - sp.e) < 1200)
+        AND d.lat BETWEEN -40 AND CASE fl.satellite WHEN 'G16' THEN 20 WHEN 'G17' THEN 30 ELSE 10 END AND d.lon BETWEEN CASE WHEN fl.satellite IN ('G16', 'G19') THEN -90 ELSE -150 END AND CASE WHEN fl.satellite IN ('G16', 'G19') THEN -72 ELSE -100 END"""))
+def s10_other_files(spark, sf_dir):
+    """Hourly files of other satellites around each cluster, by the fields of view of the stand-in satellites."""
+    f = pe.load_groups(spark, sf_dir)
+    hour = F.date_trunc("hour", "time")
+    f = f.groupBy("satellite", F.concat_ws("_", "satellite", hour.cast("string")).alias("dataset_file")).agg(F.min("time").alias("start"), F.max("time").alias("end"))
+    east = F.col("satellite").isin(pe.satellites("east"))
+    view = {"south": F.lit(-40.0), "north": F.when(F.col("satellite") == "G16", 20.0).when(F.col("satellite") == "G17", 30.0).otherwise(10.0), "west": F.when(east, -90.0).otherwise(-150.0), "east": F.when(east, -72.0).otherwise(-100.0)}
+    return joins.other_files(detections(spark, sf_dir), f.withColumns(view), 1200.0)
+
+
 @query(with_members(f", {_DET} SELECT cid, score, CAST(CASE WHEN {hav('lat', 'lon', '1.0', '-75.0')} <= 20 THEN 0.6 WHEN {hav('lat', 'lon', '18.0', '-137.0')} <= 1500 THEN 0.8 ELSE 0.0 END AS DOUBLE) AS alpha FROM d"))
 def m07_deemphasis(spark, sf_dir):
     d = detections(spark, sf_dir).withColumn("dist", joins.hotspot_distances(None, SPOTS))

@@ -61,10 +61,15 @@ def m23_hough_votes(spark, sf_dir):
     return kernels.hough_votes(pixels, 36, 2.0)
 
 
-@query()
+@query(f"""WITH RECURSIVE {GROUPS}, p AS (SELECT CAST(CAST(time AS DATE) AS VARCHAR) AS key, satellite, epoch_us(time) / 1e6 AS t, group_id FROM g WHERE satellite IN ('G16', 'G19')),
+    l AS (SELECT key, t, row_number() OVER (PARTITION BY key ORDER BY t, group_id) AS i FROM p WHERE satellite = 'G16'),
+    c AS (SELECT l.key, l.i, l.t AS t1, list({{'off': abs(r.t - l.t), 't': r.t}} ORDER BY abs(r.t - l.t), r.t) AS near FROM l LEFT JOIN p r ON r.satellite = 'G19' AND r.key = l.key AND abs(r.t - l.t) <= 300 GROUP BY ALL),
+    st AS (SELECT DISTINCT key, CAST(0 AS BIGINT) AS i, CAST([] AS DOUBLE[]) AS used, CAST(NULL AS DOUBLE) AS t1, CAST(NULL AS DOUBLE) AS t2 FROM l
+        UNION ALL SELECT key, i, CASE WHEN t2 IS NULL THEN used ELSE list_append(used, t2) END, t1, t2 FROM (SELECT st.key, c.i, st.used, c.t1, list_filter(c.near, lambda x: x.t IS NOT NULL AND NOT list_contains(st.used, x.t))[1].t AS t2 FROM st JOIN c ON c.key = st.key AND c.i = st.i + 1))
+    SELECT key, t1, t2 FROM st WHERE t2 IS NOT NULL""")
 def j04_aligned_times(spark, sf_dir):
-    m = clusters(spark, sf_dir).select((F.col("lat") * 10).cast("long").alias("key"), "satellite", (F.unix_micros("time") / 1e6).alias("t"))
-    return joins.aligned_pairs(m.where("satellite = 'G16'"), m.where("satellite = 'G19'"), 600.0)
+    m = pe.load_groups(spark, sf_dir).select(F.to_date("time").cast("string").alias("key"), "satellite", (F.unix_micros("time") / 1e6).alias("t"))
+    return joins.aligned_pairs(m.where("satellite = 'G16'"), m.where("satellite = 'G19'"), 300.0)
 
 
 @query("""WITH s AS (SELECT *, CASE WHEN lag(e) OVER w < t OR lag(e) OVER w IS NULL THEN 1 ELSE 0 END AS new FROM (SELECT satellite, energy, t, max(t + 1800000000) OVER (PARTITION BY satellite ORDER BY t, group_id) AS e, group_id FROM (SELECT satellite, energy, group_id, epoch_us(time) AS t FROM g)) WINDOW w AS (PARTITION BY satellite ORDER BY t, group_id)),

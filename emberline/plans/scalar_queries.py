@@ -250,15 +250,6 @@ def s07_primary_windows(spark, sf_dir):
     return pe.primary_windows(g, pe.with_neighbours(files, 90000), files, 600.0).groupBy("primary").agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {_FILES} SELECT a.dataset_file AS one, b.dataset_file AS other FROM f a JOIN f b ON a.satellite < b.satellite AND CAST(a.s AS DATE) = CAST(b.s AS DATE) WHERE abs(epoch_us(a.s) - epoch_us(b.s)) / 1e6 < 1200 OR abs(epoch_us(a.e) - epoch_us(b.e)) / 1e6 < 1200")
-def s10_other_files(spark, sf_dir):
-    f = pe.file_table(pe.load_groups(spark, sf_dir)).withColumn("day", F.to_date("start"))
-    a = f.select("day", F.col("satellite").alias("sa"), F.col("dataset_file").alias("one"), F.col("start").alias("s1"), F.col("end").alias("e1"))
-    b = f.select("day", F.col("satellite").alias("sb"), F.col("dataset_file").alias("other"), F.col("start").alias("s2"), F.col("end").alias("e2"))
-    gap = lambda x, y: F.abs(F.unix_micros(x) - F.unix_micros(y)) / 1e6
-    return a.join(b, "day").where((F.col("sa") < F.col("sb")) & ((gap("s1", "s2") < 1200) | (gap("e1", "e2") < 1200))).select("one", "other")
-
-
 @query(with_groups("""SELECT l.group_id AS key, max_by(r.name, r.time) FILTER (r.time <= l.time) AS before, min_by(r.name, r.time) FILTER (r.time > l.time) AS after
     FROM g l LEFT JOIN (SELECT satellite, max(time) AS time, dataset_file AS name FROM g GROUP BY ALL) r ON l.satellite = r.satellite GROUP BY l.group_id"""))
 def s11_asof_files(spark, sf_dir):
