@@ -51,9 +51,10 @@ def around(df: DataFrame, lat: str, lon: str, km: float, names: tuple[str, str,
     top = F.least(F.abs(F.col(lat)) + deg, F.lit(90.0))
     half = F.when(top >= 89.9, 180.0).otherwise(F.degrees(F.asin(F.least(F.lit(1.0), F.sin(F.radians(F.lit(deg))) / F.cos(F.radians(top))))))
     df = df.withColumns({south: F.col(lat) - deg, north: F.col(lat) + deg, "_half": half}).withColumn("_turn", F.explode(F.array(F.lit(-360.0), F.lit(0.0), F.lit(360.0))))
-    df = df.withColumns({west: F.greatest(F.col(lon) + F.col("_turn") - F.col("_half"), F.lit(-180.0)), east: F.least(F.col(lon) + F.col("_turn") + F.col("_half"), F.lit(180.0))})
+    whole = F.col("_half") >= 180
+    df = df.withColumns({west: F.when(whole, -180.0).otherwise(F.greatest(F.col(lon) + F.col("_turn") - F.col("_half"), F.lit(-180.0))), east: F.when(whole, 180.0).otherwise(F.least(F.col(lon) + F.col("_turn") + F.col("_half"), F.lit(180.0)))})
     # a box of a whole turn needs no copies
-    return df.where((F.col(west) <= F.col(east)) & ((F.col("_turn") == 0) | (F.col("_half") < 180))).drop("_half", "_turn")
+    return df.where((F.col(west) <= F.col(east)) & ((F.col("_turn") == 0) | ~whole)).drop("_half", "_turn")
 
 
 def neighbourhood(detections: DataFrame, groups: DataFrame, radius_km: float, near_km: float, near_s: float, within_s: float) -> DataFrame:
