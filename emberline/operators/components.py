@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,14 +18,42 @@ def _all_stars(edges: DataFrame) -> bool:
     return ends.groupBy("node").agg(F.max("up").alias("up"), F.sum("down").alias("down")).where("down + up > 1 and down > 0").isEmpty()
 
 
-def components(edges: DataFrame) -> DataFrame:
+#: Edges up to which one task labels the graph (16 bytes each); beyond it rounds over all tasks do.
+ONE_TASK = 500_000
+
+
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Labels of a graph that fits a task: every node takes the smallest label beside it, then that label's own, until nothing changes."""
+    rows = [(b.column("u").to_numpy(), b.column("v").to_numpy()) for b in batches if b.num_rows]
+    if not rows:
+        return
+    node, ends = np.unique(np.concatenate([x for pair in zip(*rows, strict=True) for x in pair]), return_inverse=True)
+    u, v = ends.reshape(2, -1)
+    label = np.arange(len(node))
+    while True:
+        least = np.minimum(label[u], label[v])
+        new = label.copy()
+        for at in (u, v, label[u], label[v]):
+            np.minimum.at(new, at, least)
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(node[label])], names=["node", "component"])
+
+
+def components(edges: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
     """node and component (its smallest reachable node, itself included) of every node of edges (u, v: bigint).
 
     Every round points nodes at the smallest node they know of, so a few rounds do; each round's edges
     are written before the next. A hub of many edges meets one row in a join that can be split.
-    Nodes without edges do not occur; loops and repeated edges change nothing.
+    Nodes without edges do not occur; loops and repeated edges change nothing. A graph of one_task edges or fewer is
+    labelled in one task instead, with the same result.
     """
-    edges = written(edges.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "edges")
+    edges = written(edges.where("u <> v").select(F.least("u", "v").cast("long").alias("u"), F.greatest("u", "v").cast("long").alias("v")).distinct(), "edges")
+    if edges.count() <= one_task:
+        return edges.coalesce(1).mapInArrow(_labelled, "node long, component long")
     while not _all_stars(edges):
         # large star: every neighbour above u is joined to the smallest of u and its neighbours
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from emberline.operators import joins, linkage, scan
+from emberline.operators.components import components
 
 T0 = datetime(2024, 3, 5)
 
@@ -61,3 +62,25 @@ def test_files_before_and_after(spark):
     right = spark.createDataFrame([("s", at(5), "x"), ("s", at(8), "y")], "satellite string, time timestamp, name string")
     got = {r.key: (r.before, r.after) for r in joins.asof_neighbours(left, right, "satellite").collect()}
     assert got == {1: (None, "x"), 2: ("x", "y"), 3: ("y", None), 4: (None, None)}
+
+
+@pytest.mark.parametrize("one_task", [0, 10**6])
+def test_components_in_rounds_and_in_one_task(spark, one_task):
+    r = random.Random(3)
+    pairs = [(r.randrange(400) * 7, r.randrange(400) * 7) for _ in range(300)] + [(k, k + 1) for k in range(10_000, 10_200)] + [(5, 5), (20_000, 20_000 + 3), (20_003, 20_000)] + [(30_000, k) for k in range(30_001, 30_100)]
+    near = defaultdict(set)
+    for u, v in pairs:
+        if u != v:
+            near[u].add(v)
+            near[v].add(u)
+    want = {}
+    for node in sorted(near):
+        todo = [node] if node not in want else []
+        while todo:
+            x = todo.pop()
+            if x not in want:
+                want[x] = node
+                todo += near[x]
+    df = spark.createDataFrame(pairs, "u long, v long").repartition(3)
+    assert {r.node: r.component for r in components(df, one_task).collect()} == want
+    assert components(df.where("u = v"), one_task).count() == 0
