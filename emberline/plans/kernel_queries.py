@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from emberline.operators import joins, kernels
+from emberline.operators import hotspots, joins, kernels
 from emberline.sources import point_events as pe
 from emberline.streaming import incremental
 
 from .cluster_queries import clusters
-from .common import GROUPS, query, with_groups
+from .common import GROUPS, hav, query, with_groups
 
 
 @query()
@@ -77,3 +77,33 @@ def j04_aligned_times(spark, sf_dir):
 def st_sessions(spark, sf_dir):
     s = incremental.session_counts(pe.load_groups(spark, sf_dir), "30 minutes")
     return s.select("satellite", F.unix_micros("start").alias("start_us"), "n", "energy")
+
+
+_ROUNDS = 6
+
+
+@query(f"""WITH RECURSIVE {GROUPS}, {_DENSE}, q AS (SELECT y, x, round(density, 6) AS d FROM den), s AS (SELECT 1.4826 * median(abs(d - (SELECT median(d) FROM q))) AS s FROM q),
+    top AS (SELECT y, x, d FROM q WHERE d > 2.0 * (SELECT s FROM s) AND NOT EXISTS (SELECT 1 FROM q o WHERE abs(o.y - q.y) <= 1 AND abs(o.x - q.x) <= 1 AND (o.y <> q.y OR o.x <> q.x) AND (o.d > q.d OR (o.d = q.d AND (o.y < q.y OR (o.y = q.y AND o.x < q.x)))))),
+    nb AS (SELECT t.y, t.x, t.d, coalesce(max(o.d) FILTER (o.y = t.y - 1 AND o.x = t.x), 0) AS ds, coalesce(max(o.d) FILTER (o.y = t.y + 1 AND o.x = t.x), 0) AS dn, coalesce(max(o.d) FILTER (o.x = t.x - 1 AND o.y = t.y), 0) AS dw, coalesce(max(o.d) FILTER (o.x = t.x + 1 AND o.y = t.y), 0) AS de FROM top t JOIN q o ON abs(o.y - t.y) <= 1 AND abs(o.x - t.x) <= 1 GROUP BY ALL),
+    st AS (SELECT y, x, CAST((y + 0.5 + CASE WHEN ds - 2 * d + dn < 0 THEN (ds - dn) / (2 * (ds - 2 * d + dn)) ELSE 0 END) * 2.0 AS DOUBLE) AS plat, CAST((x + 0.5 + CASE WHEN dw - 2 * d + de < 0 THEN (dw - de) / (2 * (dw - 2 * d + de)) ELSE 0 END) * 2.0 AS DOUBLE) AS plon FROM nb),
+    sh AS (SELECT y, x, 0 AS i, plat, plon, CAST(0 AS DOUBLE) AS density FROM st UNION ALL SELECT y, x, i + 1, degrees(atan2(sum(w * sin(radians(lat))), sqrt(pow(sum(w * cos(radians(lat)) * cos(radians(lon))), 2) + pow(sum(w * cos(radians(lat)) * sin(radians(lon))), 2)))), degrees(atan2(sum(w * cos(radians(lat)) * sin(radians(lon))), sum(w * cos(radians(lat)) * cos(radians(lon))))), sum(w)
+        FROM (SELECT sh.*, g.lat, g.lon, exp(-pow({hav('plat', 'plon', 'g.lat', 'g.lon')}, 2) / (2 * 200.0 * 200.0)) AS w FROM sh JOIN g ON {hav('plat', 'plon', 'g.lat', 'g.lon')} <= 600 WHERE i < {_ROUNDS}) GROUP BY y, x, i),
+    e AS (SELECT * FROM sh WHERE i = {_ROUNDS}), r AS (SELECT e.y, e.x, floor(round({hav('plat', 'plon', 'g.lat', 'g.lon')} / 10.0, 6)) AS ring, count(*) AS n FROM e JOIN g ON {hav('plat', 'plon', 'g.lat', 'g.lon')} <= 300 GROUP BY ALL HAVING floor(round({hav('any_value(plat)', 'any_value(plon)', 'any_value(g.lat)', 'any_value(g.lon)')} / 10.0, 6)) < 30),
+    th AS (SELECT y, x, ring, n / (2 * ring + 1) AS thick FROM r), mx AS (SELECT y, x, max(thick) AS most, arg_min(ring, (-thick, ring)) AS densest FROM th GROUP BY y, x),
+    rad AS (SELECT mx.y, mx.x, coalesce(min(k), 30) * 10.0 AS radius FROM mx LEFT JOIN (SELECT mx.y, mx.x, k FROM mx, generate_series(0, 29) t(k) LEFT JOIN th ON th.y = mx.y AND th.x = mx.x AND th.ring = k WHERE k > densest AND coalesce(thick, 0) <= 0.1 * most) c ON c.y = mx.y AND c.x = mx.x GROUP BY mx.y, mx.x)
+    SELECT round(plat, 3) AS lat, round(plon, 3) AS lon, round(density, 2) AS density, CAST(radius AS DOUBLE) AS radius_km FROM e LEFT JOIN rad USING (y, x)""")
+def a22_hot_spots(spark, sf_dir):
+    """Peaks after a fixed number of steps of mean shift from the grid's maxima, with the rings of points around them."""
+    g = pe.load_groups(spark, sf_dir).select("lat", "lon")
+    found = hotspots.peak_places(g, 2.0, 2.0, 200.0, rounds=_ROUNDS, tolerance_km=0.0)
+    out = hotspots.peak_radii(g, found, 10.0, 300.0)
+    return out.select(F.round("lat", 3).alias("lat"), F.round("lon", 3).alias("lon"), F.round("density", 2).alias("density"), "radius_km")
+
+
+@query(f"""WITH {GROUPS}, {_DENSE}, rw AS (SELECT DISTINCT y, (y + 0.5) * 2.0 AS plat FROM den), gl AS (SELECT y, {hav('plat', '0.0', '(b - 89.5)', 'CAST(a AS DOUBLE)')} AS km FROM rw, generate_series(0, 179) t(b), generate_series(0, 359) u(a)),
+    rf AS (SELECT y, sum(exp(-km * km / (2 * 200.0 * 200.0))) AS reference FROM gl WHERE km <= 600 GROUP BY y) SELECT y, x, round(density / reference, 5) AS density FROM den JOIN rf USING (y)""")
+def a23_globe_density(spark, sf_dir):
+    """Density by that of one point to every square degree of the globe, which is added up by great-circle distance."""
+    d = kernels.density(pe.load_groups(spark, sf_dir), 2.0, 2.0, 200.0)
+    rows = d.join(hotspots.grid_reference(spark, 2.0, 200.0), "y")
+    return rows.select("y", "x", F.round(F.col("density") / F.col("reference"), 5).alias("density"))
