@@ -52,6 +52,20 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+_OTHERS = "_others"
+
+
+def shielded(documents: DataFrame, names: list[str]) -> DataFrame:
+    """documents with the named columns as they are and all others in one struct, so that no name of theirs meets one made here."""
+    others = [c for c in documents.columns if c not in names]
+    return documents.select(*[F.col(f"`{c}`") for c in documents.columns if c in names], *([F.struct(*[F.col(f"`{c}`") for c in others]).alias(_OTHERS)] if others else []))
+
+
+def unshielded(columns: list[str], names: list[str]) -> list[Column]:
+    """The columns of the documents again, of a frame that came from shielded()."""
+    return [F.col(f"`{c}`") if c in names else F.col(f"{_OTHERS}.`{c}`").alias(c) for c in columns]
+
+
 # --- whole texts as bytes ---------------------------------------------------------------------------
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import arrow_map, chunks, gram_hashes, mix, partitions, span_names, word_bounds, written
+from .common import arrow_map, chunks, gram_hashes, mix, partitions, shielded, span_names, unshielded, word_bounds, written
 from .graph import components
 
 #: Bits of a segment's parity; bits of the short and the long sketch for each possible difference.
@@ -459,8 +459,9 @@ def one_of_each_class(documents: DataFrame, n: int = 5, percent: int = 80) -> Da
 
     Where the smallest id repeats in a class, the text with the smallest hash stays, once. Texts
     without words and rows without an id are in no class and stay. An id that repeats in unlike
-    texts stays for those that are the first of their class. The columns are those of documents.
+    texts stays for those that are the first of their class. The columns are those of documents, whatever their names.
     """
+    columns, documents = documents.columns, shielded(documents, ["doc_id", "text"])
     classes = written(similarity_rows(documents, n, percent).where("doc_id is not null and part is not null").select("doc_id", "text_hash", "part"), "classes")
     kept = classes.groupBy("part").agg(F.min(F.struct("doc_id", "text_hash")).alias("kept"))
     rows = classes.groupBy("part", "doc_id", "text_hash").agg(F.count("*").alias("n")).join(kept, "part").withColumn("stays", F.struct("doc_id", "text_hash") == F.col("kept"))
@@ -470,4 +471,4 @@ def one_of_each_class(documents: DataFrame, n: int = 5, percent: int = 80) -> Da
     if not rows.where("stays").isEmpty():  # equal rows of one id
         again = out.join(rows.where("stays"), same, "left_semi").dropDuplicates(["doc_id", "text"])
         out = out.join(rows.where("stays"), same, "left_anti").unionByName(again)
-    return out
+    return out.select(*unshielded(columns, ["doc_id", "text"]))

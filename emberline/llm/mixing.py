@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ranked
+from .common import ranked, shielded, unshielded
 
 #: Blocks of a stream, about: a larger corpus has larger blocks, so that its schedule stays a small table.
 STREAM_BLOCKS = 1 << 18
@@ -100,6 +100,10 @@ def _streamed(documents: DataFrame, rows, sizes: dict, weights: dict, block_byte
     return rows.select(*documents.columns, slot.alias("_slot"), F.col("_slots").isNotNull(), F.col("_rank_in_source")).toDF(*documents.columns, "_slot", "_scheduled", "_rank_in_source")
 
 
+#: Columns that the mix looks at.
+_USED = ["doc_id", "text", "source"]
+
+
 def schedule(documents: DataFrame, weights: dict | None = None, temper: float = 0.8, slots: int | None = None, block_bytes: int | None = None) -> DataFrame:
     """documents with `_slot`, the place of each row's block in the mix, and `_scheduled`.
 
@@ -114,8 +118,16 @@ def schedule(documents: DataFrame, weights: dict | None = None, temper: float =
     fewer blocks leaves its later slots empty.
 
     A null source is a source; null texts have no bytes; equal rows follow each other in any order;
-    sources missing in the weights are not scheduled.
+    sources missing in the weights are not scheduled. Other columns come through; those that are called
+    as the new ones are replaced.
     """
+    new = ["_slot", "_scheduled", "_rank_in_source"]
+    columns = [c for c in documents.columns if c not in new]
+    rows = _scheduled(shielded(documents.select(*[F.col(f"`{c}`") for c in columns]), _USED), weights, temper, slots, block_bytes)
+    return rows.select(*unshielded(columns, _USED), *new)
+
+
+def _scheduled(documents: DataFrame, weights: dict | None, temper: float, slots: int | None, block_bytes: int | None) -> DataFrame:
     spark = documents.sparkSession
     size = F.octet_length(F.coalesce("text", F.lit("")))
     sizes = documents.groupBy("source").agg(F.sum(size).alias("bytes")).collect()
@@ -148,6 +160,6 @@ def schedule(documents: DataFrame, weights: dict | None = None, temper: float =
 
 def mixed(documents: DataFrame, weights: dict | None = None, temper: float = 0.8, slots: int | None = None, block_bytes: int | None = None) -> DataFrame:
     """The scheduled documents in the order of the mix: partitions follow each other by slot."""
-    rows = schedule(documents, weights, temper, slots, block_bytes).where("_scheduled")
+    rows = _scheduled(shielded(documents, _USED), weights, temper, slots, block_bytes).where("_scheduled")
     ordered = rows.repartitionByRange("_slot", F.xxhash64("doc_id", "text")).sortWithinPartitions("_slot", "source", "_rank_in_source")
-    return ordered.select(*documents.columns)
+    return ordered.select(*unshielded(documents.columns, _USED))

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emberline.operators.scan import scanned
+
 from .common import CHUNK_BYTES, arrow_map, chunks, ranked, span_names, word_bounds, written
 
 #: Words whose ids each worker remembers (some 60 bytes each): beyond them those that came only once are forgotten.
@@ -156,25 +158,27 @@ def _tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def pieces(documents: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every document's ids and end_id, cut at `capacity`."""
+def pieces(documents: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of every document's ids and end_id, cut at `capacity`; with the whole-number columns to keep."""
 
     end = np.array([end_id], "<u4").tobytes()
 
     def of(batch: pa.RecordBatch):
         for some, data, offsets in chunks(batch, "text", 2 * CHUNK_BYTES):
             out = {c: [] for c in ("doc_id", "piece", "start", "length", "ids_crc32")}
+            of_row = []
             ids, bounds = _tokenizer(tokenizer_path)(data, offsets)
             whole, bounds = ids.tobytes(), (4 * bounds).tolist()
-            for doc, begin, stop in zip(some.column("doc_id").to_pylist(), bounds[:-1], bounds[1:], strict=True):
+            for row, (doc, begin, stop) in enumerate(zip(some.column("doc_id").to_pylist(), bounds[:-1], bounds[1:], strict=True)):
                 data = whole[begin:stop] + end
                 for k, start in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[start : start + 4 * capacity]
                     for c, v in zip(out, (doc, k, start // 4, len(part) // 4, zlib.crc32(part)), strict=True):
                         out[c].append(v)
-            yield out
+                    of_row.append(row)
+            yield out | {c: some.column(c).take(pa.array(of_row, pa.int64())) for c in keep}
 
-    return arrow_map(documents.select("doc_id", "text"), of, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return arrow_map(documents.select("doc_id", "text", *keep), of, "doc_id long, piece int, start long, length long, ids_crc32 long" + "".join(f", {c} long" for c in keep))
 
 
 def best_fit(counts: dict[int, int], capacity: int = 2048, most_pieces: int | None = None, most_cost: int | None = None, weights: tuple[float, float, float] = (1.0, 0.02, 0.02)) -> tuple[list[tuple[int, int, int, int, int, int]], int]:
@@ -237,23 +241,36 @@ def best_fit(counts: dict[int, int], capacity: int = 2048, most_pieces: int | No
     return places, sequences
 
 
-def pack(rows: DataFrame, capacity: int = 2048, most_pieces: int | None = None, most_cost: int | None = None) -> DataFrame:
-    """rows of pieces (with `length`; written beforehand) and their sequence_id and offset."""
+def pack(rows: DataFrame, capacity: int = 2048, most_pieces: int | None = None, most_cost: int | None = None, stream: tuple[str, str] | None = None) -> DataFrame:
+    """rows of pieces (with `length`; written beforehand) and their sequence_id and offset.
+
+    With stream (two whole-number columns, a part of the stream and a place in it) pieces of a length take their places in the order of
+    the stream, and sequences are numbered by the first of their pieces in it.
+    """
     counts = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}  # `capacity` rows at most
     places, _ = best_fit(counts, capacity, most_pieces, most_cost)
     table = pd.DataFrame(places or [(0, 0, 0, 0, 1, 0)], columns=["_length", "_first", "_n", "_sequence", "_each", "_offset"]).astype("int64")
     # the places are as many as different lengths ask for, whatever the number of pieces: a bounded broadcast
     places = F.broadcast(rows.sparkSession.createDataFrame(table))
-    key = F.xxhash64("doc_id", "piece", "_key")
-    spots = ranked(rows.withColumn("_key", F.monotonically_increasing_id()), ["length"], ["doc_id", "piece", "_key"], key, "_rank_of_length").drop("_key")
+    rows_ = rows.withColumn("_key", F.monotonically_increasing_id())
+    if stream:
+        spots = scanned(rows_, ["length"], [*stream, "piece", "_key"], F.col(stream[0]), sums={"_rank_of_length": F.lit(1)}).withColumn("_rank_of_length", F.col("_rank_of_length") - 1).drop("_key")
+    else:
+        spots = ranked(rows_, ["length"], ["doc_id", "piece", "_key"], F.xxhash64("doc_id", "piece", "_key"), "_rank_of_length").drop("_key")
     r = F.col("_rank_of_length")
     inside = (F.col("length") == F.col("_length")) & (r >= F.col("_first")) & (r < F.col("_first") + F.col("_n"))
     nth = r - F.col("_first")
-    return spots.join(places, inside).select(
+    out = spots.join(places, inside).select(
         *rows.columns,
         (F.col("_sequence") + F.floor(nth / F.col("_each"))).cast("long").alias("sequence_id"),
         (F.col("_offset") + (nth % F.col("_each")) * F.col("length")).cast("long").alias("offset"),
     )
+    if not stream:
+        return out
+    out = written(out, "packed")
+    first = out.groupBy("sequence_id").agg(F.min(F.struct(*stream)).alias("at")).select("sequence_id", *[F.col(f"at.{c}").alias(c) for c in stream])
+    number = scanned(first, [], [*stream, "sequence_id"], F.col(stream[0]), sums={"number": F.lit(1)}).select("sequence_id", "number")
+    return out.join(number, "sequence_id").withColumn("sequence_id", F.col("number") - 1).select(*rows.columns, "sequence_id", "offset")
 
 
 def default_tokenizer() -> str:
@@ -262,12 +279,12 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def pack_documents(documents: DataFrame, tokenizer_path: str | None = None, capacity: int = 2048, most_pieces: int | None = None, most_cost: int | None = None) -> DataFrame:
+def pack_documents(documents: DataFrame, tokenizer_path: str | None = None, capacity: int = 2048, most_pieces: int | None = None, most_cost: int | None = None, stream: tuple[str, str] | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece of every document.
 
     A null or empty text is one piece of the end token. Ids may be null or repeat: each row is a
     document of its own. Other columns are not read; an empty table gives an empty result. By default
-    only the tokens bind; fewer pieces or less attention cost a sequence can be asked for.
+    only the tokens bind; fewer pieces or less attention cost a sequence can be asked for. stream: see pack().
     """
-    rows = written(pieces(documents, tokenizer_path or default_tokenizer(), capacity), "pieces")
-    return pack(rows, capacity, most_pieces, most_cost)
+    rows = written(pieces(documents, tokenizer_path or default_tokenizer(), capacity, keep=stream or ()), "pieces")
+    return pack(rows, capacity, most_pieces, most_cost, stream).drop(*(stream or ()))

@@ -9,7 +9,8 @@ import pytest
 import corpus_pipeline
 from tokenizers import Tokenizer
 
-from emberline.llm import packing, quality_ranker, secret_scan
+from emberline.llm import mixing, packing, quality_ranker, secret_scan
+from pyspark.sql import functions as F
 from test_operators import brute_classes, prose
 
 
@@ -55,9 +56,47 @@ def test_stages_do_what_they_say(spark, folder):
     assert {r.doc_id for r in after.collect()} == set(texts)
 
 
-def test_run_is_the_stages_in_turn(spark, folder):
+def test_run_is_the_stages_in_turn(spark, folder, tmp_path):
     got = corpus_pipeline.run(spark, folder)
     assert got.columns[:5] == ["doc_id", "piece", "start", "length", "ids_crc32"] and got.count() > 0
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, folder).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+    assert sorted(map(tuple, docs.collect())) == sorted(map(tuple, got.collect()))
+
+
+def test_the_mix_decides_where_pieces_go(spark, folder, tmp_path):
+    """Sequences follow the stream of the mix; packed without it they come in another order."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("text IS NOT NULL")
+    long = docs.selectExpr("doc_id", "repeat(text, 40) AS text", "lang", "source", "n_chars")  # a sequence holds few
+    long.repartition(3, "source").write.parquet(f"{tmp_path}/long")
+    docs = spark.read.parquet(f"{tmp_path}/long")
+    corpus_pipeline.mix(spark, docs, folder).write.parquet(f"{tmp_path}/mixed")
+    slots = {r.doc_id: r._slot for r in mixing.schedule(docs).collect()}
+    number = lambda d: {r.doc_id: r.n for r in corpus_pipeline.pack(spark, d, folder).groupBy("doc_id").agg(F.min("sequence_id").alias("n")).collect()}
+    mixed, plain = number(spark.read.parquet(f"{tmp_path}/mixed")), number(docs)
+    ids = sorted(slots)
+    along = lambda n: np.corrcoef([slots[d] for d in ids], [n[d] for d in ids])[0, 1]
+    assert mixed != plain and along(mixed) > 0.7 > along(plain)
+
+
+CLASHING = ["_slot", "_source", "_slots", "_scheduled", "_n0", "_key", "_tie", "_weight", "_bucket", "_rank", "_rank_in_source", "_id", "_hash", "n", "stays", "_quality_score", "score", "score_0", "node", "set", "part", "_part", "_row", "row", "length", "sequence_id"]
+
+
+def test_extra_columns_of_any_name(spark, folder, tmp_path):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    odd = docs.select("*", *[(F.col("doc_id") * 100 + k).alias(c) for k, c in enumerate(CLASHING)])
+    for name, stage in corpus_pipeline.STAGES:
+        before, plain = odd, docs
+        stage(spark, odd, folder).write.parquet(f"{tmp_path}/odd-{name}")
+        stage(spark, docs, folder).write.parquet(f"{tmp_path}/plain-{name}")
+        odd, docs = spark.read.parquet(f"{tmp_path}/odd-{name}"), spark.read.parquet(f"{tmp_path}/plain-{name}")
+        if name != "packing":
+            assert odd.columns == before.columns and docs.columns == plain.columns
+            assert sorted((r.doc_id, r.text) for r in odd.collect()) == sorted((r.doc_id, r.text) for r in docs.collect())
+            assert odd.where(" OR ".join(f"`{c}` <> doc_id * 100 + {k}" for k, c in enumerate(CLASHING))).count() == 0
+    assert odd.count() == docs.count()
 
 
 def test_empty_corpus(spark, folder, tmp_path):
