@@ -69,3 +69,9 @@ def report_name(satellite: Column, time: Column, lat: Column, lon: Column, ident
     """A file name of a detection's report."""
     fixed = lambda x: F.format_string("%.2f", x)
     return F.concat_ws("_", satellite, F.date_format(time, "yyyy-MM-dd'T'HH'h'mm'm'ss"), fixed(lat), fixed(lon), ident.cast("string"))
+
+
+def valid_id(text: Column) -> Column:
+    """Is it a detection's id: a number of 64 bits that is no unsigned one of 32 bits, as those are random ids of a run. Null is none."""
+    number = text.try_cast("bigint")
+    return F.coalesce((number < 0) | (number > 2**32 - 1), F.lit(False))

@@ -317,3 +317,18 @@ def usable_images(rows: DataFrame, columns: list[str]) -> DataFrame:
         full = full & F.col(c).isNotNull()
     each = F.array(*[F.struct(F.lit(c).alias("image"), F.col(c).alias("name")) for c in columns])
     return rows.where(F.coalesce(full, F.lit(False))).select("cid", F.explode(each).alias("i")).select("cid", "i.image", "i.name")
+
+
+def combined_by_match(profiles: DataFrame, match: str = "truth_idx", order: str = "cid") -> DataFrame:
+    """Profiles (cid, n_groups, score, match) of one truth event as one: the first in order keeps the match, with the sum of the groups, the largest
+    score and how many it stands for (n_combined); the others get match -99. Profiles without a match (below 0 or null) stay as they are."""
+    best = profiles.where(F.col(match) >= 0).groupBy(F.col(match).alias("_match")).agg(F.min(order).alias("_first"), F.sum("n_groups").alias("_groups"), F.max("score").alias("_score"), F.count("*").alias("_n"))
+    rows = profiles.join(best, F.col(match) == F.col("_match"), "left")
+    first = F.col("_first") == F.col(order)
+    new = {
+        match: F.when(F.col("_match").isNull() | first, F.col(match)).otherwise(F.lit(-99).cast("long")),
+        "n_groups": F.when(first, F.col("_groups")).otherwise(F.col("n_groups")),
+        "score": F.when(first, F.col("_score")).otherwise(F.col("score")),
+        "n_combined": F.when(first, F.col("_n")).otherwise(F.lit(1).cast("long")),
+    }
+    return rows.withColumns(new).select(*profiles.columns, "n_combined")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from emberline.functions.membership import membership
-from emberline.operators import features, joins, linkage, scoring
+from emberline.operators import features, joins, linkage, profiles, scoring
 from emberline.sources import point_events as pe
 from emberline.sources.scratch import written
 
@@ -40,10 +40,13 @@ def a01_a08_basic_features(spark, sf_dir):
     return f.withColumns({"lat": F.round("lat", 6), "lon": F.round("lon", 6), "ground_distance": F.round("ground_distance", 4), "duration": F.round("duration", 4)})
 
 
-@query(with_members("SELECT cid, CAST(max(i) FILTER (i = n // 2 + 1 AND i > 1) AS BIGINT) AS middle, min(time) < max(time) AS moves FROM m GROUP BY cid HAVING min(time) < max(time)"))
+@query(with_members(""", f AS (SELECT dataset_file, min(time) AS s, max(time) AS e FROM g WHERE quality = 0 AND energy > 0 AND hour(time) BETWEEN 1 AND 22 GROUP BY 1),
+    c AS (SELECT cid, CAST(any_value(n) // 2 + 1 AS BIGINT) AS middle, arg_min(dataset_file, i) AS df, max(time) FILTER (i = n // 2 + 1) AS mt, min(time) < max(time) AS moves FROM m GROUP BY cid)
+    SELECT cid, middle, true AS moves FROM c JOIN f ON f.dataset_file = c.df WHERE mt BETWEEN s AND e AND moves"""))
 def d06_boundary_filter(spark, sf_dir):
-    g = pe.load_groups(spark, sf_dir)
-    rows = linkage.boundary_filter(linkage.by_time(clusters(spark, sf_dir)), g.groupBy("dataset_file").agg(F.lit("1970-01-01").cast("timestamp").alias("start"), F.lit("2100-01-01").cast("timestamp").alias("end")))
+    """Files that cover the hours from 1 to 22 of their days: clusters whose middle lies outside go."""
+    g = pe.scan_groups(pe.load_groups(spark, sf_dir)).where(F.hour("time").between(1, 22))
+    rows = linkage.boundary_filter(linkage.by_time(clusters(spark, sf_dir)), pe.file_table(g).select("dataset_file", "start", "end"))
     return rows.select("cid", (F.floor(F.size("members") / 2) + 1).cast("long").alias("middle"), F.lit(True).alias("moves"))
 
 
@@ -164,10 +167,11 @@ def j01_truth_match(spark, sf_dir):
     return matched(spark, sf_dir)[1]
 
 
-@query(with_members(f", {_DET} SELECT truth_idx, count(*) AS n, CAST(sum(n_groups) AS BIGINT) AS n_groups, max(score) AS score FROM match JOIN d USING (cid) WHERE truth_idx >= 0 GROUP BY truth_idx"))
+@query(with_members(f""", {_DET}, w AS (SELECT *, min(cid) OVER v AS fi, sum(n_groups) OVER v AS gs, max(score) OVER v AS sc, count(*) OVER v AS nc FROM match JOIN d USING (cid) WINDOW v AS (PARTITION BY truth_idx))
+    SELECT cid, CASE WHEN truth_idx < 0 OR cid = fi THEN truth_idx ELSE -99 END AS truth_idx, CAST(CASE WHEN truth_idx >= 0 AND cid = fi THEN gs ELSE n_groups END AS BIGINT) AS n_groups, CASE WHEN truth_idx >= 0 AND cid = fi THEN sc ELSE score END AS score, CASE WHEN truth_idx >= 0 AND cid = fi THEN nc ELSE 1 END AS n_combined FROM w"""))
 def d14_combine_by_truth(spark, sf_dir):
     d, m = matched(spark, sf_dir)
-    return d.join(m, "cid").where("truth_idx >= 0").groupBy("truth_idx").agg(F.count("*").alias("n"), F.sum("n_groups").alias("n_groups"), F.max("score").alias("score"))
+    return profiles.combined_by_match(d.join(m, "cid").select("cid", "truth_idx", "n_groups", "score"))
 
 
 @query(with_members(f", {_DET} SELECT d.cid, count(g.group_id) AS n_near, round(count(g.group_id) / CAST(any_value(d.n_groups) AS DOUBLE), 6) AS share FROM d LEFT JOIN (SELECT g.*, label.cid AS own FROM g LEFT JOIN label USING (group_id)) g ON g.satellite = d.satellite AND abs(epoch_us(g.time) / 1e6 - d.t0) <= 7200 AND {hav('d.lat', 'd.lon', 'g.lat', 'g.lon')} <= 500 AND NOT (abs(epoch_us(g.time) / 1e6 - d.t0) <= 600 AND {hav('d.lat', 'd.lon', 'g.lat', 'g.lon')} <= 30) AND coalesce(g.own, -1) <> d.cid GROUP BY d.cid"))

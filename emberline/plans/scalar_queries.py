@@ -61,11 +61,12 @@ def p17_within_radius(spark, sf_dir):
     return pe.load_groups(spark, sf_dir).withColumn("km", km).where("km <= 2500").select("group_id", F.round("km", 4).alias("km"))
 
 
-@query("SELECT CAST(o_orderkey AS BIGINT) AS id, o_orderkey IS NOT NULL AND o_orderkey > 1000 AS valid FROM orders")
+@query("""SELECT k, id, coalesce(TRY_CAST(id AS BIGINT) < 0 OR TRY_CAST(id AS BIGINT) > 4294967295, false) AS valid FROM (SELECT CAST(o_orderkey AS BIGINT) AS k, CASE o_orderkey % 5 WHEN 0 THEN '1620240101000000' || lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0')
+    WHEN 1 THEN CAST(o_orderkey AS VARCHAR) WHEN 2 THEN 'id' || CAST(o_orderkey AS VARCHAR) WHEN 3 THEN '99999999999999999999' END AS id FROM orders)""")
 def p18_valid_ids(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("s"))
-    v = F.col("s").try_cast("bigint")
-    return o.select(v.alias("id"), (v.isNotNull() & (v > 1000)).alias("valid"))
+    k, text = F.col("o_orderkey"), F.col("o_orderkey").cast("string")
+    made = F.when(k % 5 == 0, F.concat(F.lit("1620240101000000"), F.lpad((k % 1000).cast("string"), 3, "0"))).when(k % 5 == 1, text).when(k % 5 == 2, F.concat(F.lit("id"), text)).when(k % 5 == 3, F.lit("99999999999999999999"))
+    return table(spark, sf_dir, "orders").select(k.cast("long").alias("k"), made.alias("id")).withColumn("valid", times.valid_id(F.col("id")))
 
 
 @query(with_groups(f"SELECT group_id, round({hav('lat', 'lon', '10.0', '-100.0')}, 4) AS km, round({hav('lat', 'lon', '10.0', '-100.0', '(180.0 / pi())')}, 6) AS degrees FROM g"))

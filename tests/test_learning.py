@@ -6,7 +6,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from emberline.operators import classifier, sampling, scan, tuning
+from emberline.functions.times import valid_id
+from emberline.operators import classifier, profiles, sampling, scan, tuning
 
 
 def planted(spark):
@@ -110,3 +111,17 @@ def test_assessment(spark):
     got = {r.k: (r.score, r.triage, r.validation) for r in classifier.assessed(df, F.col("fall"), F.col("size"), 15, 0.4, 0.4, 0.9).collect()}
     assert got[1] == (0.95, "accepted", "accepted") and got[2][1:] == ("accepted", "candidate") and got[3][0] == 1.0 and got[4] == (0.0, "rejected", "rejected")
     assert got[5] == (None, "N/A", "N/A") and got[6][1:] == ("accepted", "candidate") and got[7][1:] == ("accepted", "candidate")
+
+
+def test_profiles_of_one_truth(spark):
+    rows = [(1, 7, 5, 0.1), (2, 7, 4, 0.9), (3, -1, 3, 0.5), (4, 8, 2, 0.4), (5, 7, 1, 0.2), (6, None, 9, None), (7, -3, 1, 0.3)]
+    df = spark.createDataFrame(rows, "cid long, truth_idx long, n_groups long, score double")
+    got = {r.cid: tuple(r)[1:] for r in profiles.combined_by_match(df).collect()}
+    assert got == {1: (7, 10, 0.9, 3), 2: (-99, 4, 0.9, 1), 3: (-1, 3, 0.5, 1), 4: (8, 2, 0.4, 1), 5: (-99, 1, 0.2, 1), 6: (None, 9, None, 1), 7: (-3, 1, 0.3, 1)}
+    assert profiles.combined_by_match(df.where("false")).count() == 0
+
+
+def test_valid_ids(spark):
+    texts = [("1620240101000000001", True), ("4294967295", False), ("4294967296", True), ("-5", True), ("12", False), ("x1", False), ("99999999999999999999", False), (None, False), ("", False)]
+    df = spark.createDataFrame([(t,) for t, _ in texts], "id string")
+    assert [r.v for r in df.select(valid_id(F.col("id")).alias("v")).collect()] == [v for _, v in texts]
