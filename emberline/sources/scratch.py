@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,9 +12,11 @@ _own_folder: list[str] = []
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; one of our own only where it is unset."""
+    """The shared folder of spark.checkpoint.dir; one of our own only where it is unset and all tasks run on this machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         if not _own_folder:
             _own_folder.append(tempfile.mkdtemp(prefix="emberline-"))
         folder = _own_folder[0]

@@ -76,3 +76,20 @@ def test_two_writers_give_one_sequence(spark, tmp_path):
     with pytest.raises(Conflict):
         add(Beaten(spark, path, [add(other, rows(spark, 1, 30 + k)) for k in range(3)]), rows(spark, 1, 90)).commit()
     assert len(ids(other)) == 10
+
+
+def test_no_local_folder_on_a_cluster(spark, monkeypatch):
+    from emberline.sources import scratch
+
+    class Cluster:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+        sparkContext = type("Context", (), {"master": "yarn"})
+
+    with pytest.raises(RuntimeError, match="share"):
+        scratch.scratch_folder(Cluster)
+    for master in ("local", "local[4]", "local[*]"):
+        Cluster.sparkContext.master = master
+        assert scratch.scratch_folder(Cluster)
+    Cluster.sparkContext.master = "local-cluster[3,2,1024]"
+    with pytest.raises(RuntimeError, match="share"):
+        scratch.scratch_folder(Cluster)
