@@ -4,49 +4,24 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
 from emberline.session import find_package
+from emberline.sources.scratch import written  # noqa: F401  the operators take it from here
 
 #: Bytes of text that one vectorised pass takes at a time; a longer document is a pass of its own.
 CHUNK_BYTES = 1 << 20
 
-_own_folder: list[str] = []
-
-
-def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; one of our own only where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not _own_folder:
-            _own_folder.append(tempfile.mkdtemp(prefix="emberline-"))
-        folder = _own_folder[0]
-    return folder.rstrip("/")
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """df written as a Parquet table in the shared folder and read back: later work starts from it,
-    whatever executors are lost. The table goes when the session's JVM ends."""
-    spark = df.sparkSession
-    path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
-
 
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
