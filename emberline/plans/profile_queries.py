@@ -326,9 +326,9 @@ def m27_usable_images(spark, sf_dir):
     return profiles.usable_images(rows, ["band", "curve"])
 
 
-@query(with_groups("SELECT group_id AS event_id, group_id - group_id % 5 AS parent_group_id, quality AS data_quality, energy FROM g WHERE dataset_file LIKE 'G16%' AND energy > 0"))
+@query(with_groups("SELECT group_id AS event_id, group_id - group_id % 5 AS parent_group_id, quality AS data_quality, energy FROM g WHERE energy > 0"))
 def s02_event_scan(spark, sf_dir):
-    g = pe.load_groups(spark, sf_dir).where(F.col("dataset_file").startswith("G16") & (F.col("energy") > 0))
+    g = pe.load_groups(spark, sf_dir).where("energy > 0")
     return g.select(F.col("group_id").alias("event_id"), (F.col("group_id") - F.col("group_id") % 5).alias("parent_group_id"), F.col("quality").alias("data_quality"), "energy")
 
 

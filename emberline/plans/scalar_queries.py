@@ -210,11 +210,12 @@ def c01_renavigate_there_and_back(spark, sf_dir):
     return g.select("group_id", F.round(lat, 5).alias("lat"), F.round(lon, 5).alias("lon"))
 
 
-@query(with_groups("SELECT satellite, count(*) AS n FROM g WHERE satellite IN ('G16', 'G19') GROUP BY satellite"))
+@query(with_groups("""SELECT group_id, h * px >= py * py + pow(6378.137 / 6356.752314245, 2) * pz * pz AS visible, round(asin(py / sqrt(pow(h - px, 2) + py * py + pz * pz)), 7) AS x, round(atan2(pz, h - px), 7) AS y FROM (SELECT group_id, 42164.0 AS h, n * cos(p) * cos(d) AS px, n * cos(p) * sin(d) AS py, n * (1 - e2) * sin(p) AS pz
+    FROM (SELECT *, 6378.137 / sqrt(1 - e2 * pow(sin(p), 2)) AS n FROM (SELECT group_id, radians(lat) AS p, radians(lon + 75.0) AS d, 1 - pow(6356.752314245 / 6378.137, 2) AS e2 FROM g)))"""))
 def c07_grid_in_view(spark, sf_dir):
-    g = pe.load_groups(spark, sf_dir).where(F.col("satellite").isin("G16", "G19"))
-    _, _, visible = geo.fixed_grid(F.col("lat"), F.col("lon"), -75.0)
-    return g.where(visible).groupBy("satellite").agg(F.count("*").alias("n"))
+    """Scan angles of all groups as an imager at 75 west has them, by the geocentric latitude; the SQL goes by Earth-fixed positions."""
+    x, y, visible = geo.fixed_grid(F.col("lat"), F.col("lon"), -75.0)
+    return pe.load_groups(spark, sf_dir).select("group_id", visible.alias("visible"), F.round(x, 7).alias("x"), F.round(y, 7).alias("y"))
 
 
 @query(with_groups("SELECT group_id, satellite, dataset_file, energy FROM g WHERE quality = 0 AND energy > 0"))
