@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from emberline.functions import geo, membership, times
 from emberline.operators import features, joins, kernels, linkage, profiles, scoring, stereo
 from emberline.sources import point_events as pe
+from emberline.sources.scratch import written
 from emberline.streaming import incremental
 
 T0 = dt.datetime(2024, 3, 1, 12)
@@ -207,3 +208,29 @@ def test_linkage_across_cells_and_the_date_line(spark):
     assert [got[i] for i in range(300)] == label.tolist()
     pairs = {(r.u, r.v) for r in linkage.close_pairs(df, 5.0, 2.0).collect()}
     assert pairs == {(i, j) for i in range(300) for j in range(i + 1, 300) if close[i, j]}
+
+
+def test_linkage_broadcasts_no_rows_dealt_to_cells(spark, points, monkeypatch):
+    """What a row is dealt to is not in the estimate of a table's size, so such a side must not be sent to the driver."""
+    from emberline.operators import components
+
+    plans = []
+
+    def kept(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString().splitlines())
+        return written(df, label)
+
+    monkeypatch.setattr(linkage, "written", kept)
+    monkeypatch.setattr(components, "written", kept)
+    linkage.single_linkage(points, 5.0, 20.0)
+    linkage.radial_linkage(points, 5.0, 20.0)
+    plans.append(linkage.close_pairs(points, 5.0, 20.0)._jdf.queryExecution().executedPlan().toString().splitlines())
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    dealt = 0
+    for plan in plans:
+        dealt += any("Generate" in line for line in plan)
+        for i, line in enumerate(plan):
+            if "BroadcastExchange" in line:
+                below = itertools.takewhile(lambda x, line=line: depth(x) > depth(line), plan[i + 1 :])
+                assert not any("Generate" in x for x in below)
+    assert dealt >= 3
