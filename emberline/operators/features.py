@@ -51,7 +51,7 @@ def average_speed(members: DataFrame) -> DataFrame:
     b = members.select("cid", F.col("group_id").alias("b"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), seconds(F.col("time")).alias("t2"))
     dt = F.abs(F.col("t1") - F.col("t2"))
     speed = haversine(F.col("lat1"), F.col("lon1"), F.col("lat2"), F.col("lon2")) / F.when(dt > 0, dt)
-    return a.join(b, "cid").where("a < b").groupBy("cid").agg(F.median(speed).alias("speed"))
+    return a.join(b.hint("merge"), "cid").where("a < b").groupBy("cid").agg(F.median(speed).alias("speed"))
 
 
 def linearity(members: DataFrame) -> DataFrame:
