@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, chunks
-from .quality_ranker import sampled_labels
+from .quality_ranker import labelled
 from .textstats import N_LINE_FEATURES, document_stats
 
 #: The CRF is fitted on all lines of at most so many labelled documents of each class.
@@ -126,6 +126,13 @@ def line_labels(doc: np.ndarray, good: np.ndarray, name: np.ndarray, dup: np.nda
     return y[at]
 
 
+def sampled_labels(labels: DataFrame, label: str, in_training: Column, per_class: int) -> DataFrame:
+    """Up to per_class rows of each label, picked by a hash of the id: the same rows however the table is split."""
+    rows = labelled(labels, label, in_training)
+    pick = lambda v: rows.where(F.col("y") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+    return pick(1).unionByName(pick(0)).select("doc_id", "y")
+
+
 def train_field(documents: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> LineField:
     """The field of a bounded sample of documents, all their lines, labelled by line_labels() from `quality`."""
     some = sampled_labels(labels, "quality", F.lit(True), per_class)

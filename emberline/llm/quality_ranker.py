@@ -2,23 +2,33 @@
 
 A preference pair is a document labelled 1 and one labelled 0: the model says that the first wins with
 probability sigmoid(s(first) - s(second)), where s is linear in text features, and its weights are
-fitted by the logistic loss on feature differences. Pairs are balanced over both classes whatever
-their sizes. The cut of the scores is a quantile: the share of 0 labels in the training folds, read
-off the training scores and placed at `cut` of the output scale.
+fitted by the logistic loss on feature differences. Every labelled document outside the held-out fold
+takes part: features of all are stored, dealt to blocks by a hash of the id, and each Newton round sums
+the gradient and the curvature of all blocks in Spark. Within a block every document of the smaller
+class meets others in turn until all of the larger one are met, so pairs are balanced over both
+classes. The cut of the scores is a quantile: the share of 0 labels in the training folds, read off
+all training scores by counts of ever narrower ranges and placed at `cut` of the output scale.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from emberline.sources.scratch import written
+
 from .common import arrow_map, chunks
 from .textstats import N_FEATURES, document_stats
 
-#: At most so many labelled documents of each class are fitted on.
-SAMPLE_PER_CLASS = 3000
+#: Labelled documents of a block on average; a block's pairs are drawn in its task.
+BLOCK = 4096
+#: Pairs of a document of the larger class of a block.
+MEETINGS = 4
 
 
 def expand(x: np.ndarray) -> np.ndarray:
@@ -26,22 +36,6 @@ def expand(x: np.ndarray) -> np.ndarray:
     return np.concatenate([x, x * x, np.sqrt(np.abs(x))], axis=1)
 
 
-def fit_pairs(better: np.ndarray, worse: np.ndarray, rounds: int = 400, ridge: float = 1e-4, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """Weights w of x/scale so that mean log(1 + exp(-w.(better - worse))) over random pairs is least."""
-    rng = np.random.default_rng(seed)
-    scale = np.concatenate([better, worse]).std(axis=0) + 1e-6
-    a, b = better / scale, worse / scale
-    w, m, v = np.zeros(a.shape[1]), np.zeros(a.shape[1]), np.zeros(a.shape[1])
-    n = min(4096, max(len(a), len(b)) * 4)
-    for step in range(1, rounds + 1):
-        d = a[rng.integers(0, len(a), n)] - b[rng.integers(0, len(b), n)]
-        p = 1 / (1 + np.exp(np.clip(d @ w, -50, 50)))
-        g = -(d * p[:, None]).mean(axis=0) + ridge * w
-        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        w -= 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    return w, scale
-
-
 class RankModel:
     """Scores from text features: sigmoid((s - threshold) / width + logit(cut))."""
 
@@ -54,27 +48,121 @@ class RankModel:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, zeros: float, cut: float) -> RankModel:
-    """A model of features x and labels y; `zeros` is the share of label 0 in the corpus: the quantile of the cut."""
-    x = expand(x)
-    good, bad = x[y == 1], x[y == 0]
-    if not len(good) or not len(bad):  # nothing to compare: every document is as likely
-        return RankModel(np.zeros(x.shape[1]), np.ones(x.shape[1]), -1.0, 1.0, cut)
-    w, scale = fit_pairs(good, bad)
-    values = np.concatenate([bad, good]) / scale @ w
-    # the samples of both classes weigh as much as the classes do in the corpus
-    weight = np.concatenate([np.full(len(bad), zeros / len(bad)), np.full(len(good), (1 - zeros) / len(good))])
-    order = np.argsort(values)
-    place = min(int(np.searchsorted(np.cumsum(weight[order]), zeros - 1e-9)), len(values) - 2)
-    threshold = (values[order][place] + values[order][place + 1]) / 2
-    return RankModel(w, scale, float(threshold), max(float(np.std(values)) / 4, 1e-3), cut)
+def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Expanded features and labels of stored rows."""
+    x = batch.column("x").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, N_FEATURES)
+    return expand(x), batch.column("y").to_numpy(zero_copy_only=False)
+
 
+def _summed(rows: DataFrame, of) -> np.ndarray | None:
+    """The sum over all batches of of(batch), an array of fixed size (None: nothing); one array a task comes to the driver's sum."""
 
-def sampled_labels(labels: DataFrame, label: str, in_training: Column, per_class: int) -> DataFrame:
-    """Up to per_class rows of each label, picked by a hash of the id: the same rows however the table is split."""
-    rows = labels.where(in_training & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("y"))
-    pick = lambda v: rows.where(F.col("y") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
-    return pick(1).unionByName(pick(0)).select("doc_id", F.col("y").cast("int"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            v = of(batch) if batch.num_rows else None
+            if v is not None:
+                total = v if total is None else total + v
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["i", "v"])
+
+    out = rows.mapInArrow(run, "i long, v double").groupBy("i").agg(F.array_sort(F.collect_list("v")).alias("v")).collect()  # in one order: the same sum each time
+    return None if not out else np.array([sum(r["v"]) for r in sorted(out, key=lambda r: r["i"])])
+
+
+def _differences(block: pd.DataFrame, scale: np.ndarray) -> np.ndarray:
+    """Features of better less worse for the pairs of a block: the smaller class in turns against MEETINGS rotations of the larger."""
+    block = block.sort_values("doc_id")
+    x, y = expand(np.stack(block["x"].to_numpy()).astype(np.float64)) / scale, block["y"].to_numpy()
+    good, bad = x[y == 1], x[y == 0]
+    if not len(good) or not len(bad):
+        return np.zeros((0, x.shape[1]))
+    n = max(len(good), len(bad))
+    at = np.arange(n)
+    return np.concatenate([good[at % len(good)] - bad[(at + k * (1 + n // MEETINGS)) % len(bad)] if len(good) == n else good[(at + k * (1 + n // MEETINGS)) % len(good)] - bad[at] for k in range(MEETINGS)])
+
+
+def fit_pairs(rows: DataFrame, scale: np.ndarray, rounds: int = 12, ridge: float = 1e-4) -> np.ndarray:
+    """Weights w of x / scale so that mean log(1 + exp(-w.(better - worse))) + ridge / 2 |w|^2 over the pairs of all blocks is least: Newton's
+    method with halved steps. rows: block, doc_id, x, y."""
+    d = len(scale)
+    w = np.zeros(d)
+
+    def told(ws: list[np.ndarray]) -> tuple[int, list[float], list[np.ndarray], np.ndarray]:
+        def of(block: pd.DataFrame) -> pd.DataFrame:
+            diff = _differences(block, scale)
+            z = [diff @ v for v in ws]
+            p = [1 / (1 + np.exp(np.clip(u, -500, 500))) for u in z]
+            heads = [float(len(diff)), *[float(np.logaddexp(0, -u).sum()) for u in z]]
+            curves = [np.concatenate([-(q @ diff), ((diff * (q * (1 - q))[:, None]).T @ diff).ravel()]) for q in p]
+            return pd.DataFrame({"block": [int(block["block"].iloc[0])], "v": [np.concatenate([heads, *curves])]})
+
+        sums = rows.groupBy("block").applyInPandas(of, "block long, v array<double>").select("block", F.posexplode("v").alias("i", "v"))
+        sums = sums.groupBy("i").agg(F.aggregate(F.array_sort(F.collect_list("v")), F.lit(0.0), lambda a, v: a + v).alias("v")).orderBy("i").toPandas()["v"].to_numpy()
+        n, at = max(1.0, sums[0]), 1 + len(ws)
+        own = [sums[at + k * (d + d * d) : at + (k + 1) * (d + d * d)] / n for k in range(len(ws))]
+        return sums[0], [sums[1 + k] / n + ridge / 2 * v @ v for k, v in enumerate(ws)], [g[:d] + ridge * v for g, v in zip(own, ws, strict=True)], [g[d:].reshape(d, d) + ridge * np.eye(d) for g in own]
+
+    n, (loss,), (g,), (h,) = told([w])
+    for _ in range(rounds if n else 0):
+        step = np.linalg.solve(h, g)
+        tried = [w - step * s for s in (1.0, 0.25)]
+        _, losses, gs, hs = told(tried)
+        k = int(np.argmin(losses))
+        if losses[k] > loss - 1e-7:
+            break
+        w, loss, g, h = tried[k], losses[k], gs[k], hs[k]
+    return w
+
+
+def _ranked(scores: DataFrame, place: int) -> float:
+    """The value s at a place (from 0) in the ascending order of all rows, by counts of a thousand ranges of ever smaller width."""
+    low, high, before = *scores.agg(F.min("s"), F.max("s")).first(), 0
+    while high > low:
+        inside = scores.where(F.col("s").between(low, high))
+        width = (high - low) / 1000
+        if not width or low + width == low:
+            break
+        counts = inside.groupBy(F.least(F.floor((F.col("s") - low) / width), F.lit(999)).alias("k")).agg(F.count("*").alias("n"), F.min("s").alias("a"), F.max("s").alias("b")).orderBy("k").collect()
+        for r in counts:
+            if before + r["n"] > place:
+                low, high = r["a"], r["b"]
+                break
+            before += r["n"]
+    return low
+
+
+def fit(rows: DataFrame, cut: float) -> RankModel:
+    """A model of all rows (block, doc_id, x, y); the share of label 0 is the quantile of the cut."""
+    sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    good, bad, d = sizes.get(1, 0), sizes.get(0, 0), 3 * N_FEATURES
+    if not good or not bad:  # nothing to compare: every document is as likely
+        return RankModel(np.zeros(d), np.ones(d), -1.0, 1.0, cut)
+
+    def moments(batch: pa.RecordBatch) -> np.ndarray:
+        x, _ = _columns(batch)
+        return np.concatenate([x.sum(axis=0), (x * x).sum(axis=0)])
+
+    mean, square = (_summed(rows.select("x", "y"), moments) / (good + bad)).reshape(2, d)
+    scale = np.sqrt(np.maximum(square - mean * mean, 0)) + 1e-6
+    w = fit_pairs(rows, scale)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(_columns(batch)[0] / scale @ w)], names=["s"])
+
+    scores = written(rows.select("x", "y").mapInArrow(scored, "s double"), "scores")
+    place = min(bad - 1, good + bad - 2)
+    threshold = (_ranked(scores, place) + _ranked(scores, place + 1)) / 2
+    spread = scores.agg(F.stddev_pop("s")).first()[0]
+    return RankModel(w, scale, float(threshold), max(float(spread) / 4, 1e-3), cut)
+
+
+def labelled(labels: DataFrame, label: str, in_training: Column) -> DataFrame:
+    """doc_id and y of all rows of training with a label of 0 or 1; of several labels of one id the greatest."""
+    rows = labels.where(in_training & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
+    return rows.groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
 
 
 def features(documents: DataFrame, keep: list[str]) -> DataFrame:
@@ -87,20 +175,12 @@ def features(documents: DataFrame, keep: list[str]) -> DataFrame:
     return arrow_map(documents.select(*keep, "text"), of, f"{kinds}, x array<float>")
 
 
-def train(documents: DataFrame, labels: DataFrame, in_training: Column, label: str = "quality", cut: float = 0.3, per_class: int = SAMPLE_PER_CLASS) -> RankModel:
-    """A RankModel of at most 2 * per_class labelled documents' whole texts.
-
-    The quantile at which the scores are cut is the share of zeros among all training labels.
-    """
-    some = sampled_labels(labels, label, in_training, per_class)
-    # 2 * per_class ids at most, so the broadcast is bounded
-    texts = documents.select("doc_id", "text").join(F.broadcast(some), "doc_id")
-    rows = features(texts, ["doc_id", "y"]).toPandas()
-    counts = {r[label]: r["n"] for r in labels.where(in_training & F.col(label).isin(0, 1)).groupBy(label).agg(F.count("*").alias("n")).collect()}
-    if rows.empty:
-        return fit(np.zeros((0, N_FEATURES), np.float32), np.zeros(0), 0.5, cut)
-    rows = rows.sort_values("doc_id")
-    return fit(np.stack(rows["x"].to_numpy()), rows["y"].to_numpy(), counts.get(0, 0) / max(1, sum(counts.values())), cut)
+def train(documents: DataFrame, labels: DataFrame, in_training: Column, label: str = "quality", cut: float = 0.3) -> RankModel:
+    """A RankModel of the whole texts of all labelled documents in training."""
+    some = written(labelled(labels, label, in_training), "labels")
+    rows = written(features(documents.select("doc_id", "text").join(some, "doc_id"), ["doc_id", "y"]), "features")
+    blocks = -(-rows.count() // BLOCK) or 1
+    return fit(rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks))), cut)
 
 
 def score_documents(documents: DataFrame, model: RankModel, keep: list[str] | None = None, out: str = "score") -> DataFrame:

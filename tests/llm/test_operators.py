@@ -133,6 +133,18 @@ def test_quality_ranking(spark, documents, empty):
     assert quality_ranker.classify(documents, labels.where("false")).where("predicted = 0").count() == 0
 
 
+def test_quality_learns_from_all_labels(spark, monkeypatch):
+    """No label outside the held-out fold is left out, however many there are, and blocks change little."""
+    df = spark.range(9000).selectExpr("id AS doc_id", "concat('word number ', id, if(id % 2 = 0, ' ### $$$ ###', ' and some more of it')) AS text")
+    labels = spark.range(9000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    fit, met = quality_ranker.fit, []
+    monkeypatch.setattr(quality_ranker, "fit", lambda rows, cut: met.append(rows.count()) or fit(rows, cut))
+    assert all(r.predicted == r.doc_id % 2 for r in quality_ranker.classify(df, labels).collect())
+    assert met == [sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(9000))]
+    scores = spark.createDataFrame([(float(v),) for v in [3, 1, 1, 1, 2, 1e9, -5]], "s double")
+    assert [quality_ranker._ranked(scores, k) for k in range(7)] == [-5, 1, 1, 1, 2, 3, 1e9]
+
+
 def test_sharding(documents, empty):
     got = sharding.shard_documents(documents, shards=4).collect()
     assert len(got) == documents.count()
