@@ -152,4 +152,5 @@ def surroundings(detections: DataFrame, groups: DataFrame, km: float = 500.0, wi
     g = groups.select("group_id", "satellite", "lat", "lon", seconds(F.col("time")).alias("t"))
     g = g.withColumns({"cell": F.floor(F.col("t") / within_s), "band": F.floor(F.col("lat") / deg)})
     near = (haversine(F.col("lat0"), F.col("lon0"), F.col("lat"), F.col("lon")) <= km) & (F.abs(F.col("t") - F.col("t0")) <= within_s)
-    return d.join(g, ["satellite", "cell", "band"]).where(near).select("cid", "group_id")
+    # neither the groups nor what a detection is dealt to: a table's estimate is of its packed files
+    return d.join(g.hint("merge"), ["satellite", "cell", "band"]).where(near).select("cid", "group_id")
