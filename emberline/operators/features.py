@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from emberline.functions.geo import haversine
+from emberline.functions.geo import EARTH_KM, haversine
 from emberline.functions.times import local_solar
 
 from .joins import neighbourhood
 from .linkage import seconds
+from .pairs import JOINED, median_speed
 
 
 def in_cluster():
@@ -45,13 +47,24 @@ def basic(members: DataFrame) -> DataFrame:
     return out.withColumn("duration", seconds(F.col("end_time")) - seconds(F.col("start_time")))
 
 
-def average_speed(members: DataFrame) -> DataFrame:
-    """Median over all pairs of a cluster of distance by time, pairs of equal times left out."""
-    a = members.select("cid", F.col("group_id").alias("a"), F.col("lat").alias("lat1"), F.col("lon").alias("lon1"), seconds(F.col("time")).alias("t1"))
-    b = members.select("cid", F.col("group_id").alias("b"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), seconds(F.col("time")).alias("t2"))
+def _great_circle(one: np.ndarray, many: list[np.ndarray]) -> np.ndarray:
+    """haversine() of one (lat, lon) and others."""
+    lat, lon = many
+    a = np.sin(np.radians(lat - one[0]) / 2) ** 2 + np.cos(np.radians(one[0])) * np.cos(np.radians(lat)) * np.sin(np.radians(lon - one[1]) / 2) ** 2
+    return 2.0 * EARTH_KM * np.arctan2(np.sqrt(a), np.sqrt(np.maximum(0.0, 1 - a)))
+
+
+def average_speed(members: DataFrame, joined: int = JOINED) -> DataFrame:
+    """Median over all pairs of a cluster of distance by time, pairs of equal times left out. Pairs of clusters of `joined` rows or
+    fewer are joined, larger clusters are left to median_speed()."""
+    some = members.join(members.groupBy("cid").agg(F.count("*").alias("_n")).where(F.col("_n") <= joined).select("cid"), "cid", "left_semi")
+    a = some.select("cid", F.col("group_id").alias("a"), F.col("lat").alias("lat1"), F.col("lon").alias("lon1"), seconds(F.col("time")).alias("t1"))
+    b = some.select("cid", F.col("group_id").alias("b"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), seconds(F.col("time")).alias("t2"))
     dt = F.abs(F.col("t1") - F.col("t2"))
     speed = haversine(F.col("lat1"), F.col("lon1"), F.col("lat2"), F.col("lon2")) / F.when(dt > 0, dt)
-    return a.join(b.hint("merge"), "cid").where("a < b").groupBy("cid").agg(F.median(speed).alias("speed"))
+    small = a.join(b.hint("merge"), "cid").where("a < b").groupBy("cid").agg(F.median(speed).alias("speed"))
+    rows = members.select("cid", "group_id", F.unix_micros(F.col("time").cast("timestamp")).alias("t"), F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"))
+    return small.unionByName(median_speed(rows, ["lat", "lon"], _great_circle, max(joined, 1) + 1))
 
 
 def linearity(members: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from emberline.functions.geo import GEO_KM, WGS84_A, WGS84_B, haversine
 
 from .joins import time_cells
 from .linkage import seconds
+from .pairs import JOINED, median_speed
 
 #: How far the ellipsoid of navigated positions lies above WGS-84 at equator and poles (km), and the
 #: range of heights above it.
@@ -112,14 +113,22 @@ def altitudes(pairs: DataFrame, sat_1: float, sat_2: float, rounds: int = 40) ->
     return rows.withColumns({"residual": _apart(p, q), "place_lat1": a1, "place_lon1": o1, "place_lat2": a2, "place_lon2": o2, "x": p[0], "y": p[1], "z": p[2]}).drop(*[f"_{c}{k}" for c in "xyz" for k in (1, 2)])
 
 
-def medians(points: DataFrame) -> DataFrame:
+def _straight(one: np.ndarray, many: list[np.ndarray]) -> np.ndarray:
+    return np.sqrt(sum((c - x) ** 2 for x, c in zip(one, many, strict=True)))
+
+
+def medians(points: DataFrame, joined: int = JOINED) -> DataFrame:
     """Median height, residual and speed of each cid; speed is the median over all pairs of points of distance in
-    space by time, pairs of equal times left out. points: cid, group_id, t, x, y, z, alt, residual."""
-    a = points.select("cid", F.col("group_id").alias("g1"), F.col("t").alias("t1"), F.col("x").alias("x1"), F.col("y").alias("y1"), F.col("z").alias("z1"))
-    b = points.select("cid", F.col("group_id").alias("g2"), F.col("t").alias("t2"), F.col("x").alias("x2"), F.col("y").alias("y2"), F.col("z").alias("z2"))
+    space by time, pairs of equal times left out. points: cid, group_id, t, x, y, z, alt, residual. Pairs of cids of `joined`
+    points or fewer are joined, larger ones are left to median_speed()."""
+    some = points.join(points.groupBy("cid").agg(F.count("*").alias("_n")).where(F.col("_n") <= joined).select("cid"), "cid", "left_semi")
+    a = some.select("cid", F.col("group_id").alias("g1"), F.col("t").alias("t1"), F.col("x").alias("x1"), F.col("y").alias("y1"), F.col("z").alias("z1"))
+    b = some.select("cid", F.col("group_id").alias("g2"), F.col("t").alias("t2"), F.col("x").alias("x2"), F.col("y").alias("y2"), F.col("z").alias("z2"))
     dt = F.abs(F.col("t1") - F.col("t2"))
     km = _apart((F.col("x1"), F.col("y1"), F.col("z1")), (F.col("x2"), F.col("y2"), F.col("z2")))
-    speed = a.join(b, "cid").where("g1 < g2").groupBy("cid").agg(F.median(km / F.when(dt > 0, dt)).alias("speed"))
+    speed = a.join(b.hint("merge"), "cid").where("g1 < g2").groupBy("cid").agg(F.median(km / F.when(dt > 0, dt)).alias("speed"))
+    rows = points.select("cid", "group_id", F.round(F.col("t") * 1e6).cast("long").alias("t"), "x", "y", "z")
+    speed = speed.unionByName(median_speed(rows, ["x", "y", "z"], _straight, max(joined, 1) + 1))
     return points.groupBy("cid").agg(F.median("alt").alias("alt"), F.median("residual").alias("residual")).join(speed, "cid", "left")
 
 

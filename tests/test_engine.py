@@ -234,3 +234,36 @@ def test_linkage_broadcasts_no_rows_dealt_to_cells(spark, points, monkeypatch):
                 below = itertools.takewhile(lambda x, line=line: depth(x) > depth(line), plan[i + 1 :])
                 assert not any("Generate" in x for x in below)
     assert dealt >= 3
+
+
+def test_median_speed_joins_no_pairs(spark, monkeypatch):
+    """The median over all pairs of a large cluster, of ranges narrowed by samples, is that of the pairs one by one."""
+    from emberline.operators import pairs
+
+    r = np.random.default_rng(4)
+    n = [700, 600, 500, 3, 2, 1]
+    rows = []
+    for cid, k in enumerate(n):
+        for i in range(k):
+            at = float(r.integers(0, 4)) / 50 if cid == 1 else 0.0 if cid == 2 else float(r.normal()) / 30
+            rows.append((cid, 1000 * cid + i, T0 + dt.timedelta(milliseconds=0 if cid == 4 else int(r.integers(0, 900_000))), 5 + at, -75 + at / 2))
+    members = spark.createDataFrame(rows, "cid long, group_id long, time timestamp, lat double, lon double")
+    want = {}
+    for cid, k in enumerate(n):
+        one = [x for x in rows if x[0] == cid]
+        t, la, lo = np.array([x[2].timestamp() for x in one]), np.radians([x[3] for x in one]), np.radians([x[4] for x in one])
+        i, j = np.triu_indices(k, 1)
+        h = np.sin((la[i] - la[j]) / 2) ** 2 + np.cos(la[i]) * np.cos(la[j]) * np.sin((lo[i] - lo[j]) / 2) ** 2
+        apart = np.abs(t[i] - t[j])
+        speed = (2 * 6371.0 * np.arcsin(np.sqrt(h)))[apart > 0] / apart[apart > 0]
+        if k > 1:
+            want[cid] = np.median(speed) if len(speed) else None
+    monkeypatch.setattr(pairs, "LOOKED_AT", 20_000)  # three clusters have more pairs
+    monkeypatch.setattr(pairs, "DISTANCES", 20_000)  # and are dealt to blocks
+    monkeypatch.setattr(pairs, "LIST", 100)
+    for joined in (0, 256):
+        got = {x.cid: x.speed for x in features.average_speed(members, joined).collect()}
+        assert got.keys() == want.keys() and all(got[c] == pytest.approx(w, rel=1e-6, abs=1e-12) if w is not None else got[c] is None for c, w in want.items())
+    at = members.select("cid", "group_id", linkage.seconds(F.col("time")).alias("t"), F.col("lat").alias("x"), F.col("lon").alias("y"), F.lit(0.0).alias("z"), F.lit(1.0).alias("alt"), F.lit(1.0).alias("residual"))
+    plain, ranges = ({x.cid: x.speed for x in stereo.medians(at, joined).collect()} for joined in (1000, 0))
+    assert plain.keys() == ranges.keys() and all(ranges[c] == pytest.approx(v, rel=1e-9) if v is not None else ranges[c] is None for c, v in plain.items())
