@@ -31,8 +31,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .common import arrow_map, chunks, gram_hashes, mix, partitions, shielded, span_names, unshielded, word_bounds, written
 from .graph import components
 
-#: Bits of a segment's parity; bits of the short and the long sketch for each possible difference.
-SEGMENT_BITS, SHORT_BITS, LONG_BITS = 256, 3, 64
+#: Bits of a segment's parity, so many that unlike shingles do not share one: a segment of few shingles would else be that of many
+#: unlike sets; bits of the short and the long sketch for each possible difference.
+SEGMENT_BITS, SHORT_BITS, LONG_BITS = 1 << 32, 3, 64
 #: Sets (or so many shingles) of a pivot that meet others in one task; pairs that are compared at a time.
 MEMBER_BLOCK, SHINGLE_BLOCK, PAIRS_AT_ONCE = 2048, 4_000_000, 500_000
 

@@ -554,3 +554,12 @@ def test_words_are_remembered_as_the_tokenizer_encodes_them(monkeypatch):
         got = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
     assert len(words.size) < 1000
+
+
+def test_unlike_sets_share_no_segment():
+    """Segments hold a few shingles each; sets without a common shingle meet in hardly any (only in those that are left empty)."""
+    sizes = np.random.default_rng(8).integers(8, 40, 20_000)
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    grams = np.random.default_rng(9).integers(0, 2**63, bounds[-1]).astype(np.uint64)
+    keys, sets = jaccard_join.Join(80, 5).keys(grams, bounds)
+    assert set(sets.tolist()) == set(range(20_000)) and len(keys) - len(np.unique(keys)) < len(keys) / 1000
