@@ -16,28 +16,42 @@ def _km(lat1, lon1, lat2, lon2):
     return 2 * 6371.0 * np.arctan2(np.sqrt(a), np.sqrt(np.maximum(0, 1 - a)))
 
 
+def split_in_turns(t: np.ndarray, lat: np.ndarray, lon: np.ndarray, km: float, seconds: float) -> np.ndarray:
+    """The part of each row, rows in the order of t (microseconds). A turn looks only at rows that are new within
+    `seconds` of the last one and at those that the part has passed over."""
+    part, n, first = np.full(len(t), -1), 0, 0
+    ends = np.searchsorted(t, t + round(seconds * 1e6), "left")
+    while first < len(t):
+        last, seen, passed = first, first + 1, np.zeros(0, np.int64)
+        part[last] = n
+        while True:
+            new = np.arange(seen, max(seen, ends[last]))
+            seen += len(new)
+            at = np.concatenate([passed, new[part[new] < 0]])
+            near = (at < ends[last]) & (_km(lat[at], lon[at], lat[last], lon[last]) < km)  # a turn may lead back in time
+            if not near.any():
+                break
+            part[at[near]] = n
+            last, passed = int(at[near][-1]), at[~near]
+        rest = np.flatnonzero(part[first:seen] < 0)
+        first = first + int(rest[0]) if len(rest) else seen
+        while first < len(t) and part[first] >= 0:
+            first += 1
+        n += 1
+    return part
+
+
 def sequential_split(members: DataFrame, km: float, seconds: float) -> DataFrame:
     """cid, part, group_id: a cluster split in turns. The first remaining row opens a part, which takes in
     all rows within km whose time is less than `seconds` after that of the row it took in last."""
 
     def split(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["time", "group_id"])
-        t, lat, lon = g["time"].astype("int64").to_numpy() / 1e9, g["lat"].to_numpy(), g["lon"].to_numpy()
-        part = np.full(len(g), -1)
-        n = 0
-        while (part < 0).any():
-            last = int(np.argmax(part < 0))
-            part[last] = n
-            while True:
-                fit = np.flatnonzero((part < 0) & (_km(lat, lon, lat[last], lon[last]) < km) & (t - t[last] < seconds))
-                if not len(fit):
-                    break
-                part[fit] = n
-                last = int(fit[-1])
-            n += 1
+        g = g.sort_values(["t", "group_id"])
+        part = split_in_turns(g["t"].to_numpy(), g["lat"].to_numpy(), g["lon"].to_numpy(), km, seconds)
         return pd.DataFrame({"cid": g["cid"], "part": part, "group_id": g["group_id"]})
 
-    return members.select("cid", "group_id", "time", "lat", "lon").groupBy("cid").applyInPandas(split, "cid long, part long, group_id long")
+    rows = members.select("cid", "group_id", F.unix_micros(F.col("time").cast("timestamp")).alias("t"), "lat", "lon")
+    return rows.groupBy("cid").applyInPandas(split, "cid long, part long, group_id long")
 
 
 def smoothed(y: np.ndarray, window: int) -> np.ndarray:

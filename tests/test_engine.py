@@ -267,3 +267,28 @@ def test_median_speed_joins_no_pairs(spark, monkeypatch):
     at = members.select("cid", "group_id", linkage.seconds(F.col("time")).alias("t"), F.col("lat").alias("x"), F.col("lon").alias("y"), F.lit(0.0).alias("z"), F.lit(1.0).alias("alt"), F.lit(1.0).alias("residual"))
     plain, ranges = ({x.cid: x.speed for x in stereo.medians(at, joined).collect()} for joined in (1000, 0))
     assert plain.keys() == ranges.keys() and all(ranges[c] == pytest.approx(v, rel=1e-9) if v is not None else ranges[c] is None for c, v in plain.items())
+
+
+def test_splits_in_turns_look_at_new_rows_only():
+    def plain(t, lat, lon, km, seconds):
+        part, n = np.full(len(t), -1), 0
+        while (part < 0).any():
+            last = int(np.argmax(part < 0))
+            part[last] = n
+            while len(fit := np.flatnonzero((part < 0) & (kernels._km(lat, lon, lat[last], lon[last]) < km) & (t - t[last] < seconds * 1e6))):
+                part[fit], last = n, int(fit[-1])
+            n += 1
+        return part
+
+    rng = np.random.default_rng(5)
+    for n in rng.integers(1, 60, 300):
+        t, lat, lon = np.sort(rng.integers(0, 100, n)) * 1_000_000, rng.choice([0.0, 0.05, 0.1, 0.2], n), rng.choice([0.0, 0.05, 0.09], n)
+        seconds = float(rng.integers(0, 20))
+        assert (kernels.split_in_turns(t, lat, lon, 10.0, seconds) == plain(t, lat, lon, 10.0, seconds)).all()
+    seen, km = [], kernels._km
+    kernels._km = lambda lat1, *rest: seen.append(len(lat1)) or km(lat1, *rest)
+    try:
+        assert not kernels.split_in_turns(np.arange(5000) * 1_000_000, np.zeros(5000), np.zeros(5000), 10.0, 20.0).any()
+    finally:
+        kernels._km = km
+    assert sum(seen) < 20_000  # every turn used to look at all rows
