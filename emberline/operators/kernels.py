@@ -55,15 +55,18 @@ def sequential_split(members: DataFrame, km: float, seconds: float) -> DataFrame
 
 
 def smoothed(y: np.ndarray, window: int) -> np.ndarray:
-    """Cubic least squares in a sliding window; the ends are read off the first and last window."""
+    """Cubic least squares in a sliding window; the ends are read off the first and last window. Memory grows with
+    the rows and with four columns of the window, time with the rows and their logarithm."""
     half = window // 2
-    x = np.arange(window) - half
-    basis = np.vander(x, 4, increasing=True)
-    fit = basis @ np.linalg.pinv(basis)
-    out = np.convolve(y, fit[half][::-1], "same")
-    out[:half] = (fit @ y[:window])[:half]
-    out[-half:] = (fit @ y[-window:])[-half:]
-    return out
+    level = y[0]
+    y = y - level  # what does not change stays as it is, exactly
+    basis, _ = np.linalg.qr(np.vander((np.arange(window) - half) / max(1, half), 4, increasing=True))
+    size = 1 << (len(y) + window - 1).bit_length()
+    weights = basis @ basis[half]
+    out = np.fft.irfft(np.fft.rfft(y, size) * np.fft.rfft(weights[::-1], size), size)[half : half + len(y)]
+    out[:half] = basis[:half] @ (basis.T @ y[:window])
+    out[-half:] = basis[-half:] @ (basis.T @ y[-window:])
+    return out + level
 
 
 def without_outliers(members: DataFrame, least: int = 25, clips: dict[str, float] | None = None, sigmas: float = 10.0) -> DataFrame:

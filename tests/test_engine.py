@@ -269,6 +269,23 @@ def test_median_speed_joins_no_pairs(spark, monkeypatch):
     assert plain.keys() == ranges.keys() and all(ranges[c] == pytest.approx(v, rel=1e-9) if v is not None else ranges[c] is None for c, v in plain.items())
 
 
+def test_a_window_of_many_rows_takes_little_memory():
+    """A fifth of a large cluster is a window: a matrix of its square would take 3 GB here."""
+    import tracemalloc
+
+    y = np.random.default_rng(3).normal(size=100_000).cumsum()
+    tracemalloc.start()
+    kernels.smoothed(y, 20_001)
+    assert tracemalloc.get_traced_memory()[1] < 100_000_000
+    tracemalloc.stop()
+    flat = np.full(500, 7.3)
+    assert (kernels.smoothed(flat, 101) == flat).all()
+    for n, window in ((25, 5), (300, 61)):
+        got, half, x = kernels.smoothed(y[:n], window), window // 2, np.arange(window)
+        want = [np.polynomial.Polynomial.fit(x, y[at : at + window], 3)(i - at) for i in range(n) for at in [min(max(i - half, 0), n - window)]]
+        assert np.allclose(got, want)
+
+
 def test_splits_in_turns_look_at_new_rows_only():
     def plain(t, lat, lon, km, seconds):
         part, n = np.full(len(t), -1), 0
