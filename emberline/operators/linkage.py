@@ -198,8 +198,10 @@ def boundary_filter(clusters: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def without_duplicates(detections: DataFrame) -> DataFrame:
-    """One row for each set of member ids: the one of the primary file first (is_primary), then by `ord`."""
-    key = F.array_sort(F.transform("members", lambda m: m["group_id"]))
+    """One row for each set of member ids: the one of the primary file first (is_primary), then by `ord`. Sets are
+    told apart by a SHA-256 digest of their ids in order, so no row is dealt or sorted by its whole list."""
+    ids = F.col("members.group_id")
+    key = F.sha2(F.concat_ws(",", F.size(ids).cast("string"), F.sort_array(ids).cast("array<string>")), 256)  # the size counts ids that are null
     w = Window.partitionBy("_ids").orderBy(F.col("is_primary").desc(), "ord")
     return detections.withColumn("_ids", key).withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_ids", "_rn")
 

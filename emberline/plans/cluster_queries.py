@@ -126,7 +126,7 @@ def d12_id_collisions(spark, sf_dir):
 
 @query(with_members("SELECT cid, ids FROM (SELECT cid, array_to_string(list_sort(list(group_id)), ',') AS ids FROM m GROUP BY cid)"))
 def d10_dedup(spark, sf_dir):
-    c = linkage.by_time(clusters(spark, sf_dir))
+    c = written(linkage.by_time(clusters(spark, sf_dir).select("cid", "satellite", "group_id")), "detections")
     twice = c.withColumns({"is_primary": F.lit(True), "ord": F.lit(1)}).unionByName(c.withColumns({"is_primary": F.lit(False), "ord": F.lit(0)}))
     out = linkage.without_duplicates(twice).where("is_primary")
     return out.select("cid", F.concat_ws(",", F.transform(F.array_sort(F.transform("members", lambda m: m["group_id"])), lambda x: x.cast("string"))).alias("ids"))

@@ -309,3 +309,16 @@ def test_splits_in_turns_look_at_new_rows_only():
     finally:
         kernels._km = km
     assert sum(seen) < 20_000  # every turn used to look at all rows
+
+
+def test_duplicates_are_told_apart_by_ids_alone(spark, monkeypatch):
+    """Of a cluster no more than its ids is gathered in a row, and no row is dealt by the list of them."""
+    from emberline.plans import cluster_queries
+
+    rows = [(1, True, 1, [3, 1, None]), (2, False, 0, [1, None, 3]), (3, False, 0, [1, 3]), (4, False, 2, [3, 1]), (5, True, 5, [13]), (6, False, 0, [])]
+    df = spark.createDataFrame([(a, p, o, [(i,) for i in ids]) for a, p, o, ids in rows], "cid long, is_primary boolean, ord int, members array<struct<group_id: long>>")
+    assert sorted(r.cid for r in linkage.without_duplicates(df).collect()) == [1, 3, 5, 6]
+    met, without = [], linkage.without_duplicates
+    monkeypatch.setattr(linkage, "without_duplicates", lambda d: met.append(d) or without(d))
+    assert cluster_queries.d10_dedup(spark, "/root/testdata/sf0.001").count() > 0
+    assert met[0].schema["members"].dataType.elementType.names == ["group_id"]
