@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import json
+import math
 import re
 import sys
 from functools import lru_cache
@@ -30,8 +31,6 @@ from .common import arrow_map, partitions, written
 FAN_IN = 64
 #: Longer template texts are named by their beginning and a hash.
 SHOWN = 64
-#: Children of two elements are aligned in order up to this product of their numbers.
-MOST_CELLS = 250_000
 #: Unlike pages that must share a text before it is template: outside the article and inside it, where
 #: a few pages may well say the same.
 TEMPLATE_PAGES, TEMPLATE_PAGES_INSIDE = 2, 8
@@ -259,6 +258,63 @@ def fold(element: Element) -> Element:
 PAGE, PAGES, WRAPPER = range(3)
 
 
+#: Steps of an alignment: an item of both sequences, of the first alone, of the second alone.
+BOTH, FIRST, SECOND = range(3)
+
+
+def in_order(x: list[str], y: list[str]):
+    """The steps of a longest common subsequence of any two sequences: x is taken first where both ways are as long.
+
+    Row i has a bit for each item of y, from the last one on; it is 0 where the subsequence of x[i:] grows by that item.
+    Rows are kept at about every square root of len(x); those between two are worked out again when the steps reach them.
+    """
+    many = math.isqrt(len(y)) + 1
+    places: dict[str, list[int]] = {}
+    for at, item in enumerate(reversed(y)):
+        places.setdefault(item, []).append(at)
+
+    def bits(item: str) -> int:
+        out = bytearray(len(y) // 8 + 1)
+        for at in places.get(item, ()):
+            out[at >> 3] |= 1 << (at & 7)
+        return int.from_bytes(out, "little")
+
+    often = {item: bits(item) for item, at in places.items() if len(at) > many}
+    full = (1 << len(y)) - 1
+
+    def above(row: int, item: str) -> int:
+        equal = row & (often[item] if item in often else bits(item))
+        return (row + equal | row - equal) & full
+
+    def length(row: int, j: int) -> int:
+        n = len(y) - j
+        return n - (row & ((1 << n) - 1)).bit_count()
+
+    apart = math.isqrt(len(x)) + 1
+    kept, row = {len(x): full}, full
+    for i in range(len(x) - 1, -1, -1):
+        row = above(row, x[i])
+        if i % apart == 0:
+            kept[i] = row
+    rows: dict[int, int] = {}
+    i = j = 0
+    while i < len(x) or j < len(y):
+        if i < len(x) and i + 1 not in rows:  # the rows from here to the next one kept
+            end = min(len(x), (i // apart + 1) * apart)
+            rows = {end: kept[end], i: rows.get(i, kept.get(i))}
+            for k in range(end - 1, i, -1):
+                rows[k] = above(rows[k + 1], x[k])
+        if i < len(x) and j < len(y) and x[i] == y[j]:
+            yield BOTH
+            i, j = i + 1, j + 1
+        elif j == len(y) or i < len(x) and length(rows[i + 1], j) >= length(rows[i], j + 1):
+            yield FIRST
+            i += 1
+        else:
+            yield SECOND
+            j += 1
+
+
 def align(a: Element, b: Element, what: int = PAGES) -> Element:
     """a generalised so that it matches b as well: longest common subsequence of children, the rest optional."""
     if a.text != b.text:
@@ -276,38 +332,16 @@ def align(a: Element, b: Element, what: int = PAGES) -> Element:
         for c, d in zip(x, y, strict=True):
             align(c, d, what)
         return a
-    if len(x) * len(y) > MOST_CELLS:  # very many unlike children: one repeated optional part of each kind
-        kinds: list[dict[str, Element]] = [{}, {}]
-        for k, children in zip(kinds, (x, y), strict=True):
-            for child in children:
-                if child.signature in k:
-                    align(k[child.signature], child, beside)
-                k.setdefault(child.signature, child)
-        for signature, child in kinds[1].items():
-            if signature in kinds[0]:
-                align(kinds[0][signature], child, what)
-            kinds[0].setdefault(signature, child)
-        for child in kinds[0].values():
-            child.optional = child.repeated = True
-        a.children = list(kinds[0].values())
-        return a
-    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    for i in range(len(x) - 1, -1, -1):
-        for j in range(len(y) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if x[i].signature == y[j].signature else max(best[i + 1][j], best[i][j + 1])
     out, i, j = [], 0, 0
-    while i < len(x) or j < len(y):
-        if i < len(x) and j < len(y) and x[i].signature == y[j].signature:
+    for step in in_order([c.signature for c in x], [c.signature for c in y]):
+        if step == BOTH:
             out.append(align(x[i], y[j], what))
-            i, j = i + 1, j + 1
-        elif j == len(y) or i < len(x) and best[i + 1][j] >= best[i][j + 1]:
-            x[i].optional = True
-            out.append(x[i])
-            i += 1
         else:
-            y[j].optional = True
-            out.append(y[j])
-            j += 1
+            only = x[i] if step == FIRST else y[j]
+            only.optional = True
+            out.append(only)
+        i += step != SECOND
+        j += step != FIRST
     merged: list[Element] = []
     for child in out:  # what an optional part kept apart may be alike now
         if merged and merged[-1].signature == child.signature:
@@ -448,10 +482,11 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
             yield {"host": some.column("host"), "wrapper": [dumps(tree(h)) for h in some.column("html").to_pylist()]}
 
     some = written(arrow_map(rows, of, "host string, wrapper string").groupBy("host", "wrapper").agg(F.xxhash64("wrapper").alias("hash")), "page-trees")
-    most = some.groupBy("host").count().agg(F.max("count")).first()[0] or 1
-    parts = -(-most // FAN_IN)
+    parts = F.ceil(F.count("*") / FAN_IN)
+    own = written(some.groupBy("host").agg(parts.alias("parts")).where("parts > 1"), "parts")  # no other host decides a host's parts
+    parts = own.agg(F.max("parts")).first()[0] or 1
     order = ["hash", "wrapper"]
-    some = some.withColumn("part", F.pmod("hash", F.lit(parts)))
+    some = some.join(own, "host", "left").withColumn("part", F.pmod("hash", F.coalesce("parts", F.lit(1))))
     while True:
         some = some.repartition(partitions(pages), "host", "part").sortWithinPartitions("host", "part", *order)
         some = some.select("host", "part", "wrapper")

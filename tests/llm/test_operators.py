@@ -421,6 +421,48 @@ def test_all_pages_of_a_host_count(spark):
     assert html_wrapper.dumps(html_wrapper.loads(html_wrapper.dumps(wrapper))) == html_wrapper.dumps(wrapper)
 
 
+def test_wide_elements_are_aligned_in_order():
+    """Elements of any number of children are aligned as small ones are; a text in two places far apart is no template."""
+
+    def page(n, own, at, extra):
+        parts = [f"<h2>head {own} {i}</h2><p>{'The same' if i == at else f'text {own} {i}'}</p>" for i in range(n)]
+        return f"<div>{''.join(parts[: n // 2])}{extra}{''.join(parts[n // 2 :])}</div>"
+
+    for n in (6, 400):
+        pages = [page(n, "a", 1, ""), page(n, "b", n - 2, "<h4>more</h4>")]
+        wrapper = html_wrapper.infer(pages)
+        assert [c.signature for c in wrapper.children[0].children] == ["h2", "p"] * (n // 2) + ["h4"] + ["h2", "p"] * (n - n // 2)
+        assert "The same" in html_wrapper.main_text(pages[0], html_wrapper.slots(wrapper))
+
+    def plain(x, y):
+        best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        for i in range(len(x) - 1, -1, -1):
+            for j in range(len(y) - 1, -1, -1):
+                best[i][j] = best[i + 1][j + 1] + 1 if x[i] == y[j] else max(best[i + 1][j], best[i][j + 1])
+        i, j, out = 0, 0, []
+        while i < len(x) or j < len(y):
+            both = i < len(x) and j < len(y) and x[i] == y[j]
+            first = not both and (j == len(y) or i < len(x) and best[i + 1][j] >= best[i][j + 1])
+            out.append(html_wrapper.BOTH if both else html_wrapper.FIRST if first else html_wrapper.SECOND)
+            i, j = i + (both or first), j + (both or not first)
+        return out
+
+    own = random.Random(13)
+    for _ in range(300):
+        x, y = (["abcde"[own.randrange(k)] for _ in range(own.randrange(40))] for k in (own.randint(1, 5), own.randint(1, 5)))
+        assert list(html_wrapper.in_order(x, y)) == plain(x, y)
+
+
+def test_other_hosts_do_not_decide_the_parts_of_a_host(spark, monkeypatch):
+    """A wrapper follows from the pages of its own host, also in what order they are aligned."""
+    monkeypatch.setattr(html_wrapper, "FAN_IN", 4)
+    page = lambda i: "<div>" + "".join(f"<{'hpuo'[(i * 7 + k * k) % 4]}{'1l' [(i + k) % 2]}>{i}</{'hpuo'[(i * 7 + k * k) % 4]}{'1l'[(i + k) % 2]}>" for k in range(i % 5 + 2)) + "</div>"
+    one = [(i, "http://a.example/", page(i)) for i in range(12)]
+    more = [(100 + i, "http://b.example/", page(i + 50)) for i in range(90)]
+    said = lambda rows: html_wrapper.infer_wrappers(spark.createDataFrame(rows, "page_id long, url string, html string")).where("host = 'a.example'").first().asDict()
+    assert said(one) == said(one + more)
+
+
 def test_elements_keep_all_names_and_depths():
     text = html_wrapper.main_text
     assert text("<p>no</p><div class='a b c d e f g article-body'><p>yes</p></div>") == "yes"
