@@ -41,8 +41,10 @@ def load(path: str) -> PipelineModel:
 
 
 def scored(model: PipelineModel, matrix: DataFrame) -> DataFrame:
-    """matrix with `score`, the model's probability of label 1; a label is not needed."""
-    out = model.transform(matrix).withColumn("score", vector_to_array("_probability")[1])
+    """matrix with `score`, the model's probability of label 1; a label is not needed. A forest that met label 0 alone has no
+    place for label 1: its probability is 0."""
+    probability = vector_to_array("_probability")
+    out = model.transform(matrix).withColumn("score", F.when(F.size(probability) == 1, 0.0).otherwise(F.get(probability, F.lit(1))))
     return out.select(*matrix.columns, "score")
 
 

@@ -64,13 +64,17 @@ _SCALING = {"n_groups": "robust", "total_energy": "robust", "max_energy": "robus
 
 @query()
 def m06_forest_scores(spark, sf_dir):
-    """Triage scores of a seeded random forest on cluster features, learned from truth matches of one part of the clusters; `part` says which rows it has not seen."""
+    """Triage scores of a seeded random forest on cluster features, learned from truth matches of one part of the clusters; `part` says which rows it has not seen.
+    Where that part is empty nothing is learned: scores are null, as those of detections without a classifier are."""
     d, m = matched(spark, sf_dir)
     ratio = features.energy_ratio(clusters(spark, sf_dir))
     rows = d.drop("score").join(m, "cid").join(ratio, "cid").withColumn("belief", F.when(F.col("truth_idx") >= 0, 1.0).when(F.col("truth_idx") == -1, 0.0))
     rows = written(sampling.split(written(rows, "profiles"), "cid", {"train": 0.6, "test": 0.4}, **_order()), "profiles")
     matrix = classifier.feature_matrix(rows, list(_SCALING), "belief")
-    model = classifier.fit(matrix.where("part = 'train'"), _SCALING)
+    train = matrix.where("part = 'train'")
+    if train.isEmpty():
+        return matrix.select("cid", "part", F.lit(None).cast("double").alias("score"))
+    model = classifier.fit(train, _SCALING)
     return classifier.scored(model, matrix).select("cid", "part", F.round("score", 4).alias("score"))
 
 

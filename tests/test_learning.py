@@ -1,5 +1,6 @@
 """Suppression found by the simplex, exact samples, and classifiers that are stored."""
 
+import datetime as dt
 import random
 from collections import Counter
 
@@ -105,6 +106,30 @@ def test_a_stored_classifier(spark, tmp_path):
     assert sum(high) / len(high) > sum(low) / len(low) + 0.2
 
 
+@pytest.mark.parametrize("label", [0.0, 1.0])
+def test_a_forest_of_one_label(spark, tmp_path, label):
+    """Without any truth match in the part it learns from a forest knows one label: the probability of label 1 is 0 then, not an error."""
+    df = spark.createDataFrame([(k, float(k % 5), label) for k in range(30)], "k long, a double, belief double")
+    matrix = classifier.feature_matrix(df, ["a"], "belief")
+    model = classifier.fit(matrix, {"a": "standard"}, trees=3)
+    classifier.save(model, str(tmp_path / "model"))
+    for one in (model, classifier.load(str(tmp_path / "model"))):
+        assert {r.score for r in classifier.scored(one, matrix).collect()} == {label} and classifier.scored(one, matrix).count() == 30
+
+
+@pytest.mark.parametrize("n", [0, 8, 24])
+def test_scores_of_few_clusters(spark, tmp_path, n):
+    """Clusters that are too few for a training part, or none of which is a truth event, are still all of the result."""
+    from emberline.plans import learning_queries
+
+    rows = [(21 * k, dt.datetime(2024, 1, 1 + k // 8, 12, k % 8), k // 8, 5.0 + k) for k in range(n)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, value double")
+    events.withColumn("event_type", F.lit("view")).write.parquet(str(tmp_path / "events.parquet"))
+    got = learning_queries.m06_forest_scores(spark, str(tmp_path)).collect()
+    assert len(got) == n // 8 and len({r.cid for r in got}) == n // 8
+    assert all(r.score == 0.0 if n == 24 else r.score is None for r in got)
+
+
 def test_assessment(spark):
     rows = [(1, 0.95, 0.0, 3), (2, 0.95, 0.5, 3), (3, 1.7, 0.0, 3), (4, 0.1, 0.6, 3), (5, None, 0.0, 3), (6, 0.1, 0.0, 30), (7, None, 0.0, 30)]
     df = spark.createDataFrame(rows, "k long, score double, fall double, size int")
