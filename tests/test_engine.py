@@ -269,6 +269,33 @@ def test_median_speed_joins_no_pairs(spark, monkeypatch):
     assert plain.keys() == ranges.keys() and all(ranges[c] == pytest.approx(v, rel=1e-9) if v is not None else ranges[c] is None for c, v in plain.items())
 
 
+def test_rows_repeated_at_a_place_and_time_are_met_once(spark, monkeypatch):
+    """A pass over a cluster grows with its unlike rows, whose pairs count as often as the rows are repeated, and the first range is drawn."""
+    from emberline.operators import pairs
+
+    r = np.random.default_rng(7)
+    unlike = [(cid, int(r.integers(0, 9)) / 300, int(r.integers(0, 9_000_000)), int(r.integers(1, 30))) for cid in (1, 2) for _ in range(120)]
+    rows = [(cid, T0 + dt.timedelta(milliseconds=ms), 5 + at) for cid, at, ms, times in unlike for _ in range(times)]
+    rows = [(cid, i, time, lat, -75.0) for i, (cid, time, lat) in enumerate(rows)]
+    members = spark.createDataFrame(rows, "cid long, group_id long, time timestamp, lat double, lon double")
+    want = {}
+    for cid in (1, 2):
+        t, la = (np.array([f(x) for x in rows if x[0] == cid]) for f in (lambda x: x[2].timestamp(), lambda x: np.radians(x[3])))
+        i, j = np.triu_indices(len(t), 1)
+        apart = np.abs(t[i] - t[j])
+        want[cid] = np.median(6371.0 * np.abs(la[i] - la[j])[apart > 0] / apart[apart > 0])
+    kept, written = {}, pairs.written
+    monkeypatch.setattr(pairs, "written", lambda df, label: kept.setdefault(label, []).append(written(df, label)) or kept[label][-1])
+    monkeypatch.setattr(pairs, "LOOKED_AT", 1000)
+    for distances in (pairs.DISTANCES, 300):
+        kept.clear()
+        monkeypatch.setattr(pairs, "DISTANCES", distances)
+        got = {x.cid: x.speed for x in features.average_speed(members).collect()}
+        assert got.keys() == want.keys() and all(got[c] == pytest.approx(w, rel=1e-9) for c, w in want.items())
+        assert kept["places"][0].agg(F.sum(F.size("times"))).first()[0] == len({x[:3] for x in unlike}) < len(rows) / 10
+        assert len(kept["medians"]) > 1 and kept["medians"][0].where("done").count() == 0
+
+
 def test_a_window_of_many_rows_takes_little_memory():
     """A fifth of a large cluster is a window: a matrix of its square would take 3 GB here."""
     import tracemalloc
