@@ -16,10 +16,10 @@ from emberline.sources.scratch import written
 
 #: Rows of a cluster up to which its pairs are joined; pairs of a cluster that are looked at in one pass (as many as it has
 #: rows, within these two); times of one place in one list; distances that a task takes, about; pairs that are held at a
-#: time; rows that are met at a time.
-JOINED, LOOKED_AT, LOOKED_AT_MOST, LIST, DISTANCES, AT_ONCE, CHUNK = 256, 200_000, 4_000_000, 65_536, 200_000_000, 2_000_000, 32_768
+#: time; rows that are met at a time; one row of how many meets a list in a pass that estimates.
+JOINED, LOOKED_AT, LOOKED_AT_MOST, LIST, DISTANCES, AT_ONCE, CHUNK, THIN = 256, 200_000, 4_000_000, 65_536, 200_000_000, 2_000_000, 32_768, 16
 _FAR = 1 << 60
-_STATE = "cid long, n long, lo double, hi double, share double, looked long, drawn boolean"
+_STATE = "cid long, n long, lo double, hi double, share double, looked long, drawn boolean, thin long"
 
 
 def _limits(d: np.ndarray, lo: float, hi: float) -> tuple[np.ndarray, np.ndarray]:
@@ -67,50 +67,64 @@ def _drawn(one: _Side, two: _Side, same: bool, share: float, random: np.random.G
         yield d / apart, np.ones(len(d))
 
 
-def _counted(one: _Side, two: _Side, same: bool, lo: float, hi: float, share: float, random: np.random.Generator, distance: Callable, counts: dict):
+def _counted(one: _Side, two: _Side, same: bool, lo: float, hi: float, share: float, thin: int, random: np.random.Generator, distance: Callable, counts: dict):
     """Speeds of a share of the pairs of two blocks in lo .. hi and how often each is met; adds to `counts` how many pairs are slower
-    than lo, how many lie in lo .. hi, and how many of those are of unlike rows."""
+    than lo, how many lie in lo .. hi, and how many of those are of unlike rows. With `thin` these are estimates of one row of so many,
+    two rows of each 2 * thin in the order of list and time, with a start of its own for each list, and `spread` is the variance of `slower`."""
     own = [(here, t, np.append(t, 4 * _FAR - 1), np.concatenate([[-2 * _FAR], t]), before) for here, t, before in one.lists()]
-    for begin in range(0, len(two.t), CHUNK):
-        t, w, at = (x[begin : begin + CHUNK] for x in (two.t, two.w, two.at))
-        first = int(at[0])
-        at = at - first
-        many, sizes = list(two.places[first : first + int(at[-1]) + 1].T), np.bincount(at)
-        total = int(w.sum())
+    share = share if thin == 1 else min(1.0, share * thin)
+    whole = share >= 1 and thin == 1
+    for begin in range(0, len(two.t), CHUNK * thin):
+        all_t, all_w, all_at = (x[begin : begin + CHUNK * thin] for x in (two.t, two.w, two.at))
+        first = int(all_at[0])
+        all_at = all_at - first
+        many, sizes = list(two.places[first : first + int(all_at[-1]) + 1].T), np.bincount(all_at)
+        t, w, at = all_t, all_w, all_at
         for here, times, ahead, behind, before in own:
             d = distance(here, many)
-            least, most = (np.repeat(x, sizes) for x in _limits(d, lo, hi))
+            least, most = _limits(d, lo, hi)
+            if thin == 1:
+                least, most = np.repeat(least, sizes), np.repeat(most, sizes)
+            else:
+                starts = random.integers(0, 2 * thin, 2)
+                t, w, at = (np.concatenate([x[start :: 2 * thin] for start in starts]) for x in (all_t, all_w, all_at))
+                least, most = least[at], most[at]
             # later ones of this list; the earlier ones of a block's own pairs are met the other way round
             low = np.searchsorted(times, t + least)
             near = np.flatnonzero(ahead.take(low) <= t + most)
-            counts["slower"] += total * int(before[-1]) - int(np.dot(w, before.take(low)))
+            slower = before[-1] - before.take(low)
             ranges = [(near, low[near], np.searchsorted(times, (t + most)[near], "right"))]
             if not same:
                 high = np.searchsorted(times, t - least, "right")
                 near = np.flatnonzero(behind.take(high) >= t - most)
-                counts["slower"] += int(np.dot(w, before.take(high)))
+                slower += before.take(high)
                 ranges.append((near, np.searchsorted(times, (t - most)[near]), high[near]))
+            for near, low, high in ranges:
+                slower[near] -= before.take(high) - before.take(low)
+            counts["slower"] += thin * int(np.dot(w, slower))
+            if thin > 1:
+                half = len(all_t[starts[0] :: 2 * thin])
+                counts["spread"] += float(thin * (np.dot(w[:half], slower[:half]) - np.dot(w[half:], slower[half:]))) ** 2
             for near, low, high in ranges:
                 if not len(near):
                     continue
                 k, often = high - low, w[near] * (before.take(high) - before.take(low))
                 inside = int(often.sum())
-                counts["slower"] -= inside
-                counts["inside"] += inside
-                counts["unlike"] += int(k.sum())
-                ends = np.cumsum(k if share >= 1 else often)
-                some = int(ends[-1]) if share >= 1 else int(random.poisson(share * inside))
+                counts["inside"] += thin * inside
+                counts["unlike"] += thin * int(k.sum())
+                ends = np.cumsum(k if whole else often)
+                some = int(ends[-1]) if whole else int(random.poisson(share * inside))
                 for start in range(0, some, AT_ONCE):
                     size = min(AT_ONCE, some - start)
-                    pick = np.arange(start, start + size) if share >= 1 else random.integers(0, ends[-1], size)
+                    pick = np.arange(start, start + size) if whole else random.integers(0, ends[-1], size)
                     j = np.searchsorted(ends, pick, "right")
-                    if share >= 1:
+                    if whole:
                         i = high[j] + pick - ends[j]
                     else:  # a pair as often as its rows are
                         i = np.searchsorted(before, before[low[j]] + (pick - ends[j] + often[j]) // w[near[j]], "right") - 1
                     j = near[j]
                     speed = d[at[j]] / np.abs(times[i] / 1e6 - t[j] / 1e6)
-                    yield speed, w[j] * (before[i + 1] - before[i]) if share >= 1 else np.ones(size)
+                    yield speed, w[j] * (before[i + 1] - before[i]) if whole else np.ones(size)
 
 
 def _met(place: list[str], distance: Callable, turn: int):
@@ -120,7 +134,7 @@ def _met(place: list[str], distance: Callable, turn: int):
         first = pdf.iloc[0]
         cid, lo, hi, share, same = int(first.cid), float(first.lo), float(first.hi), float(first.share), bool(first.a == first.c)
         one, two = pdf[pdf.block == first.a], pdf[pdf.block == first.c]
-        counts = {"slower": 0, "inside": 0, "unlike": 0}
+        counts = {"slower": 0, "inside": 0, "unlike": 0, "spread": 0.0}
         found: list[tuple[np.ndarray, np.ndarray]] = []
         held = 0
         if len(one) and len(two):
@@ -128,7 +142,7 @@ def _met(place: list[str], distance: Callable, turn: int):
             one, two = _Side(one, place), _Side(two, place)
             if len(one.places) * len(two.t) > len(two.places) * len(one.t):
                 one, two = two, one
-            speeds = _drawn(one, two, same, share, random, distance) if first.drawn else _counted(one, two, same, lo, hi, share, random, distance, counts)
+            speeds = _drawn(one, two, same, share, random, distance) if first.drawn else _counted(one, two, same, lo, hi, share, int(first.thin), random, distance, counts)
             for pair in speeds:
                 found.append(pair)
                 held += len(pair[0])
@@ -136,7 +150,7 @@ def _met(place: list[str], distance: Callable, turn: int):
                     found = [_merged(found)]
                     held = 0
         values, often = _merged(found) if found else (np.zeros(0), np.zeros(0, np.int64))
-        row = {"cid": cid, "n": int(first.n), "lo": lo, "hi": hi, "share": share, "looked": int(first.looked), "drawn": bool(first.drawn), **counts, "values": values, "counts": often}
+        row = {"cid": cid, "n": int(first.n), "lo": lo, "hi": hi, "share": share, "looked": int(first.looked), "drawn": bool(first.drawn), "thin": int(first.thin), **counts, "values": values, "counts": often}
         return pd.DataFrame({k: [v] for k, v in row.items()})
 
     return met
@@ -148,6 +162,8 @@ def _narrowed(pdf: pd.DataFrame) -> pd.DataFrame:
     first = pdf.iloc[0]
     n, lo, hi, share, looked, speed, done = int(first.n), float(first.lo), float(first.hi), float(first.share), int(first.looked), math.nan, True
     slower, inside, unlike = (int(pdf[c].sum()) for c in ("slower", "inside", "unlike"))
+    thin = int(first.thin) if first.drawn else 1
+    estimated = first.thin > 1 and not first.drawn
     if first.drawn:  # of all pairs
         inside = unlike = n
     low, high = (n - 1) // 2 - slower, n // 2 - slower  # the places of the median's two values in the range
@@ -155,18 +171,22 @@ def _narrowed(pdf: pd.DataFrame) -> pd.DataFrame:
     ends = np.cumsum(counts)
     if n == 0:
         pass
+    elif estimated and (low < 0 or high >= inside or not len(values) or lo == hi):  # the same range again, counted
+        done, share = False, min(1.0, looked / max(inside, 1))
     elif low < 0 or high >= inside or not len(values):  # missed
+        thin = 1
         done, lo, hi, share = False, 0.0, math.inf, min(1.0, looked / n)
         if (float(first.lo), float(first.hi)) == (lo, hi):  # a sample of no pair at all
             share = 1.0
     elif lo == hi:
         speed = lo
-    elif share >= 1:
+    elif share >= 1 and not estimated:
         speed = float((values[np.searchsorted(ends, low, "right")] + values[np.searchsorted(ends, high, "right")]) / 2)
     else:
         done, m = False, int(ends[-1])
         wide = 2.5 * math.sqrt(m) + 2  # five standard errors
-        i, j = low / inside * m - wide, high / inside * m + wide
+        off = 6 * math.sqrt(pdf.spread.sum()) if estimated else 0.0
+        i, j = (low - off) / inside * m - wide, (high + off) / inside * m + wide
         if i >= 0:
             lo = float(values[np.searchsorted(ends, i, "right")])
         if j < m:
@@ -177,7 +197,8 @@ def _narrowed(pdf: pd.DataFrame) -> pd.DataFrame:
         # a range as full as before is of few values: they are counted
         few = left * unlike / inside <= looked or left > inside / 2 and lo < hi
         share = 1.0 if few else min(1.0, looked / max(left, 1.0))
-    return pd.DataFrame([{"cid": int(first.cid), "n": n, "lo": lo, "hi": hi, "share": share, "looked": looked, "drawn": False, "speed": speed, "done": done}])
+        thin = 1 if few else thin
+    return pd.DataFrame([{"cid": int(first.cid), "n": n, "lo": lo, "hi": hi, "share": share, "looked": looked, "drawn": False, "thin": thin, "speed": speed, "done": done}])
 
 
 def median_speed(rows: DataFrame, place: list[str], distance: Callable, least: int = 2) -> DataFrame:
@@ -188,7 +209,7 @@ def median_speed(rows: DataFrame, place: list[str], distance: Callable, least: i
     Rows of one place and time are one row with a weight, and those of one place a list of times: the pairs of a list and a row that
     are faster than a value are a range of the list. So a pass takes a distance for each row and place, not for each pair, counts the
     pairs below and in a range of speeds, and looks at a share of those in it. The first range is that of pairs drawn at random; it
-    narrows by a sample of itself until all its pairs can be looked at.
+    narrows by a sample of itself until all its pairs can be looked at, in a large cluster by estimates at first.
     """
     here = ["cid", *place]
     rows = written(rows.dropna(subset=["cid", "t", *place]).groupBy(*here, "t").agg(F.count("*").alias("w")), "rows")
@@ -205,8 +226,12 @@ def median_speed(rows: DataFrame, place: list[str], distance: Callable, least: i
     sizes = places.groupBy("cid").agg(F.count("*").alias("p")).join(pairs, "cid").withColumn("blocks", blocks)
     sizes = written(sizes, "sizes")
     looked = F.greatest(F.lit(LOOKED_AT), F.least("w", F.lit(LOOKED_AT_MOST))).cast("long")
-    many = F.col("n") > looked  # drawn unless most pairs are of equal times
-    state = sizes.select("cid", "n", F.lit(0.0).alias("lo"), F.lit(float("inf")).alias("hi"), F.when(many, looked / F.col("n")).otherwise(1.0).alias("share"), looked.alias("looked"), (many & (F.col("n") >= F.col("pairs") / 16)).alias("drawn"))
+    many = F.col("n") > looked
+    drawn = many & (F.col("n") >= F.col("pairs") / 16)  # unless most pairs are of equal times
+    # estimates first where the pairs left by two samples, 25 / looked of all, are more than one pass looks at
+    left = F.col("k").cast("double") * F.col("k") / 2 * 25 / looked
+    thin = F.when(drawn & (F.col("blocks") > 1) & (left > looked), THIN).otherwise(1).cast("long")
+    state = sizes.select("cid", "n", F.lit(0.0).alias("lo"), F.lit(float("inf")).alias("hi"), F.when(many, looked / F.col("n")).otherwise(1.0).alias("share"), looked.alias("looked"), drawn.alias("drawn"), thin.alias("thin"))
     dealt = places.join(sizes.select("cid", "blocks"), "cid").withColumn("block", F.pmod(F.xxhash64(*place, "_list"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"a": F.least("block", "other"), "c": F.greatest("block", "other")}).select(*here, "times", "weights", "block", "a", "c")
@@ -218,7 +243,7 @@ def median_speed(rows: DataFrame, place: list[str], distance: Callable, least: i
         if state.isEmpty():
             break
         some = dealt.join(state, "cid").repartition(tasks, "cid", "a", "c").groupBy("cid", "a", "c")
-        some = some.applyInPandas(_met(place, distance, turn), _STATE + ", slower long, inside long, unlike long, values array<double>, counts array<long>")
+        some = some.applyInPandas(_met(place, distance, turn), _STATE + ", slower long, inside long, unlike long, spread double, values array<double>, counts array<long>")
         step = written(some.groupBy("cid").applyInPandas(_narrowed, _STATE + ", speed double, done boolean"), "medians")
         done.append(step.where("done").select("cid", F.nanvl("speed", F.lit(None).cast("double")).alias("speed")))
         state = step.where("not done").drop("done", "speed")

@@ -286,14 +286,40 @@ def test_rows_repeated_at_a_place_and_time_are_met_once(spark, monkeypatch):
         want[cid] = np.median(6371.0 * np.abs(la[i] - la[j])[apart > 0] / apart[apart > 0])
     kept, written = {}, pairs.written
     monkeypatch.setattr(pairs, "written", lambda df, label: kept.setdefault(label, []).append(written(df, label)) or kept[label][-1])
-    monkeypatch.setattr(pairs, "LOOKED_AT", 1000)
-    for distances in (pairs.DISTANCES, 300):
+    for distances, looked in ((pairs.DISTANCES, 1000), (300, 400)):  # the second in blocks and by estimates first
         kept.clear()
-        monkeypatch.setattr(pairs, "DISTANCES", distances)
+        for name, value in (("DISTANCES", distances), ("LOOKED_AT", looked), ("LOOKED_AT_MOST", looked)):
+            monkeypatch.setattr(pairs, name, value)
         got = {x.cid: x.speed for x in features.average_speed(members).collect()}
         assert got.keys() == want.keys() and all(got[c] == pytest.approx(w, rel=1e-9) for c, w in want.items())
         assert kept["places"][0].agg(F.sum(F.size("times"))).first()[0] == len({x[:3] for x in unlike}) < len(rows) / 10
         assert len(kept["medians"]) > 1 and kept["medians"][0].where("done").count() == 0
+        assert kept["medians"][0].where("thin > 1").count() == (2 if looked == 400 else 0)
+
+
+def test_estimated_counts_of_a_pass_are_near():
+    """One row of sixteen tells how many pairs are slower within the spread it gives, and all rows tell it exactly."""
+    import pandas as pd
+
+    from emberline.operators import pairs
+
+    r = np.random.default_rng(2)
+    lists = [pd.DataFrame({"x": r.random(40) * 9, "y": r.random(40) * 9, "times": [np.sort(r.integers(0, 10**9, 50)) for _ in range(40)], "weights": [r.integers(1, 5, 50) for _ in range(40)]}) for _ in range(2)]
+    one, two = (pairs._Side(x, ["x", "y"]) for x in lists)
+    distance = lambda here, many: np.hypot(many[0] - here[0], many[1] - here[1])
+    at = [x.places[x.at].T[:, :, None] if x is one else x.places[x.at].T[:, None, :] for x in (one, two)]
+    apart = np.abs(one.t[:, None] - two.t[None, :]) / 1e6
+    speed, w = np.hypot(*(at[1] - at[0])) / apart, one.w[:, None] * two.w[None, :]
+    lo, hi = np.quantile(speed, [0.45, 0.55])
+    got = []
+    for thin in (1, 16):
+        counts = {"slower": 0, "inside": 0, "unlike": 0, "spread": 0.0}
+        met = list(pairs._counted(one, two, False, lo, hi, 1.0, thin, np.random.default_rng(1), distance, counts))
+        got.append((counts, sum(float(k.sum()) for _, k in met)))
+    (exact, all_met), (near, _) = got
+    assert 0 <= w[speed < lo].sum() - exact["slower"] < 100 and exact["spread"] == 0  # the range is a microsecond wider
+    assert exact["inside"] == all_met and 0 <= all_met - w[(speed >= lo) & (speed <= hi)].sum() < 200
+    assert near["spread"] > 0 and abs(near["slower"] - exact["slower"]) < 6 * near["spread"] ** 0.5 < 0.05 * w.sum()
 
 
 def test_a_window_of_many_rows_takes_little_memory():
